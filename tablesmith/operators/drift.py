@@ -79,7 +79,7 @@ def numeric_bins(nlong: DataFrame) -> DataFrame:
     bins over the combined [min, max] (last bin closed)."""
     stats = nlong.groupBy("column").agg(
         F.count(F.lit(1)).alias("_N"), F.min("value").alias("_min"), F.max("value").alias("_max"),
-        F.approx_count_distinct("value", 0.01).alias("_and"))
+        F.approx_count_distinct("value").alias("_and"))
     few = stats.filter(F.col("_and") <= APPROX_DISTINCT_MARGIN).select("column")
     # exact distinct counts only for columns that may have few values: bounded groups per column
     nd = (nlong.join(F.broadcast(few), "column").select("column", "value").distinct()

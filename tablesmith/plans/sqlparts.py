@@ -140,3 +140,15 @@ def cumulative_cte(src: str = "nlong", name: str = "cum") -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+RAW = BOOKINGS + """,
+raw AS (
+  SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS o_totalprice, c_acctbal,
+         c_nationkey, o_year, o_orderpriority, c_mktsegment, o_orderstatus, is_filled, 'web' AS channel,
+         CASE WHEN c_acctbal < -900 THEN '-inf'::DOUBLE WHEN c_acctbal > 9900 THEN 'inf'::DOUBLE
+              WHEN c_acctbal < 0 THEN 'nan'::DOUBLE ELSE ln(1 + c_acctbal) END AS balance_score
+  FROM bookings)"""
+
+SCORED = """scored AS (
+  SELECT doc_id, quality AS label, n_chars / (n_chars + 2000.0) AS score, n_chars, lang, source
+  FROM labels JOIN documents USING (doc_id))"""

@@ -48,5 +48,34 @@ def bookings_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bookings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split is a stage table read by several aggregates: written once (reliable checkpoint in the
+    session's ``spark.checkpoint.dir``) so its join and ranking are not recomputed per branch."""
     from tablesmith.operators.split import stratified_split
-    return stratified_split(bookings(spark, sf_dir), KEY, TARGET, (0.7, 0.15, 0.15), SEED)
+    from tablesmith.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return stratified_split(bookings(spark, sf_dir), KEY, TARGET, (0.7, 0.15, 0.15), SEED).checkpoint(eager=True)
+
+
+def bookings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings as an uncleaned source: a constant column, missing prices (low-priority orders), and a
+    balance score with -inf / +inf / NaN where the balance says so (below -900, above 9900, negative)."""
+    b = bookings(spark, sf_dir)
+    bal = F.col("c_acctbal")
+    score = (F.when(bal < -900, F.lit(float("-inf"))).when(bal > 9900, F.lit(float("inf")))
+             .when(bal < 0, F.lit(float("nan"))).otherwise(F.log1p(bal)))
+    return b.select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("o_totalprice"),
+        "c_acctbal", "c_nationkey", "o_year", "o_orderpriority", "c_mktsegment", "o_orderstatus", "is_filled",
+        F.lit("web").alias("channel"), score.alias("balance_score"))
+
+
+def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnable target: document quality label with a deterministic score (a rational function of the
+    length, bit-identical across engines, with ties) standing in for a model probability."""
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels")
+    j = lab.join(d, "doc_id")
+    return j.select("doc_id", F.col("quality").alias("label"),
+                    (F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))).alias("score"),
+                    "n_chars", "lang", "source")

@@ -38,10 +38,11 @@ def _kind(dtype) -> str:
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, (np.floating, float)):
-        return round(float(v), 6)
+        f = round(float(v), 6)
+        return int(f) if f.is_integer() and abs(f) < 2**53 else f
     if isinstance(v, (np.integer,)):
         return int(v)
     if isinstance(v, (np.bool_,)):
@@ -65,7 +66,9 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> list[str]:
         return [f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(duck_pdf.columns)}"]
     for c in spark_pdf.columns:
         a, b = _kind(spark_pdf[c].dtype), _kind(duck_pdf[c].dtype)
-        if a != b and not (spark_pdf[c].isna().all() or duck_pdf[c].isna().all()):
+        # Spark turns a nullable integer column into float64 in pandas; DuckDB keeps a nullable integer
+        nullable_int = {a, b} == {"int", "float"} and spark_pdf[c].isna().any()
+        if a != b and not nullable_int and not (spark_pdf[c].isna().all() or duck_pdf[c].isna().all()):
             problems.append(f"dtype {c}: spark {spark_pdf[c].dtype} duck {duck_pdf[c].dtype}")
     if len(spark_pdf) != len(duck_pdf):
         problems.append(f"rows: spark {len(spark_pdf)} duck {len(duck_pdf)}")
