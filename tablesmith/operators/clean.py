@@ -123,7 +123,7 @@ def fill_median(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame
     out = []
     for c in df.columns:
         if c in cols:
-            out.append(F.coalesce(clean_value(df, c).cast("double"), med[c]).cast(dtype_of(df, c)).alias(c))
+            out.append(F.coalesce(clean_value(df, c).cast("double"), med[c]).alias(c))
         else:
             out.append(F.col(c))
     return df.select(out)

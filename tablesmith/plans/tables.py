@@ -79,3 +79,15 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("doc_id", F.col("quality").alias("label"),
                     (F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))).alias("score"),
                     "n_chars", "lang", "source")
+
+
+def gappy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stratified split of ``bookings_gappy`` (stage table, checkpointed like ``bookings_split``)."""
+    from tablesmith.operators.split import stratified_split
+    from tablesmith.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return stratified_split(bookings_gappy(spark, sf_dir), KEY, TARGET, (0.7, 0.15, 0.15), SEED).checkpoint(eager=True)
+
+
+def train_part(split_df: DataFrame) -> DataFrame:
+    return split_df.filter(F.col("split") == "train")
