@@ -91,3 +91,19 @@ def gappy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_part(split_df: DataFrame) -> DataFrame:
     return split_df.filter(F.col("split") == "train")
+
+
+def documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stratified split of the scored documents by label (stage table, checkpointed)."""
+    from tablesmith.operators.split import stratified_split
+    from tablesmith.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return stratified_split(scored_documents(spark, sf_dir), "doc_id", "label", (0.7, 0.15, 0.15),
+                            SEED).checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder for a plan's written tables."""
+    import uuid
+    from tablesmith.session import stage_path
+    return stage_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
