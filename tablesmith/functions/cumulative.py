@@ -94,28 +94,38 @@ def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float],
     """Exact quantiles with linear interpolation (h = (n-1)q, as ``quantile_cont`` / ``percentile``).
 
     ``long`` holds one row per observation (NULLs already removed). Returns (group..., prob, quantile).
-    Work is distributed: distinct values are counted by a partial aggregate, ranked by ``running_totals``, and
-    only the (at most 2 x len(probs) per group) order statistics are selected by a broadcast range join.
+    Selection, not a full sort: distinct values are counted (partial aggregate, so a value repeated in a third of
+    the rows is one row), bucketed by approximate-quantile knots, and per-bucket counts give each bucket's rank
+    offset. Only the buckets that hold a wanted rank (at most 2 x len(probs) per group) are ranked by a window.
     """
     dv = distinct_value_counts(long, group_cols, value_col)
-    keys = list(group_cols) or ["_g"]
-    if not group_cols:
-        dv = dv.withColumn("_g", F.lit(0))
-    ranked = running_totals(dv, keys, value_col, ["n"], with_next=False, knots=knots)
-    ranked = ranked.withColumn("_lo_rank", F.col("cum_n") - F.col("n"))
-    totals = dv.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    targets = (totals.select(*keys, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-               .withColumn("_h", (F.col("_total") - 1) * F.col("prob")))
-    targets = targets.select(*keys, "prob", "_h", F.explode(F.array_distinct(
-        F.array(F.floor("_h").cast("long"), F.ceil("_h").cast("long")))).alias("_r"))
-    targets = targets.select(*[F.col(k).alias(f"_tk_{k}") for k in keys], "prob", "_h", "_r")
-    cond = [F.col(k) == F.col(f"_tk_{k}") for k in keys]
-    cond += [F.col("_lo_rank") <= F.col("_r"), F.col("_r") < F.col("cum_n")]
-    picked = ranked.join(F.broadcast(targets), cond).select(
-        *[F.col(f"_tk_{k}").alias(k) for k in keys], "prob", "_h", "_r", F.col(value_col).alias("_v"))
+    x, keys = _bucketed(dv, group_cols, value_col)
+    tot = x.groupBy(*keys, "_bkt").agg(F.sum("n").alias("_bn"))
+    wb = Window.partitionBy(*keys).orderBy("_bkt")
+    tot = tot.select(*keys, "_bkt", "_bn", (F.sum("_bn").over(wb) - F.col("_bn")).alias("_off"),
+                     F.sum("_bn").over(Window.partitionBy(*keys)).alias("_total"))
+    # wanted 0-based ranks per (group, prob): floor and ceil of h
+    h = (F.col("_total") - 1) * F.col("prob")
+    wanted = (tot.select(*keys, "_bkt", "_bn", "_off", "_total",
+                         F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+              .withColumn("_h", h)
+              .withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_h").cast("long"),
+                                                                    F.ceil("_h").cast("long")))))
+              .filter((F.col("_off") <= F.col("_r")) & (F.col("_r") < F.col("_off") + F.col("_bn")))
+              .select(*[F.col(k).alias(f"_tk_{k}") for k in keys], F.col("_bkt").alias("_tb"), "_off", "prob",
+                      "_h", "_r"))
+    # at most 2 x len(probs) rows per group: broadcast
+    tb = wanted.select(*[f"_tk_{k}" for k in keys], "_tb", "_off").distinct()
+    cond = [F.col(k) == F.col(f"_tk_{k}") for k in keys] + [F.col("_bkt") == F.col("_tb")]
+    sel = x.join(F.broadcast(tb), cond).select(*keys, "_bkt", "_off", value_col, "n")
+    wi = Window.partitionBy(*keys, "_bkt").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sel.withColumn("_hi", F.col("_off") + F.sum("n").over(wi)).withColumn("_lo", F.col("_hi") - F.col("n"))
+    cond2 = [F.col(k) == F.col(f"_tk_{k}") for k in keys] + [F.col("_bkt") == F.col("_tb"),
+                                                            F.col("_lo") <= F.col("_r"), F.col("_r") < F.col("_hi")]
+    picked = ranked.join(F.broadcast(wanted.drop("_off")), cond2).select(
+        *keys, "prob", "_h", "_r", F.col(value_col).alias("_v"))
     res = picked.groupBy(*keys, "prob").agg(
-        F.first("_h").alias("_h"),
-        F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi"))
+        F.first("_h").alias("_h"), F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi"))
     frac = F.col("_h") - F.floor("_h")
     out = res.select(*keys, "prob", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("quantile"))
     if not group_cols:

@@ -197,26 +197,37 @@ def mmd_weights(features: int = MMD_FEATURES, seed: int = MMD_SEED):
     return [round(float(x), 12) for x in w], [round(float(x), 12) for x in b]
 
 
-def mmd_measure(nlong: DataFrame, features: int = MMD_FEATURES, seed: int = MMD_SEED) -> DataFrame:
-    """Per column: squared MMD of random Fourier features of an RBF kernel (Rahimi & Recht 2007).
-
-    Width = median absolute deviation of the combined sample (exact, distributed; 1 when 0). Linear time:
-    one average per feature and sample instead of all pairs.
-    """
+def mmd_bandwidth(nlong: DataFrame) -> dict:
+    """Per column: median absolute deviation of the combined sample (exact, distributed), 1 when 0.
+    One number per column is read back (schema-bounded)."""
     med = exact_quantiles(nlong, ["column"], [0.5]).select("column", F.col("quantile").alias("_med"))
     dev = nlong.join(F.broadcast(med), "column").select(
         "column", F.abs(F.col("value") - F.col("_med")).alias("value"))
-    mad = exact_quantiles(dev, ["column"], [0.5]).select(
-        "column", F.when(F.col("quantile") > 0, F.col("quantile")).otherwise(1.0).alias("_sigma"))
+    mad = exact_quantiles(dev, ["column"], [0.5]).collect()
+    return {r["column"]: (r["quantile"] if r["quantile"] else 1.0) for r in mad}
+
+
+def mmd_measure(nlong: DataFrame, features: int = MMD_FEATURES, seed: int = MMD_SEED,
+                sigma: dict | None = None) -> DataFrame:
+    """Per column: squared MMD of random Fourier features of an RBF kernel (Rahimi & Recht 2007).
+
+    Width = median absolute deviation of the combined sample (``mmd_bandwidth``). Linear time: one sum per
+    feature and (column, sample) in a single partial aggregate instead of all pairs.
+    """
+    sigma = sigma if sigma is not None else mmd_bandwidth(nlong)
     w, b = mmd_weights(features, seed)
-    j = nlong.join(F.broadcast(mad), "column")
+    sig = F.coalesce(*[F.when(F.col("column") == F.lit(c), F.lit(float(v))) for c, v in sigma.items()],
+                     F.lit(1.0))
+    x = nlong.select("column", "_side", (F.col("value") / sig).alias("_x"))
     scale = math.sqrt(2.0 / features)
-    aggs = []
-    for d in range(features):
-        zf = F.cos(F.lit(w[d]) * F.col("value") / F.col("_sigma") + F.lit(b[d])) * F.lit(scale)
-        aggs.append((F.avg(F.when(F.col("_side") == 0, zf)) - F.avg(F.when(F.col("_side") == 1, zf))).alias(f"_d{d}"))
-    g = j.groupBy("column").agg(*aggs)
-    total = sum((F.col(f"_d{d}") ** 2 for d in range(features)), F.lit(0.0))
+    sums = x.groupBy("column", "_side").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.cos(F.lit(w[d]) * F.col("_x") + F.lit(b[d]))).alias(f"_s{d}") for d in range(features)])
+    g = sums.groupBy("column").agg(
+        *[(F.sum(F.when(F.col("_side") == 0, F.col(f"_s{d}") / F.col("_n")))
+           - F.sum(F.when(F.col("_side") == 1, F.col(f"_s{d}") / F.col("_n")))).alias(f"_d{d}")
+          for d in range(features)])
+    total = sum(((F.col(f"_d{d}") * scale) ** 2 for d in range(features)), F.lit(0.0))
     return g.select("column", total.alias("mmd"))
 
 

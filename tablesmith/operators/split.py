@@ -93,9 +93,9 @@ def class_rank(df: DataFrame, key: str, target: str, seed: int = 42, rank_col: s
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 10, seed: int = 42,
-                     fold_col: str = "fold") -> DataFrame:
+                     fold_col: str = "fold", digits: int = 4) -> DataFrame:
     """Stratified k-fold: fold = (rank inside the class - 1) mod k, so class shares per fold differ by <= 1."""
-    r = class_rank(df, key, target, seed)
+    r = class_rank(df, key, target, seed, digits=digits)
     return r.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 
 
