@@ -50,11 +50,20 @@ def fit_modes(train: DataFrame, cols: list[str]) -> dict:
     return {r["column"]: r["top"] for r in top_value_counts(long).collect()}
 
 
-def fit_categories(train: DataFrame, cols: list[str], fill: dict | None = None) -> dict:
-    """T4 fit: sorted distinct categories per column (after filling with ``fill``); the vocabulary is bounded
-    by the column's cardinality, as for MLlib's StringIndexer."""
+MAX_CATEGORIES = 100_000
+
+
+def fit_categories(train: DataFrame, cols: list[str], fill: dict | None = None,
+                   max_categories: int = MAX_CATEGORIES) -> dict:
+    """T4 fit: sorted distinct categories per column (after filling with ``fill``). The vocabulary reaches the
+    driver, as MLlib's StringIndexer's does, so a cheap estimate first refuses identifier-like columns whose
+    vocabulary would not be small (raise instead of collecting it)."""
     if not cols:
         return {}
+    est = train.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_a{i}") for i, c in enumerate(cols)]).first()
+    too_big = [c for i, c in enumerate(cols) if est[f"_a{i}"] > max_categories]
+    if too_big:
+        raise ValueError(f"categorical columns with more than {max_categories} categories: {too_big}")
     fill = fill or {}
     wide = train.select([(F.coalesce(F.col(c).cast("string"), F.lit(fill[c])) if fill.get(c) is not None
                           else F.col(c).cast("string")).alias(c) for c in cols])

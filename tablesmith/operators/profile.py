@@ -165,10 +165,13 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
     """A12 correlations: Pearson per column pair, long form (col_a, col_b, corr), one aggregate."""
     cols = cols or numeric_columns(df)
     clean = df.select([clean_value(df, c).cast("double").alias(c) for c in cols])
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]  # symmetric: aggregate each pair once
+    wide = clean.agg(*[F.corr(a, b).alias(f"corr__{i}") for i, (a, b) in enumerate(upper)])
+    idx = {p: i for i, p in enumerate(upper)}
     pairs = [(a, b) for a in cols for b in cols]
-    wide = clean.agg(*[F.corr(a, b).alias(f"corr__{i}") for i, (a, b) in enumerate(pairs)])
     parts = []
-    for i, (a, b) in enumerate(pairs):
+    for a, b in pairs:
+        i = idx[(a, b)] if (a, b) in idx else idx[(b, a)]
         parts += [f"'{a}'", f"'{b}'", f"`corr__{i}`"]
     return wide.select(F.expr(f"stack({len(pairs)}, {', '.join(parts)}) AS (col_a, col_b, corr)"))
 

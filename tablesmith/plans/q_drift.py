@@ -107,7 +107,27 @@ rff AS (SELECT l."column", {feats},
 register("drift_mmd", _mmd_sql())(_method_plan("mmd", NUM, "num"))
 
 
-@register("drift_fisher")
+FISHER_SQL = Q.with_(*BASE, """fb AS (
+  SELECT CAST(is_filled AS VARCHAR) AS bin, count(*) FILTER (WHERE _side = 0) AS n_ref,
+         count(*) FILTER (WHERE _side = 1) AS n_cur
+  FROM tagged WHERE is_filled IS NOT NULL GROUP BY 1),
+t AS (
+  SELECT min_by(n_ref, bin) AS a, max_by(n_ref, bin) AS b, min_by(n_cur, bin) AS c, max_by(n_cur, bin) AS d,
+         sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM fb),
+m AS (SELECT *, a + b AS r1, c + d AS r2, a + c AS c1, a + b + c + d AS n FROM t),
+h AS (
+  SELECT m.*, x,
+         lgamma(r1 + 1) + lgamma(r2 + 1) + lgamma(c1 + 1) + lgamma(n - c1 + 1) - lgamma(n + 1)
+         - (lgamma(x + 1) + lgamma(r1 - x + 1) + lgamma(c1 - x + 1) + lgamma(r2 - c1 + x + 1)) AS lp
+  FROM m, range(CAST(greatest(0, c1 - r2) AS BIGINT), CAST(least(r1, c1) + 1 AS BIGINT)) AS g(x)),
+o AS (SELECT lp AS lp_obs FROM h WHERE x = a)""") + """
+SELECT 'is_filled_cat' AS "column", 'fisher_exact' AS method, round(CAST(a * d AS DOUBLE) / (b * c), 6) AS statistic,
+       round(least(1.0, sum(CASE WHEN lp <= lp_obs + 1e-7 THEN exp(lp) ELSE 0 END)), 6) AS p_value,
+       CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur
+FROM h, o GROUP BY a, b, c, d, n_ref, n_cur"""
+
+
+@register("drift_fisher", FISHER_SQL)
 def drift_fisher(spark, sf_dir):
     split = TB.bookings_split(spark, sf_dir).withColumn("is_filled_cat", F.col("is_filled").cast("string"))
     tagged = D.side_split(split, "split", "train", "test", ["is_filled_cat"])

@@ -11,6 +11,7 @@ from tablesmith.operators import validate as V
 from tablesmith.plans import sqlparts as Q
 from tablesmith.plans import tables as TB
 from tablesmith.plans.catalog import register
+from tablesmith.plans.catalog import REGISTRY
 from tablesmith.plans.q_profile import BOOKINGS_SCHEMA
 from tablesmith.sources import io
 from tablesmith.sources.ingest import ingest
@@ -64,7 +65,7 @@ def split_sink(spark, sf_dir):
                                                       F.round(F.sum("o_totalprice"), 2).alias("total_price"))
 
 
-@register("validation_status_json")
+@register("validation_status_json", REGISTRY["validate_schema"][1])
 def validation_status_json(spark, sf_dir):
     path = TB.scratch(spark, "validation-status")
     io.write_json(V.validate_schema(TB.bookings(spark, sf_dir), BOOKINGS_SCHEMA), path)

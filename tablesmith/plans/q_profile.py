@@ -326,6 +326,6 @@ def validated_table(spark, sf_dir):
     return V.validated_table(TB.bookings(spark, sf_dir), GOOD_SCHEMA)
 
 
-@register("check_target")
+@register("check_target", B + "SELECT 'is_filled' AS target, 'int' AS dtype, count(*) AS n_rows, true AS valid FROM bookings")
 def check_target(spark, sf_dir):
     return V.check_target(TB.bookings(spark, sf_dir), "is_filled")

@@ -10,7 +10,7 @@ ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
 
 
 def test_rows_only_list():
-    assert {"model_forest", "cross_validate", "ingest_audit", "drift_fisher"} <= set(ROWS_ONLY)
+    assert {"model_forest", "cross_validate", "ingest_audit", "metrics_log"} <= set(ROWS_ONLY)
 
 
 @pytest.mark.parametrize("name", [n for n in ROWS_ONLY if n not in ("cross_validate", "overfit_gap")])
