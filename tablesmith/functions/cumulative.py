@@ -9,8 +9,8 @@ group (one column's distinct values) can hold billions of rows, so the running t
    bucket offsets (a window over that small table);
 3. inside each (group, bucket) a window adds the running sum to the offset.
 
-The per-group knot table is broadcast (one row per group; callers group by schema-bounded keys: column names,
-samples, classes). The offsets table has groups x buckets rows and is joined normally, so AQE broadcasts it
+The per-group knots are fitted once and applied as literals (one entry per group; callers group by
+schema-bounded keys: column names, samples, classes). The offsets table has groups x buckets rows and is joined normally, so AQE broadcasts it
 only when its measured size is small.
 """
 
@@ -23,12 +23,21 @@ KNOTS = 32                 # approximate quantile knots per group (a power of tw
 TARGET_ROWS = 2_000_000    # rows per (group, bucket) window partition
 
 
+MAX_LITERAL_GROUPS = 5000  # knots of up to this many groups travel as a literal map
+
+
+def _group_key(keys: list[str]):
+    return F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
+
+
 def _bucketed(df: DataFrame, group_cols: list[str], order_col: str, knots: int = KNOTS,
               target_rows: int = TARGET_ROWS, accuracy: int = 10000):
     """Assign ``_bkt``: monotone in ``order_col`` within a group, about ``target_rows`` rows per bucket.
 
     Buckets are ``knots`` approximate-quantile ranges (binary search in ``log2(knots)`` codegen'd steps), each cut
-    into ``S`` equal-width sub-ranges, where ``S`` grows with the group's row count.
+    into ``S`` equal-width sub-ranges, where ``S`` grows with the group's row count. The knots are fitted once and
+    applied as literals: an approximate sketch depends on the order partial results are merged in, so
+    recomputing it (e.g. after a lost executor) could give other knots; literals keep every bucket id stable.
     """
     keys = list(group_cols) or ["_g"]
     if not group_cols:
@@ -40,8 +49,19 @@ def _bucketed(df: DataFrame, group_cols: list[str], order_col: str, knots: int =
     stats = df.groupBy(*keys).agg(
         F.percentile_approx(v, probs, accuracy).alias("_bounds"),
         F.count(F.lit(1)).alias("_cnt"), F.min(v).alias("_vmin"), F.max(v).alias("_vmax"))
-    # one row per group: schema-bounded (columns, samples, classes)
-    x = df.join(F.broadcast(stats), keys).withColumn("_i", F.lit(0))
+    rows = stats.withColumn("_key", _group_key(keys)).limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(rows) <= MAX_LITERAL_GROUPS:
+        entries = []
+        for r in rows:
+            entries += [F.lit(r["_key"]), F.struct(
+                F.array(*[F.lit(float(b)) for b in r["_bounds"]]).alias("_bounds"), F.lit(int(r["_cnt"])).alias("_cnt"),
+                F.lit(float(r["_vmin"])).alias("_vmin"), F.lit(float(r["_vmax"])).alias("_vmax"))]
+        st = F.create_map(*entries)[_group_key(keys)] if entries else F.lit(None)
+        x = df.withColumn("_st", st).select("*", "_st._bounds", "_st._cnt", "_st._vmin", "_st._vmax").drop("_st")
+    else:
+        # very many groups: join the fitted knots (checkpointed, so every use sees the same knots)
+        x = df.join(stats.checkpoint(eager=True), keys)
+    x = x.withColumn("_i", F.lit(0))
     for step in range(k):
         half = 1 << (k - 1 - step)
         x = x.withColumn("_i", F.col("_i") + F.when(F.element_at("_bounds", F.col("_i") + half) < v, half)
