@@ -60,6 +60,8 @@ def _bucketed(df: DataFrame, group_cols: list[str], order_col: str, knots: int =
         x = df.withColumn("_st", st).select("*", "_st._bounds", "_st._cnt", "_st._vmin", "_st._vmax").drop("_st")
     else:
         # very many groups: join the fitted knots (checkpointed, so every use sees the same knots)
+        from tablesmith.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         x = df.join(stats.checkpoint(eager=True), keys)
     x = x.withColumn("_i", F.lit(0))
     for step in range(k):

@@ -157,13 +157,40 @@ class PreprocessorModel:
         return cls.from_json(spark.read.text(path).first()[0])
 
 
+def fit_vocabulary(train: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> tuple[dict, dict]:
+    """Modes (ties -> smallest) and sorted categories of the mode-imputed columns from ONE grouped count.
+
+    After mode imputation the categories are exactly the non-null training values (the mode is one of them),
+    so a single (column, value) -> count aggregate gives both; its rows are the vocabulary (guarded as in
+    ``fit_categories``)."""
+    if not cols:
+        return {}, {}
+    est = train.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_a{i}") for i, c in enumerate(cols)]).first()
+    too_big = [c for i, c in enumerate(cols) if est[f"_a{i}"] > max_categories]
+    if too_big:
+        raise ValueError(f"categorical columns with more than {max_categories} categories: {too_big}")
+    wide = train.select([F.col(c).cast("string").alias(c) for c in cols])
+    long = wide.unpivot([], cols, "column", "value").filter(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+    modes, cats = {c: None for c in cols}, {c: [] for c in cols}
+    best = {}
+    for r in counts:
+        c, v, n = r["column"], r["value"], r["n"]
+        cats[c].append(v)
+        if c not in best or n > best[c][0] or (n == best[c][0] and v < best[c][1]):
+            best[c] = (n, v)
+    for c in cols:
+        cats[c].sort()
+        modes[c] = best[c][1] if c in best else None
+    return modes, cats
+
+
 def fit_preprocessor(train: DataFrame, numeric: list[str], categorical: list[str], passthrough: bool = False,
                      exact: bool = True) -> PreprocessorModel:
     """Median impute + standardise numeric, mode impute + one-hot categorical; fit on ``train`` only."""
     med = fit_medians(train, numeric, exact)
     mom = fit_moments(train, numeric, med)
-    modes = fit_modes(train, categorical)
-    cats = fit_categories(train, categorical, modes)
+    modes, cats = fit_vocabulary(train, categorical)
     return PreprocessorModel(numeric, categorical, med, mom, modes, cats, passthrough)
 
 
