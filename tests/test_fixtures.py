@@ -272,3 +272,13 @@ def test_p_values():
     assert abs(S.t_two_sided(2.228138851986274, 10) - 0.05) < 1e-9
     assert abs(S.normal_two_sided(1.959963984540054) - 0.05) < 1e-12
     assert abs(S.fisher_two_sided(8, 2, 1, 5) - 0.03496503496503495) < 1e-12
+
+
+def test_approximate_quantiles_option(spark):
+    rng = np.random.default_rng(6)
+    vals = rng.normal(50, 10, 5000)
+    df = spark.createDataFrame(pd.DataFrame({"v": vals}))
+    q = {r["prob"]: r["quantile"] for r in C.column_quantiles(df, ["v"], [0.1, 0.5, 0.9], exact=False).collect()}
+    for p, v in q.items():
+        # rank error of percentile_approx(accuracy 1e5) is at most n / 1e5 rows
+        assert abs((vals <= v).mean() - p) <= 2 / len(vals) + 1e-5
