@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions import stats as S
-from tablesmith.functions.columns import clean_value
+from tablesmith.functions.columns import clean_value, safe_div
 from tablesmith.functions.cumulative import exact_quantiles, running_totals
 
 # Fixed values of the pinned definitions.
@@ -91,7 +91,7 @@ def numeric_bins(nlong: DataFrame) -> DataFrame:
                        (F.col("_nd").isNotNull() & (F.col("_nd") <= MAX_VALUE_BINS)).alias("_by_value"),
                        k.alias("_k"))
     w = (F.col("_max") - F.col("_min")) / F.col("_k")
-    idx = F.least(F.floor((F.col("value") - F.col("_min")) / w), F.col("_k") - 1).cast("double")
+    idx = F.least(F.floor(safe_div(F.col("value") - F.col("_min"), w)), F.col("_k") - 1).cast("double")
     binned = (nlong.join(F.broadcast(mode), "column")  # one row per column
               .withColumn("bin", F.when(F.col("_by_value"), F.col("value")).otherwise(idx)))
     return binned.groupBy("column", "bin").agg(*_side_counts(binned))
@@ -106,25 +106,26 @@ def share_measures(bins: DataFrame) -> DataFrame:
     tot = bins.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
                                      F.count(F.lit(1)).alias("n_bins"))
     j = bins.join(F.broadcast(tot), "column")
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
+    p = safe_div(F.col("n_ref"), F.col("tot_ref"))
+    q = safe_div(F.col("n_cur"), F.col("tot_cur"))
     pf = F.when(p == 0, SHARE_FLOOR).otherwise(p)
     qf = F.when(q == 0, SHARE_FLOOR).otherwise(q)
     m = (p + q) / 2
     n = F.col("tot_ref") + F.col("tot_cur")
     e_ref = F.col("tot_ref") * (F.col("n_ref") + F.col("n_cur")) / n
     e_cur = F.col("tot_cur") * (F.col("n_ref") + F.col("n_cur")) / n
-    g_ref = F.when(F.col("n_ref") > 0, F.col("n_ref") * F.log(F.col("n_ref") / e_ref)).otherwise(0.0)
-    g_cur = F.when(F.col("n_cur") > 0, F.col("n_cur") * F.log(F.col("n_cur") / e_cur)).otherwise(0.0)
-    js_p = F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
-    js_q = F.when(q > 0, q * F.log(q / m)).otherwise(0.0)
+    g_ref = F.when(F.col("n_ref") > 0, F.col("n_ref") * F.log(safe_div(F.col("n_ref"), e_ref))).otherwise(0.0)
+    g_cur = F.when(F.col("n_cur") > 0, F.col("n_cur") * F.log(safe_div(F.col("n_cur"), e_cur))).otherwise(0.0)
+    js_p = F.when(p > 0, p * F.log(safe_div(p, m))).otherwise(0.0)
+    js_q = F.when(q > 0, q * F.log(safe_div(q, m))).otherwise(0.0)
     return j.groupBy("column").agg(
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"), F.first("n_bins").alias("n_bins"),
-        F.sum((qf - pf) * F.log(qf / pf)).alias("psi"),
-        F.sum(pf * F.log(pf / qf)).alias("kl_div"),
+        F.sum((qf - pf) * F.log(safe_div(qf, pf))).alias("psi"),
+        F.sum(pf * F.log(safe_div(pf, qf))).alias("kl_div"),
         F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(js_p) + 0.5 * F.sum(js_q))).alias("jensenshannon"),
         (0.5 * F.sum(F.abs(p - q))).alias("tvd"),
-        F.sum((F.col("n_ref") - e_ref) ** 2 / e_ref + (F.col("n_cur") - e_cur) ** 2 / e_cur).alias("chisquare"),
+        F.sum(safe_div((F.col("n_ref") - e_ref) ** 2, e_ref) + safe_div((F.col("n_cur") - e_cur) ** 2, e_cur))
+        .alias("chisquare"),
         (2 * F.sum(g_ref + g_cur)).alias("g_test"),
         (F.count(F.lit(1)) - 1).alias("dof"))
 
@@ -147,8 +148,8 @@ def cumulative_measures(nlong: DataFrame) -> DataFrame:
     j = rt.join(F.broadcast(mom), "column")
     nr, nc = F.col("tot_ref"), F.col("tot_cur")
     n = nr + nc
-    fr = F.col("cum_r") / nr
-    fc = F.col("cum_c") / nc
+    fr = safe_div(F.col("cum_r"), nr)
+    fc = safe_div(F.col("cum_c"), nc)
     dist = F.abs(fr - fc)
     step = F.coalesce(F.col("_next") - F.col("value"), F.lit(0.0))
     l_j = F.col("r") + F.col("c")
@@ -156,7 +157,7 @@ def cumulative_measures(nlong: DataFrame) -> DataFrame:
     mr = F.col("cum_r") - F.col("r") / 2
     mc = F.col("cum_c") - F.col("c") / 2
     den = ba * (n - ba) - n * l_j / 4
-    ad = F.when(den > 0, l_j * ((n * mr - nr * ba) ** 2 / nr + (n * mc - nc * ba) ** 2 / nc) / den)
+    ad = F.when(den > 0, l_j * (safe_div((n * mr - nr * ba) ** 2, nr) + safe_div((n * mc - nc * ba) ** 2, nc)) / den)
     agg = j.groupBy("column").agg(
         F.first(nr).alias("tot_ref"), F.first(nc).alias("tot_cur"), F.first("std_ref").alias("std_ref"),
         F.max(dist).alias("ks"), F.sum(dist * step).alias("wasserstein"),
@@ -178,12 +179,13 @@ def moment_measures(nlong: DataFrame) -> DataFrame:
         *[F.var_samp(F.when(F.col("_side") == s, F.col("value"))).alias(f"v{s}") for s in (0, 1)],
         F.sum(F.when(~F.col("value").isin(0.0, 1.0), 1).otherwise(0)).alias("_nonbinary"))
     n0, n1, m0, m1, v0, v1 = (F.col(c) for c in ("n0", "n1", "m0", "m1", "v0", "v1"))
-    pooled_p = (m0 * n0 + m1 * n1) / (n0 + n1)
-    z_prop = (m0 - m1) / F.sqrt(pooled_p * (1 - pooled_p) * (1 / n0 + 1 / n1))
-    z_mean = (m0 - m1) / F.sqrt(v0 / n0 + v1 / n1)
+    one = F.lit(1.0)
+    pooled_p = safe_div(m0 * n0 + m1 * n1, n0 + n1)
+    z_prop = safe_div(m0 - m1, F.sqrt(pooled_p * (1 - pooled_p) * (safe_div(one, n0) + safe_div(one, n1))))
+    z_mean = safe_div(m0 - m1, F.sqrt(safe_div(v0, n0) + safe_div(v1, n1)))
     dof = n0 + n1 - 2
-    sp2 = ((n0 - 1) * v0 + (n1 - 1) * v1) / dof
-    t = (m0 - m1) / F.sqrt(sp2 * (1 / n0 + 1 / n1))
+    sp2 = safe_div((n0 - 1) * v0 + (n1 - 1) * v1, dof)
+    t = safe_div(m0 - m1, F.sqrt(sp2 * (safe_div(one, n0) + safe_div(one, n1))))
     return g.select("column", n0.cast("long").alias("n_ref"), n1.cast("long").alias("n_cur"),
                     F.when(F.col("_nonbinary") == 0, z_prop).otherwise(z_mean).alias("z"),
                     t.alias("t_test"), dof.cast("long").alias("t_dof"))

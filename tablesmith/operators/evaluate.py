@@ -107,7 +107,7 @@ def pr_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     prec = tp / (tp + fp)
     prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(1.0)
-    area = (tp - tp0) / F.col("P") * (prec + prec0) / 2
+    area = safe_div((tp - tp0).cast("double"), F.col("P")) * (prec + prec0) / 2
     return cp.agg(F.sum(area).alias("pr_auc"))
 
 

@@ -282,3 +282,16 @@ def test_approximate_quantiles_option(spark):
     for p, v in q.items():
         # rank error of percentile_approx(accuracy 1e5) is at most n / 1e5 rows
         assert abs((vals <= v).mean() - p) <= 2 / len(vals) + 1e-5
+
+
+def test_degenerate_samples_do_not_fail(spark):
+    # constant columns (zero variance), a column empty in the reference, one-class labels
+    ref = spark.createDataFrame([(1.0, None), (1.0, None), (1.0, None)], "c double, e double")
+    cur = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "c double, e double")
+    for m in ["psi", "kl_div", "jensenshannon", "tvd", "chisquare", "g_test", "ks", "wasserstein_norm", "anderson",
+              "cramer_von_mises", "z", "t_test", "mmd"]:
+        rows = D.method_table(ref, cur, ["c", "e"], m).collect()
+        assert {r["column"] for r in rows} <= {"c", "e"}
+    one = spark.createDataFrame([(1, 0.5), (1, 0.7)], "label int, score double")
+    assert EV.pr_auc(one).first()[0] is not None
+    assert EV.pr_auc(one.withColumn("label", F.lit(0))).first()[0] is None
