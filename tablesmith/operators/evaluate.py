@@ -59,7 +59,8 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 def score_counts(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
     """(score, pos, neg): rows per distinct score (combined map-side)."""
     is_pos = F.col(label) == F.lit(positive)
-    return df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+    s = F.col(score).cast("double")
+    return df.filter(s.isNotNull() & ~F.isnan(s)).groupBy(s.alias("score")).agg(
         F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg"))
 
 

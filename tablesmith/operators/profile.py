@@ -135,7 +135,8 @@ def top_value_counts(long: DataFrame) -> DataFrame:
     window over a column's distinct values)."""
     vc = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
     mx = vc.groupBy("column").agg(F.max("_f").alias("_mf"))
-    top = vc.join(mx, "column").filter(F.col("_f") == F.col("_mf"))
+    # one row per column: broadcast, so a column's values are never funnelled into one join partition
+    top = vc.join(F.broadcast(mx), "column").filter(F.col("_f") == F.col("_mf"))
     return top.groupBy("column").agg(F.min("value").alias("top"), F.first("_mf").alias("top_freq"))
 
 

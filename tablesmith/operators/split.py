@@ -39,7 +39,8 @@ def stratified_split(df: DataFrame, key: str, target: str, fractions=(0.7, 0.15,
     """Add ``split_col`` with ``names[i]`` so each class keeps its shares exactly (one row of rounding).
 
     ``fractions`` are the part sizes (summing to 1); the first two cuts are ``round(f1*n)`` and
-    ``round((f1+f2)*n)`` with half-up rounding on exact decimals.
+    ``round((f1+f2)*n)`` with half-up rounding on exact decimals. ``key`` must identify rows (a row id): equal
+    keys share a hash, so they would tie and land in one bucket.
     """
     c1 = Decimal(str(fractions[0]))
     c2 = c1 + Decimal(str(fractions[1]))
