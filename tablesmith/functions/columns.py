@@ -71,10 +71,3 @@ def safe_div(a: Column, b: Column) -> Column:
     """a / b, NULL when b is 0 (ANSI mode would raise)."""
     return F.when(b != 0, a / b)
 
-
-def fitted(stats_row: DataFrame) -> Column:
-    """A one-row statistics DataFrame as a struct-valued scalar subquery: computed once, no join.
-
-    ``stats_row`` must aggregate to exactly one row (a global ``agg``); fields are read with ``s[name]``.
-    """
-    return stats_row.select(F.struct(*[F.col(c) for c in stats_row.columns]).alias("_s")).scalar()

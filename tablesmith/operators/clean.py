@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.columns import (FLOAT_TYPES, clean_value, dtype_of, fitted, nan_to_null,
-                                          numeric_columns, quote)
+from tablesmith.functions.columns import (FLOAT_TYPES, clean_value, dtype_of, nan_to_null, numeric_columns,
+                                          quote)
 from tablesmith.functions.cumulative import exact_quantiles
 
 
@@ -132,12 +132,14 @@ def _wide_stats(long_stats: DataFrame, cols: list[str], prob: float | None = Non
 
 
 def fill_median(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
-    """P10: missing -> column median of the non-missing values (fitted once, applied as a scalar subquery)."""
-    med = fitted(_wide_stats(column_quantiles(df, cols, [0.5], exact), cols))
+    """P10: missing -> column median of the non-missing values. The medians are fitted once (one number per
+    column) and applied as literals."""
+    med = {r["column"]: r["quantile"] for r in column_quantiles(df, cols, [0.5], exact).collect()}
     out = []
     for c in df.columns:
         if c in cols:
-            out.append(F.coalesce(clean_value(df, c).cast("double"), med[c]).alias(c))
+            fill = F.lit(float(med[c])) if med.get(c) is not None else F.lit(None).cast("double")
+            out.append(F.coalesce(clean_value(df, c).cast("double"), fill).alias(c))
         else:
             out.append(F.col(c))
     return df.select(out)
@@ -178,13 +180,16 @@ def quantile_fences(df: DataFrame, cols: list[str], lower: float = 0.5, upper: f
 def outlier_flag(df: DataFrame, cols: list[str], lower: float = 0.5, upper: float = 0.95, k: float = 1.5,
                  exact: bool = True) -> Column:
     """True when ANY column is strictly outside its fences (NULL is never an outlier)."""
-    f = quantile_fences(df, cols, lower, upper, k, exact)
-    lo = fitted(f.groupBy().pivot("column", cols).agg(F.first("fence_low")))
-    hi = fitted(f.groupBy().pivot("column", cols).agg(F.first("fence_high")))
+    # fitted once: two numbers per column, applied as literals inside the filter
+    fences = {r["column"]: (r["fence_low"], r["fence_high"])
+              for r in quantile_fences(df, cols, lower, upper, k, exact).collect()}
     flag = F.lit(False)
     for c in cols:
+        lo, hi = fences.get(c, (None, None))
+        if lo is None:
+            continue  # no non-missing value: nothing is an outlier
         v = clean_value(df, c)
-        flag = flag | F.coalesce((v < lo[c]) | (v > hi[c]), F.lit(False))
+        flag = flag | F.coalesce((v < F.lit(float(lo))) | (v > F.lit(float(hi))), F.lit(False))
     return flag
 
 

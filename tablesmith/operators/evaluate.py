@@ -68,12 +68,11 @@ def curve_points(df: DataFrame, label: str = "label", score: str = "score", posi
     """Per distinct score s (as a threshold, predict positive when score >= s): tp, fp and the counts at s,
     plus the totals P, N."""
     sc = score_counts(df, label, score, positive)
-    tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers, fitted once
+    P, N = F.lit(int(tot["P"] or 0)), F.lit(int(tot["N"] or 0))
     rt = running_totals(sc, [], "score", ["pos", "neg"])
-    t = tot.select(F.struct("P", "N").alias("_s")).scalar()
-    return rt.select("score", "pos", "neg", (t["P"] - F.col("cum_pos") + F.col("pos")).alias("tp"),
-                     (t["N"] - F.col("cum_neg") + F.col("neg")).alias("fp"),
-                     t["P"].alias("P"), t["N"].alias("N"))
+    return rt.select("score", "pos", "neg", (P - F.col("cum_pos") + F.col("pos")).alias("tp"),
+                     (N - F.col("cum_neg") + F.col("neg")).alias("fp"), P.alias("P"), N.alias("N"))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:

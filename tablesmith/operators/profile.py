@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions.columns import clean_value, is_missing, numeric_columns, safe_div
@@ -87,12 +87,14 @@ def histogram(df: DataFrame, col: str, bins: int = 5) -> DataFrame:
     """A10: equal-width bins over [min, max], bin 1..bins, the last bin closed."""
     v = clean_value(df, col).cast("double")
     base = df.select(v.alias("x")).filter(F.col("x").isNotNull())
-    mm = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    s = mm.select(F.struct("lo", "hi").alias("_s")).scalar()
-    w = (s["hi"] - s["lo"]) / bins
-    idx = F.when(w > 0, F.least(F.floor((F.col("x") - s["lo"]) / w) + 1, F.lit(bins))).otherwise(1)
+    mm = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # fitted range: two numbers
+    if mm["lo"] is None:
+        return base.sparkSession.createDataFrame([], "bin int, lower double, upper double, n_rows bigint")
+    lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
+    w = (hi - lo) / bins
+    idx = F.when(w > 0, F.least(F.floor((F.col("x") - lo) / w) + 1, F.lit(bins))).otherwise(1)
     g = base.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return g.select("bin", (s["lo"] + (F.col("bin") - 1) * w).alias("lower"), (s["lo"] + F.col("bin") * w).alias("upper"),
+    return g.select("bin", (lo + (F.col("bin") - 1) * w).alias("lower"), (lo + F.col("bin") * w).alias("upper"),
                     "n_rows")
 
 

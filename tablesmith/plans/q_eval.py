@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tablesmith.functions.columns import round_doubles
 from tablesmith.operators import clean as C
 from tablesmith.operators import evaluate as EV

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablesmith.functions.columns import round_doubles
 from tablesmith.operators import prep as P
 from tablesmith.operators import validate as V
 from tablesmith.plans import sqlparts as Q

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tablesmith.operators import split as SP
 from tablesmith.plans import sqlparts as Q
 from tablesmith.plans import tables as TB
