@@ -17,8 +17,8 @@ NUM_ALL = TB.NUMERIC + ["is_filled"]
 
 @register("drop_columns", RAW + "SELECT * EXCLUDE (channel) FROM raw")
 def drop_columns(spark, sf_dir):
-    # 'reservation_status' is absent: ignored
-    return C.drop_columns(TB.bookings_raw(spark, sf_dir), ["channel", "reservation_status"])
+    # 'status_note' is absent: ignored
+    return C.drop_columns(TB.bookings_raw(spark, sf_dir), ["channel", "status_note"])
 
 
 @register("feature_target", Q.with_(Q.BOOKINGS) + "SELECT * EXCLUDE (o_orderstatus) FROM bookings")

@@ -1,6 +1,6 @@
 """Test-table roles (see SURVEY section 7) as DataFrames over the driver's parquet files.
 
-* ``bookings``: reservation-like facts, orders joined with their customer; key ``o_orderkey``; numeric
+* ``bookings``: booking-like facts, orders joined with their customer; key ``o_orderkey``; numeric
   ``o_totalprice``, ``c_acctbal`` (has negatives, like a rate column), ``c_nationkey``, ``o_year``;
   categorical ``o_orderpriority``, ``c_mktsegment``; multi-class target ``o_orderstatus``, binary
   ``is_filled`` (status F).
