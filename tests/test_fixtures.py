@@ -295,3 +295,23 @@ def test_degenerate_samples_do_not_fail(spark):
     one = spark.createDataFrame([(1, 0.5), (1, 0.7)], "label int, score double")
     assert EV.pr_auc(one).first()[0] is not None
     assert EV.pr_auc(one.withColumn("label", F.lit(0))).first()[0] is None
+
+
+def test_automatic_method_small_samples(spark):
+    # fewer than 1000 reference rows: KS p-value for numeric, chi-square p-value for categorical columns
+    from tablesmith.functions import stats as S
+    rng = np.random.default_rng(7)
+    a, b = rng.integers(0, 30, 200).astype(float), rng.integers(3, 33, 150).astype(float)
+    ca, cb = rng.choice(list("xyz"), 200, p=[.5, .3, .2]), rng.choice(list("xyz"), 150, p=[.3, .3, .4])
+    ref = spark.createDataFrame(pd.DataFrame({"v": a, "c": ca}))
+    cur = spark.createDataFrame(pd.DataFrame({"v": b, "c": cb}))
+    out = {r["column"]: r for r in D.column_drift_tagged(D.tag_samples(ref, cur, ["v", "c"]), ["v"], ["c"]).collect()}
+    z = np.unique(np.concatenate([a, b]))
+    d = np.abs(np.array([(a <= v).mean() for v in z]) - np.array([(b <= v).mean() for v in z])).max()
+    assert out["v"]["method"] == "ks" and abs(out["v"]["score"] - S.ks_two_sample_p(d, 200, 150)) < 1e-12
+    cats = sorted(set(ca) | set(cb))
+    obs = np.array([[np.sum(ca == k) for k in cats], [np.sum(cb == k) for k in cats]], dtype=float)
+    exp_ = obs.sum(1, keepdims=True) * obs.sum(0, keepdims=True) / obs.sum()
+    chi = ((obs - exp_) ** 2 / exp_).sum()
+    assert out["c"]["method"] == "chisquare" and abs(out["c"]["score"] - S.chi2_sf(chi, len(cats) - 1)) < 1e-12
+    assert out["c"]["drifted"] == (out["c"]["score"] < 0.05)
