@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import OWN, ranked, stage_table
+from tablesmith.llm.common import OWN, ranked, saved, stage_table
+
+#: Candidates for a source's offset.
+OFFSETS = 64
 
 #: A word: a run of other characters than blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,27 +49,40 @@ def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float,
 
     A document of a source is expected target / source_size times. The documents of a source stand in order of
     size (ties by a hash of all columns), so that neighbours weigh alike; the prefix sum of their expected
-    copies, plus one offset per source, drawn from ``seed``, crosses integers: each crossing emits the document
-    once. Hence a document has at most ceil(target / source_size) copies, never over ``most``, and the words
-    taken miss the target by about one document. Equal rows are interchangeable; reruns agree.
+    copies, plus one offset per source, crosses integers: each crossing emits the document once. Hence a document
+    has at most ceil(target / source_size) copies, never over ``most``. The offset is drawn from ``seed``: of
+    OFFSETS candidates, evenly apart from a random start, the one whose words come nearest to the target (the
+    first, if several do), since in a source of few documents a single one may weigh much. Equal rows are
+    interchangeable; reruns agree.
     """
-    columns, rank = rows.columns, OWN + "rank"
+    columns, rank, of = rows.columns, OWN + "rank", OWN + "source"
     tie = F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
     order = ranked(rows.withColumns({OWN + "null": F.col("source").isNull(), OWN + "tie": tie}),
                    [OWN + "null", "source", "size", OWN + "tie", *columns], rank)
     per_source = order.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(rank).alias(OWN + "first"))
-    goals = (targets(per_source.select("source", "source_size"), weights, most)
-             .withColumnsRenamed({"source": OWN + "source"}))
-    firsts = per_source.select(F.col("source").alias(OWN + "of"), OWN + "first")
-    # one row per source; an equi-join, broadcast by Spark while that table is small, else its hot keys are split
-    plan = goals.join(firsts, F.col(OWN + "source").eqNullSafe(F.col(OWN + "of"))).drop(OWN + "of")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
-    offset = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.col("source")), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    firsts = per_source.select(F.col("source").alias(of), OWN + "first")
+    goals = targets(per_source.select("source", "source_size"), weights, most)
+    # one row per source; equi-joins, broadcast by Spark while that table is small, else its hot keys are split
+    plan = goals.join(firsts, F.col("source").eqNullSafe(F.col(of))).drop("source")
+    begin = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.col(of)), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    plan = saved(plan.withColumns({
+        "rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0)),
+        "begin": begin / OFFSETS}))
+    planned = order.join(plan, F.col("source").eqNullSafe(F.col(of)))
+    sums = [F.sum(F.col("size") * crossed(rank, F.col("begin") + k / OFFSETS)).alias(f"k{k}") for k in range(OFFSETS)]
+    tried = planned.groupBy("source").agg(F.first("target").alias("target"), F.first("begin").alias("begin"), *sums)
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"k{k}") - F.col("target")), F.lit(k).alias("k"))
+                                    for k in range(OFFSETS)]))["k"]
+    offsets = saved(tried.select(F.col("source").alias(of + "2"), (F.col("begin") + nearest / OFFSETS).alias("offset")))
+    return (planned.join(offsets, F.col("source").eqNullSafe(F.col(of + "2")))
+            .select(*columns, "source_size", "target", crossed(rank, F.col("offset")).cast("int").alias("copies")))
+
+
+def crossed(rank: str, offset: Column) -> Column:
+    """The integers that the prefix sum of ``rate`` crosses at a row, from ``offset``."""
     k = F.col(rank) - F.col(OWN + "first")
-    crossed = F.floor(offset + rate * (k + 1)) - F.floor(offset + rate * k)
-    ceiling = F.ceil(rate - F.lit(1e-9))  # a sum of doubles may round across one more integer
-    return (order.join(plan, F.col("source").eqNullSafe(F.col(OWN + "source")))
-            .select(*columns, "source_size", "target", F.least(crossed, ceiling).cast("int").alias("copies")))
+    many = F.floor(offset + F.col("rate") * (k + 1)) - F.floor(offset + F.col("rate") * k)
+    return F.least(many, F.ceil(F.col("rate") - F.lit(1e-9)))  # a sum of doubles may round across one more
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0,

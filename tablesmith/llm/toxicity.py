@@ -17,9 +17,11 @@ from tablesmith.llm.common import parts
 #: Hash space of the features; the dense weights take 8 bytes for each.
 HASH_BITS = 20
 #: Labelled documents that the weights are fitted on, about: all if there are no more, else a part by hash.
-FIT_DOCS = 20_000
-#: FTRL: rates alpha / (beta + sqrt(sum of squared gradients)), L1 and L2 strengths, passes over the rows.
-ALPHA, BETA, L1, L2, PASSES = 0.1, 1.0, 4.0, 1.0, 3
+FIT_DOCS = 16_000
+#: FTRL: rates alpha / (beta + sqrt(sum of squared gradients)), L2 strength, passes over the rows.
+ALPHA, BETA, L2, PASSES = 4.0, 1.0, 0.0, 4
+#: L1 strength for each square root of a row with label 1: about what a feature's gradients sum to by chance.
+L1_SCALE = 0.4
 #: Words whose hashes a task remembers.
 REMEMBERED = 500_000
 
@@ -98,7 +100,8 @@ def fit_weights(labelled: DataFrame, bits: int = HASH_BITS, fit_docs: int = FIT_
     """Weights fitted on ``labelled(text, label)``, about ``fit_docs`` of its rows, chosen by a hash of the text.
 
     Online learning is sequential: one task goes through that bounded sample in the order of the hash and
-    returns the weights that L1 left, so that they are the same in each run. Null labels are left out. Without
+    returns the weights that L1 left, so that they are the same in each run. Null labels are left out, repeated
+    rows count once. Without
     rows of both labels there is nothing to learn: no weights, and the share of label 1 (half, if no rows) as bias.
     """
     rows = labelled.select("text", F.col("label").cast("int").alias("label")).filter("label is not null")
@@ -106,13 +109,13 @@ def fit_weights(labelled: DataFrame, bits: int = HASH_BITS, fit_docs: int = FIT_
     share = min(1.0, fit_docs / max(n, 1))
     order = F.xxhash64(F.lit("order"), "text", "label")
     chosen = (rows.withColumn("order", order).filter(F.pmod("order", F.lit(1 << 20)) < round(share * (1 << 20)))
-              .repartition(1).sortWithinPartitions("order", "text"))
+              .distinct().repartition(1).sortWithinPartitions("order", "text"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = [(t, y) for b in batches for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist())]
         ones = sum(y for _, y in data)
         if 0 < ones < len(data):
-            which, w, bias = fit_ftrl(data, bits, ALPHA, BETA, L1, L2, passes)
+            which, w, bias = fit_ftrl(data, bits, ALPHA, BETA, L1_SCALE * ones ** 0.5, L2, passes)
         else:
             which, w = np.zeros(0, dtype=np.int64), np.zeros(0)
             bias = float(np.log((ones + 0.5) / (len(data) - ones + 0.5)))
