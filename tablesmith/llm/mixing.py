@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablesmith.llm.common import OWN, ranked, saved, stage_table
 
 #: Candidates for a source's offset.
-OFFSETS = 64
+OFFSETS = 32
 
 #: A word: a run of other characters than blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,18 +47,17 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], most: float) -> DataFr
 def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float, seed: int) -> DataFrame:
     """Narrow ``rows`` with ``doc_id``, ``source`` and ``size`` get ``source_size``, ``target`` and ``copies``.
 
-    A document of a source is expected target / source_size times. The documents of a source stand in order of
-    size (ties by a hash of all columns), so that neighbours weigh alike; the prefix sum of their expected
-    copies, plus one offset per source, crosses integers: each crossing emits the document once. Hence a document
-    has at most ceil(target / source_size) copies, never over ``most``. The offset is drawn from ``seed``: of
-    OFFSETS candidates, evenly apart from a random start, the one whose words come nearest to the target (the
-    first, if several do), since in a source of few documents a single one may weigh much. Equal rows are
-    interchangeable; reruns agree.
+    A document of a source is expected target / source_size times. The documents of a source stand in the order
+    of a hash of all columns; the prefix sum of their expected copies, plus one offset per source, crosses
+    integers: each crossing emits the document once. Hence a document has at most ceil(target / source_size)
+    copies, never over ``most``. The offset is drawn from ``seed``: of OFFSETS candidates, evenly apart from a
+    random start, the one whose words come nearest to the target (the first, if several do), since in a source
+    of few documents a single one may weigh much. Equal rows are interchangeable; reruns agree.
     """
     columns, rank, of = rows.columns, OWN + "rank", OWN + "source"
     tie = F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
     order = ranked(rows.withColumns({OWN + "null": F.col("source").isNull(), OWN + "tie": tie}),
-                   [OWN + "null", "source", "size", OWN + "tie", *columns], rank)
+                   [OWN + "null", "source", OWN + "tie", *columns], rank)
     per_source = order.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(rank).alias(OWN + "first"))
     firsts = per_source.select(F.col("source").alias(of), OWN + "first")
     goals = targets(per_source.select("source", "source_size"), weights, most)
