@@ -178,8 +178,8 @@ def main_text(page: str | None, model: Weights) -> str:
     """The text of the best region of a page: blocks in order, joined by line feeds; "" if there is none.
 
     One scan finds the contiguous run of tokens with the highest sum of scores (the first, if several tie).
-    Words in menus, notices and the like score nothing and are left out of the region's text; a block that the
-    region touches is taken whole.
+    Menus, notices and the like, with all they hold, score nothing and are left out of the region's text; a block
+    that the region touches is taken whole.
     """
     if not page:
         return ""
@@ -190,9 +190,7 @@ def main_text(page: str | None, model: Weights) -> str:
         w = model.placed.get((t.feature, t.article)) if marked else model.plain.get(t.feature)
         if w is None:
             w = model.placed["other", t.article] if marked else model.plain["other"]
-        w = w * t.words if t.text else w
-        if t.dropped:
-            w = min(w, 0.0)
+        w = 0.0 if t.dropped else w * t.words if t.text else w
         if total <= 0:
             total, begin = 0.0, k
         total += w
