@@ -106,7 +106,6 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: f
     tag = OWN + "row"
     kept = stage_table(docs.withColumn(tag, F.monotonically_increasing_id()), "mix")
     rows = kept.select("doc_id", "source", word_count(F.col("text")).alias("size"), tag)
-    copies = systematic_copies(rows, weights, most, seed).select(tag, "copies").filter("copies > 0")
-    return (kept.join(copies, tag)
-            .withColumn(OWN + "copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*docs.columns))
+    copies = (systematic_copies(rows, weights, most, seed).filter("copies > 0")
+              .select(tag, F.sequence(F.lit(1), F.col("copies")).alias(OWN + "copies")))
+    return kept.join(copies, tag).withColumn(OWN + "copy", F.explode(OWN + "copies")).select(*docs.columns)

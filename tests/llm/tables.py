@@ -27,7 +27,7 @@ def documents(rows=ROWS) -> pa.Table:
     ids, texts, langs, sources = zip(*rows) if rows else ((), (), (), ())
     return pa.table({
         "doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()), "lang": pa.array(langs, pa.string()),
-        "source": pa.array(sources, pa.string()), "n_chars": pa.array([t and len(t) for t in texts], pa.int64()),
+        "source": pa.array(sources, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64()),
         # extra columns with names that results use
         **{c: pa.array([c] * len(ids), pa.string()) for c in (
             "size", "shard", "slot", "rank", "score", "label", "fp", "tag", "copies", "target", "n_tokens", "found",
@@ -52,7 +52,8 @@ def write(path, rows=ROWS, benchmark=((1, BENCH), (2, None), (3, ""), (4, "...")
                            "html": pa.array([p[2] for p in pages], pa.string()),
                            "text": pa.array(["not this" for _ in pages], pa.string())}),
         "embeddings": pa.table({"vec_id": pa.array([v[0] for v in vectors], pa.int64()),
-                                "embedding": pa.array([v[1] for v in vectors], pa.list_(pa.float32())),
+                                "embedding": pa.array([v[1] and [None if x is None else float(x) for x in v[1]] for v in vectors],
+                                                      pa.list_(pa.float32())),
                                 "label": pa.array([0 for _ in vectors], pa.int32()),
                                 "vector": pa.array(["v" for _ in vectors], pa.string()),
                                 "score": pa.array([0.5 for _ in vectors], pa.float64())}),
