@@ -29,7 +29,7 @@ def string_columns(df: DataFrame, exclude: list[str] | tuple = ()) -> list[str]:
 
 def clean_value(df: DataFrame, name: str) -> Column:
     """The column with NaN mapped to NULL (pandas' missing-value model); other types unchanged."""
-    c = F.col(name)
+    c = F.col(quote(name))
     if isinstance(dtype_of(df, name), FLOAT_TYPES):
         return F.when(~F.isnan(c), c)
     return c
@@ -41,12 +41,12 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     targets = {c for c in cols if isinstance(dtype_of(df, c), FLOAT_TYPES)}
     if not targets:
         return df
-    return df.select([clean_value(df, c).alias(c) if c in targets else F.col(c) for c in df.columns])
+    return df.select([clean_value(df, c).alias(c) if c in targets else F.col(quote(c)) for c in df.columns])
 
 
 def is_missing(df: DataFrame, name: str) -> Column:
     """NULL, or NaN for float columns."""
-    c = F.col(name)
+    c = F.col(quote(name))
     if isinstance(dtype_of(df, name), FLOAT_TYPES):
         return c.isNull() | F.isnan(c)
     return c.isNull()
@@ -57,9 +57,9 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, FLOAT_TYPES):
-            out.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            out.append(F.round(F.col(quote(f.name)).cast("double"), digits).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(F.col(quote(f.name)))
     return df.select(out)
 
 

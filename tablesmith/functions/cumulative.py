@@ -3,95 +3,60 @@
 A window ``partitionBy(group).orderBy(value)`` puts every value of a group into one task. On large tables a
 group (one column's distinct values) can hold billions of rows, so the running total is done in two levels:
 
-1. per group, approximate quantile knots of the ordering value, each range cut into sub-ranges whose number
-   grows with the group's row count, give a bucket id that is monotone in the value;
-2. per (group, bucket) totals form a table of at most groups x buckets rows; their exclusive prefix sums are the
-   bucket offsets (a window over that small table);
+1. the rows are dealt by range of (group, value) into partitions of about equal row counts, whatever the
+   distribution of the values: Spark's range partitioner samples them and cuts by counts, not by width. The
+   partition number is a bucket id that is monotone in the value; it is saved with the rows (a checkpoint in the
+   shared folder), so that a recompute after a lost executor cannot deal them differently;
+2. per (group, bucket) totals form a table with about a row per partition and group; their exclusive prefix sums
+   are the bucket offsets (a window over that small table);
 3. inside each (group, bucket) a window adds the running sum to the offset.
 
-The per-group knots are fitted once and applied as literals (one entry per group; callers group by
-schema-bounded keys: column names, samples, classes). The offsets table has groups x buckets rows and is joined normally, so AQE broadcasts it
-only when its measured size is small.
+A NULL group is a group like any other: all joins are NULL-safe.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-KNOTS = 32                 # approximate quantile knots per group (a power of two)
-TARGET_ROWS = 2_000_000    # rows per (group, bucket) window partition
-
-
-MAX_LITERAL_GROUPS = 5000  # knots of up to this many groups travel as a literal map
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-def _group_key(keys: list[str]):
-    return F.concat_ws("\u001f", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
+from tablesmith.session import ensure_checkpoint_dir
 
 
-def _bucketed(df: DataFrame, group_cols: list[str], order_col: str, knots: int = KNOTS,
-              target_rows: int = TARGET_ROWS, accuracy: int = 10000):
-    """Assign ``_bkt``: monotone in ``order_col`` within a group, about ``target_rows`` rows per bucket.
+def bucketed(df: DataFrame, group_cols: list[str], order_col: str, buckets: int | None = None) -> tuple[DataFrame, list[str]]:
+    """``df``, saved, with ``_bkt``: monotone in ``order_col`` within a group, about equally many rows in each.
 
-    Buckets are ``knots`` approximate-quantile ranges (binary search in ``log2(knots)`` codegen'd steps), each cut
-    into ``S`` equal-width sub-ranges, where ``S`` grows with the group's row count. The knots are fitted once and
-    applied as literals: an approximate sketch depends on the order partial results are merged in, so
-    recomputing it (e.g. after a lost executor) could give other knots; literals keep every bucket id stable.
-    """
+    ``buckets``: how many over all groups; by default as many as Spark makes shuffle partitions. Rows that are
+    equal in group and value share a bucket, so callers aggregate by value first."""
     keys = list(group_cols) or ["_g"]
     if not group_cols:
         df = df.withColumn("_g", F.lit(0))
-    k = max(1, (knots - 1).bit_length())
-    knots = 1 << k
-    probs = [i / knots for i in range(1, knots)]
-    v = F.col(order_col).cast("double")
-    stats = df.groupBy(*keys).agg(
-        F.percentile_approx(v, probs, accuracy).alias("_bounds"),
-        F.count(F.lit(1)).alias("_cnt"), F.min(v).alias("_vmin"), F.max(v).alias("_vmax"))
-    rows = stats.withColumn("_key", _group_key(keys)).limit(MAX_LITERAL_GROUPS + 1).collect()
-    if len(rows) <= MAX_LITERAL_GROUPS:
-        entries = []
-        for r in rows:
-            entries += [F.lit(r["_key"]), F.struct(
-                F.array(*[F.lit(float(b)) for b in r["_bounds"]]).alias("_bounds"), F.lit(int(r["_cnt"])).alias("_cnt"),
-                F.lit(float(r["_vmin"])).alias("_vmin"), F.lit(float(r["_vmax"])).alias("_vmax"))]
-        st = F.create_map(*entries)[_group_key(keys)] if entries else F.lit(None)
-        x = df.withColumn("_st", st).select("*", "_st._bounds", "_st._cnt", "_st._vmin", "_st._vmax").drop("_st")
-    else:
-        # very many groups: join the fitted knots (checkpointed, so every use sees the same knots)
-        from tablesmith.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        x = df.join(stats.checkpoint(eager=True), keys)
-    x = x.withColumn("_i", F.lit(0))
-    for step in range(k):
-        half = 1 << (k - 1 - step)
-        x = x.withColumn("_i", F.col("_i") + F.when(F.element_at("_bounds", F.col("_i") + half) < v, half)
-                         .otherwise(0))
-    lo = F.when(F.col("_i") == 0, F.col("_vmin")).otherwise(F.element_at("_bounds", F.greatest(F.col("_i"), F.lit(1))))
-    hi = F.when(F.col("_i") == knots - 1, F.col("_vmax")).otherwise(F.element_at("_bounds", F.col("_i") + 1))
-    subs = F.greatest(F.lit(1), F.ceil(F.col("_cnt") / F.lit(knots * target_rows)))
-    sub = F.when(hi > lo, F.least(subs - 1, F.floor(subs * (v - lo) / (hi - lo)))).otherwise(0)
-    x = x.withColumn("_bkt", (F.col("_i") * subs + sub).cast("long"))
-    return x.drop("_bounds", "_cnt", "_vmin", "_vmax", "_i"), keys
+    dealt = df.repartitionByRange(*([buckets] if buckets else []), *keys, order_col)
+    ensure_checkpoint_dir(df.sparkSession)
+    return dealt.withColumn("_bkt", F.spark_partition_id().cast("long")).checkpoint(eager=True), keys
+
+
+def _same(left: list[str], right: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
 def running_totals(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
-                   prefix: str = "cum_", with_next: bool = False, knots: int = KNOTS,
-                   target_rows: int = TARGET_ROWS) -> DataFrame:
+                   prefix: str = "cum_", with_next: bool = False, buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` in ascending ``order_col`` within the group) for each
     ``c`` in ``sum_cols``; with ``with_next`` also ``_next`` (the next larger ``order_col`` value of the group,
-    NULL for the last). ``order_col`` must be numeric and distinct within a group (aggregate first)."""
-    x, keys = _bucketed(df, group_cols, order_col, knots, target_rows)
+    NULL for the last). ``order_col`` must be distinct within a group (aggregate first)."""
+    x, keys = bucketed(df, group_cols, order_col, buckets)
     tot_aggs = [F.sum(c).alias(f"_t_{c}") for c in sum_cols] + [F.min(order_col).alias("_bmin")]
     tot = x.groupBy(*keys, "_bkt").agg(*tot_aggs)
     wb = Window.partitionBy(*keys).orderBy("_bkt")
+    marks = [f"_k_{k}" for k in keys] + ["_ob"]
     offs = tot.select(
-        *keys, "_bkt",
+        *[F.col(k).alias(m) for k, m in zip(keys + ["_bkt"], marks)],
         *[(F.sum(f"_t_{c}").over(wb) - F.col(f"_t_{c}")).alias(f"_o_{c}") for c in sum_cols],
         F.lead("_bmin").over(wb).alias("_nextb"))
-    # groups x buckets rows; small unless a group is huge, so AQE decides broadcast vs shuffle at run time
-    x = x.join(offs, keys + ["_bkt"])
+    # about a row per partition and group; AQE decides broadcast or shuffle by its measured size
+    x = x.join(offs, _same(keys + ["_bkt"], marks))
     wi = Window.partitionBy(*keys, "_bkt").orderBy(order_col)
     wr = wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col(c) for c in df.columns if c != "_g"]
@@ -112,16 +77,16 @@ def distinct_value_counts(long: DataFrame, group_cols: list[str], value_col: str
 
 
 def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float], value_col: str = "value",
-                    knots: int = KNOTS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (h = (n-1)q, as ``quantile_cont`` / ``percentile``).
 
     ``long`` holds one row per observation (NULLs already removed). Returns (group..., prob, quantile).
     Selection, not a full sort: distinct values are counted (partial aggregate, so a value repeated in a third of
-    the rows is one row), bucketed by approximate-quantile knots, and per-bucket counts give each bucket's rank
+    the rows is one row), dealt into buckets by range, and per-bucket counts give each bucket's rank
     offset. Only the buckets that hold a wanted rank (at most 2 x len(probs) per group) are ranked by a window.
     """
     dv = distinct_value_counts(long, group_cols, value_col)
-    x, keys = _bucketed(dv, group_cols, value_col)
+    x, keys = bucketed(dv, group_cols, value_col, buckets)
     tot = x.groupBy(*keys, "_bkt").agg(F.sum("n").alias("_bn"))
     wb = Window.partitionBy(*keys).orderBy("_bkt")
     tot = tot.select(*keys, "_bkt", "_bn", (F.sum("_bn").over(wb) - F.col("_bn")).alias("_off"),
@@ -138,12 +103,11 @@ def exact_quantiles(long: DataFrame, group_cols: list[str], probs: list[float],
                       "_h", "_r"))
     # at most 2 x len(probs) rows per group: broadcast
     tb = wanted.select(*[f"_tk_{k}" for k in keys], "_tb", "_off").distinct()
-    cond = [F.col(k) == F.col(f"_tk_{k}") for k in keys] + [F.col("_bkt") == F.col("_tb")]
-    sel = x.join(F.broadcast(tb), cond).select(*keys, "_bkt", "_off", value_col, "n")
+    marks = [f"_tk_{k}" for k in keys] + ["_tb"]
+    sel = x.join(F.broadcast(tb), _same(keys + ["_bkt"], marks)).select(*keys, "_bkt", "_off", value_col, "n")
     wi = Window.partitionBy(*keys, "_bkt").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     ranked = sel.withColumn("_hi", F.col("_off") + F.sum("n").over(wi)).withColumn("_lo", F.col("_hi") - F.col("n"))
-    cond2 = [F.col(k) == F.col(f"_tk_{k}") for k in keys] + [F.col("_bkt") == F.col("_tb"),
-                                                            F.col("_lo") <= F.col("_r"), F.col("_r") < F.col("_hi")]
+    cond2 = _same(keys + ["_bkt"], marks) & (F.col("_lo") <= F.col("_r")) & (F.col("_r") < F.col("_hi"))
     picked = ranked.join(F.broadcast(wanted.drop("_off")), cond2).select(
         *keys, "prob", "_h", "_r", F.col(value_col).alias("_v"))
     res = picked.groupBy(*keys, "prob").agg(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesmith.functions.columns import (FLOAT_TYPES, clean_value, dtype_of, nan_to_null, numeric_columns,
                                           quote)
@@ -29,44 +30,68 @@ def feature_target(df: DataFrame, target: str, key: str | None = None) -> tuple[
 
 def distinct_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A1: exact distinct non-missing values per column plus the row count, long form
-    (column, n_distinct, n_rows). One aggregate for all columns."""
+    (column, n_distinct, n_rows). Values are counted once per (column, value); no row is expanded per aggregate."""
     cols = cols or df.columns
-    aggs = [F.count_distinct(clean_value(df, c)).alias(f"_d{i}") for i, c in enumerate(cols)]
-    wide = df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    stack = ", ".join(f"'{c}', _d{i}" for i, c in enumerate(cols))
-    return wide.select(F.expr(f"stack({len(cols)}, {stack}) AS (column, n_distinct)"), F.col("_n").alias("n_rows"))
+    found = value_groups(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(found, "column", "left").select(
+        "column", F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"),
+        df.agg(F.count(F.lit(1))).scalar().alias("n_rows"))
+
+
+def value_groups(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, n) of the non-missing values, each compared in its own type: integers and decimals by
+    their digits, floats by their shortest form (0.0 and -0.0 are one value), others as they are cast."""
+    def text(c: str) -> Column:
+        v, t = clean_value(df, c), dtype_of(df, c)
+        if isinstance(t, FLOAT_TYPES):
+            return (v + F.lit(0).cast(t)).cast("string")
+        if isinstance(t, T.TimestampType):
+            return F.unix_micros(v).cast("string")
+        return F.hex(v) if isinstance(t, T.BinaryType) else v.cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in cols])
+    long = df.select(F.explode(pairs).alias("p")).select("p.column", "p.value")
+    return long.filter("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _column_summary(df: DataFrame) -> tuple[int, dict]:
-    """One aggregate: row count and, per column, non-missing count, min, max and an HLL distinct estimate."""
+    """One aggregate: row count and, per column, non-missing count, min and max."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(df.columns):
         v = clean_value(df, c)
-        aggs += [F.count(v).alias(f"_c{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
-                 F.approx_count_distinct(v).alias(f"_a{i}")]
+        aggs += [F.count(v).alias(f"_c{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
     row = df.agg(*aggs).first()  # one row, a few values per column: schema-bounded
-    return row["_n"], {c: (row[f"_c{i}"], row[f"_lo{i}"], row[f"_hi{i}"], row[f"_a{i}"])
-                       for i, c in enumerate(df.columns)}
+    return row["_n"], {c: (row[f"_c{i}"], row[f"_lo{i}"], row[f"_hi{i}"]) for i, c in enumerate(df.columns)}
+
+
+def _constant(summary: dict) -> list[str]:
+    return [c for c, (cnt, lo, hi) in summary.items() if cnt > 0 and lo == hi]
+
+
+def _unique(df: DataFrame, n: int, summary: dict, cols: list[str]) -> list[str]:
+    """Columns without a missing value whose exact distinct count is the row count; only a column with a single
+    value in more than one row is known without counting."""
+    if n == 0:
+        return list(cols)
+    cands = [c for c in cols if summary[c][0] == n and not (n > 1 and summary[c][1] == summary[c][2])]
+    if not cands:
+        return []
+    exact = value_groups(df, cands).groupBy("column").agg(F.count(F.lit(1)).alias("_d")).collect()  # row per column
+    found = {r["column"] for r in exact if r["_d"] == n}
+    return [c for c in cands if c in found]
 
 
 def constant_columns(df: DataFrame) -> list[str]:
     """P3 decision: columns with exactly one distinct non-missing value (all-missing columns stay).
     Exactly one distinct value <=> at least one value and min == max: no distinct aggregation needed."""
-    _, summary = _column_summary(df)
-    return [c for c, (cnt, lo, hi, _a) in summary.items() if cnt > 0 and lo == hi]
+    return _constant(_column_summary(df)[1])
 
 
 def unique_columns(df: DataFrame) -> list[str]:
-    """P4 decision: columns whose distinct non-missing count equals the row count (key-like).
-
-    A key-like column has no missing value and an HLL estimate near the row count (rsd 5 %: a 50 % margin
-    is ten standard errors), so only those candidates get the exact distinct count."""
+    """P4 decision: columns whose exact distinct non-missing count equals the row count (key-like)."""
     n, summary = _column_summary(df)
-    cands = [c for c, (cnt, _lo, _hi, est) in summary.items() if cnt == n and est >= 0.5 * n]
-    if not cands or n == 0:
-        return [c for c, (cnt, *_r) in summary.items() if n == 0 and cnt == 0]
-    exact = df.agg(*[F.count_distinct(clean_value(df, c)).alias(f"_d{i}") for i, c in enumerate(cands)]).first()
-    return [c for i, c in enumerate(cands) if exact[f"_d{i}"] == n]
+    return _unique(df, n, summary, df.columns)
 
 
 def drop_constant_columns(df: DataFrame) -> DataFrame:
@@ -81,8 +106,8 @@ def inf_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """P5: +-inf -> NULL in float columns."""
     cols = [c for c in (cols or df.columns) if isinstance(dtype_of(df, c), FLOAT_TYPES)]
     inf = float("inf")
-    return df.select([F.when(F.col(c).isin(inf, -inf), None).otherwise(F.col(c)).alias(c) if c in cols
-                      else F.col(c) for c in df.columns])
+    return df.select([F.when(~F.col(quote(c)).isin(inf, -inf), F.col(quote(c))).alias(c) if c in cols
+                      else F.col(quote(c)) for c in df.columns])
 
 
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -93,21 +118,22 @@ def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
 def clean_table(df: DataFrame) -> DataFrame:
     """Constant columns, then key-like columns (counted on the remaining table), then inf -> NULL, then
     rows with any missing value. The order matters: inf counts as a value in the column decisions."""
-    df = drop_constant_columns(df)
-    df = drop_unique_columns(df)
-    return drop_null_rows(inf_to_null(df))
+    n, summary = _column_summary(df)  # one summary serves both decisions: dropping columns keeps all rows
+    constant = _constant(summary)
+    unique = _unique(df, n, summary, [c for c in df.columns if c not in constant])
+    return drop_null_rows(inf_to_null(df.drop(*constant, *unique)))
 
 
 def fill_constant(df: DataFrame, cols: list[str], value) -> DataFrame:
     """Missing -> constant."""
     return df.select([F.coalesce(clean_value(df, c), F.lit(value).cast(dtype_of(df, c))).alias(c) if c in cols
-                      else F.col(c) for c in df.columns])
+                      else F.col(quote(c)) for c in df.columns])
 
 
 def value_to_null(df: DataFrame, cols: list[str], value) -> DataFrame:
     """A given value -> NULL."""
-    return df.select([F.nullif(F.col(c), F.lit(value).cast(dtype_of(df, c))).alias(c) if c in cols
-                      else F.col(c) for c in df.columns])
+    return df.select([F.nullif(F.col(quote(c)), F.lit(value).cast(dtype_of(df, c))).alias(c) if c in cols
+                      else F.col(quote(c)) for c in df.columns])
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True) -> DataFrame:
@@ -115,8 +141,8 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], exact:
 
     Exact (distributed rank, see ``exact_quantiles``) by default; ``exact=False`` uses ``percentile_approx``.
     """
-    wide = df.select([clean_value(df, c).cast("double").alias(c) for c in cols])
-    long = wide.unpivot([], cols, "column", "value").filter(F.col("value").isNotNull())
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), clean_value(df, c).cast("double").alias("value")) for c in cols])
+    long = df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
     if exact:
         return exact_quantiles(long, ["column"], probs)
     q = long.groupBy("column").agg(F.percentile_approx("value", probs, 100000).alias("_q"))
@@ -125,12 +151,6 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], exact:
         "quantile")
 
 
-def _wide_stats(long_stats: DataFrame, cols: list[str], prob: float | None = None) -> DataFrame:
-    """(column, prob, quantile) -> one row with one field per column (`prob` selects one quantile)."""
-    src = long_stats if prob is None else long_stats.filter(F.col("prob") == prob)
-    return src.groupBy().pivot("column", cols).agg(F.first("quantile"))
-
-
 def fill_median(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """P10: missing -> column median of the non-missing values. The medians are fitted once (one number per
     column) and applied as literals."""
@@ -141,7 +161,7 @@ def fill_median(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame
             fill = F.lit(float(med[c])) if med.get(c) is not None else F.lit(None).cast("double")
             out.append(F.coalesce(clean_value(df, c).cast("double"), fill).alias(c))
         else:
-            out.append(F.col(c))
+            out.append(F.col(quote(c)))
     return df.select(out)
 
 
@@ -163,7 +183,7 @@ def derived_sum(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
 
 def log1p_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """log(1 + x)."""
-    return df.select([F.log1p(clean_value(df, c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select([F.log1p(clean_value(df, c)).alias(c) if c in cols else F.col(quote(c)) for c in df.columns])
 
 
 def quantile_fences(df: DataFrame, cols: list[str], lower: float = 0.5, upper: float = 0.95,

@@ -21,17 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions import stats as S
-from tablesmith.functions.columns import clean_value, safe_div
+from tablesmith.functions.columns import clean_value, quote, safe_div
 from tablesmith.functions.cumulative import exact_quantiles, running_totals
 
 # Fixed values of the pinned definitions.
 SHARE_FLOOR = 1e-4           # an empty bin's share in PSI and KL
-MAX_VALUE_BINS = 20          # numeric columns with at most this many distinct values are binned by value
-APPROX_DISTINCT_MARGIN = 100  # approximate distinct count above which a column surely has > 20 values
 SCORE_THRESHOLD = 0.1
 P_THRESHOLD = 0.05
 SHARE_THRESHOLD = 0.5
-LARGE_SAMPLE = 1000           # automatic method: distance above this many reference rows, test below
 WASSERSTEIN_STD_FLOOR = 0.001
 MMD_FEATURES = 32
 MMD_SEED = 7
@@ -39,32 +36,42 @@ MMD_SEED = 7
 
 def tag_samples(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
     """One DataFrame of both samples with ``_side`` 0 (reference) / 1 (current); no shuffle (a union)."""
-    r = reference.select(*cols).withColumn("_side", F.lit(0))
-    c = current.select(*cols).withColumn("_side", F.lit(1))
+    names = [quote(c) for c in cols]
+    r = reference.select(*names).withColumn("_side", F.lit(0))
+    c = current.select(*names).withColumn("_side", F.lit(1))
     return r.unionByName(c)
 
 
 def side_split(df: DataFrame, side_col: str, reference_value, current_value, cols: list[str]) -> DataFrame:
     """Tag rows of one table holding both samples (e.g. a split column)."""
     return (df.filter(F.col(side_col).isin(reference_value, current_value))
-            .select(*cols, F.when(F.col(side_col) == F.lit(reference_value), 0).otherwise(1).alias("_side")))
+            .select(*[quote(c) for c in cols], F.when(F.col(side_col) == F.lit(reference_value), 0).otherwise(1).alias("_side")))
 
 
 def numeric_long(tagged: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, _side, value double) without NULL/NaN."""
+    """(column, _side, value double) without NULL, NaN and +-inf (as P5: inf is missing). One infinite value would
+    otherwise stretch the bins over everything; ``set_aside`` counts what is left out."""
     if not cols:
         return tagged.sparkSession.createDataFrame([], "column string, _side int, value double")
     wide = tagged.select("_side", *[clean_value(tagged, c).cast("double").alias(c) for c in cols])
-    long = wide.unpivot(["_side"], cols, "column", "value")
-    return long.filter(F.col("value").isNotNull())
+    long = wide.unpivot(["_side"], [quote(c) for c in cols], "column", "value")
+    return long.filter(F.col("value").isNotNull() & (F.abs("value") < float("inf")))
+
+
+def set_aside(tagged: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, _side, n_missing, n_infinite) of the values that ``numeric_long`` leaves out, in one pass."""
+    wide = tagged.select("_side", *[F.col(quote(c)).cast("double").alias(c) for c in cols])
+    v = F.col("value")
+    return wide.unpivot(["_side"], [quote(c) for c in cols], "column", "value").groupBy("column", "_side").agg(
+        F.count_if(v.isNull() | F.isnan(v)).alias("n_missing"), F.count_if(F.abs(v) == float("inf")).alias("n_infinite"))
 
 
 def categorical_long(tagged: DataFrame, cols: list[str]) -> DataFrame:
     """(column, _side, value string) without NULL."""
     if not cols:
         return tagged.sparkSession.createDataFrame([], "column string, _side int, value string")
-    wide = tagged.select("_side", *[F.col(c).cast("string").alias(c) for c in cols])
-    long = wide.unpivot(["_side"], cols, "column", "value")
+    wide = tagged.select("_side", *[F.col(quote(c)).cast("string").alias(c) for c in cols])
+    long = wide.unpivot(["_side"], [quote(c) for c in cols], "column", "value")
     return long.filter(F.col("value").isNotNull())
 
 
@@ -73,26 +80,21 @@ def _side_counts(long: DataFrame) -> list[Column]:
             F.sum(F.when(F.col("_side") == 1, 1).otherwise(0)).cast("long").alias("n_cur")]
 
 
-def numeric_bins(nlong: DataFrame) -> DataFrame:
-    """(column, bin, n_ref, n_cur): by value for <= 20 distinct values, else ``ceil(log2(N))+1`` equal-width
-    bins over the combined [min, max] (last bin closed)."""
-    stats = nlong.groupBy("column").agg(
-        F.count(F.lit(1)).alias("_N"), F.min("value").alias("_min"), F.max("value").alias("_max"),
-        F.approx_count_distinct("value").alias("_and"))
-    few = stats.filter(F.col("_and") <= APPROX_DISTINCT_MARGIN).select("column")
-    # exact distinct counts only for columns that may have few values: bounded groups per column
-    nd = (nlong.join(F.broadcast(few), "column").select("column", "value").distinct()
-          .groupBy("column").agg(F.count(F.lit(1)).alias("_nd")))
-    mode = stats.join(nd, "column", "left")
-    # ceil(log2(N)) = bit length of N-1, computed on integers
-    k = F.length(F.bin(F.col("_N") - 1)) + 1
-    mode = mode.select("column", "_min", "_max",
-                       (F.col("_nd").isNotNull() & (F.col("_nd") <= MAX_VALUE_BINS)).alias("_by_value"),
-                       k.alias("_k"))
-    w = (F.col("_max") - F.col("_min")) / F.col("_k")
-    idx = F.least(F.floor(safe_div(F.col("value") - F.col("_min"), w)), F.col("_k") - 1).cast("double")
-    binned = (nlong.join(F.broadcast(mode), "column")  # one row per column
-              .withColumn("bin", F.when(F.col("_by_value"), F.col("value")).otherwise(idx)))
+def numeric_bins(nlong: DataFrame, by_value: tuple[str, ...] = ()) -> DataFrame:
+    """(column, bin, n_ref, n_cur): ``ceil(log2(N))+1`` equal-width bins over the combined [min, max] (last bin
+    closed); the columns named in ``by_value`` have a bin per value instead.
+
+    The ranges are fitted first, one row per column, and applied as literals: two passes, no join."""
+    fitted = nlong.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
+                                         F.max("value").alias("hi")).collect()
+    idx = F.lit(None).cast("double")
+    v = F.col("value")
+    for r in fitted:
+        k = (r["n"] - 1).bit_length() + 1  # ceil(log2(N)) is the bit length of N - 1
+        w = (r["hi"] - r["lo"]) / k
+        equal = F.least(F.floor((v - F.lit(r["lo"])) / F.lit(w)), F.lit(k - 1)).cast("double") if w else F.lit(None)
+        idx = F.when(F.col("column") == r["column"], v if r["column"] in by_value else equal.cast("double")).otherwise(idx)
+    binned = nlong.withColumn("bin", idx)
     return binned.groupBy("column", "bin").agg(*_side_counts(binned))
 
 
@@ -102,7 +104,9 @@ def categorical_bins(clong: DataFrame) -> DataFrame:
 
 def share_measures(bins: DataFrame) -> DataFrame:
     """Per column: psi, kl_div, jensenshannon, tvd, chisquare, g_test, dof, n_ref, n_cur, n_bins."""
-    tot = bins.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
+    # totals as doubles: the products below pass 2**63 from about 3e9 rows a side
+    tot = bins.groupBy("column").agg(F.sum("n_ref").cast("double").alias("tot_ref"),
+                                     F.sum("n_cur").cast("double").alias("tot_cur"),
                                      F.count(F.lit(1)).alias("n_bins"))
     j = bins.join(F.broadcast(tot), "column")
     p = safe_div(F.col("n_ref"), F.col("tot_ref"))
@@ -118,7 +122,8 @@ def share_measures(bins: DataFrame) -> DataFrame:
     js_p = F.when(p > 0, p * F.log(safe_div(p, m))).otherwise(0.0)
     js_q = F.when(q > 0, q * F.log(safe_div(q, m))).otherwise(0.0)
     return j.groupBy("column").agg(
-        F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"), F.first("n_bins").alias("n_bins"),
+        F.first("tot_ref").cast("long").alias("n_ref"), F.first("tot_cur").cast("long").alias("n_cur"),
+        F.first("n_bins").alias("n_bins"),
         F.sum((qf - pf) * F.log(safe_div(qf, pf))).alias("psi"),
         F.sum(pf * F.log(safe_div(pf, qf))).alias("kl_div"),
         F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(js_p) + 0.5 * F.sum(js_q))).alias("jensenshannon"),
@@ -239,15 +244,16 @@ def _with_p(df: DataFrame, method: str) -> DataFrame:
 
 
 def method_table(reference: DataFrame, current: DataFrame, cols: list[str], method: str,
-                 kind: str = "num") -> DataFrame:
+                 kind: str = "num", by_value: tuple[str, ...] = ()) -> DataFrame:
     """One row per column for one named method: (column, method, statistic, p_value, n_ref, n_cur)."""
     tagged = tag_samples(reference, current, cols)
-    return method_table_tagged(tagged, cols, method, kind)
+    return method_table_tagged(tagged, cols, method, kind, by_value)
 
 
-def method_table_tagged(tagged: DataFrame, cols: list[str], method: str, kind: str = "num") -> DataFrame:
+def method_table_tagged(tagged: DataFrame, cols: list[str], method: str, kind: str = "num",
+                        by_value: tuple[str, ...] = ()) -> DataFrame:
     if method in ("psi", "kl_div", "jensenshannon", "tvd", "chisquare", "g_test", "fisher_exact"):
-        bins = numeric_bins(numeric_long(tagged, cols)) if kind == "num" else categorical_bins(
+        bins = numeric_bins(numeric_long(tagged, cols), by_value) if kind == "num" else categorical_bins(
             categorical_long(tagged, cols))
         sm = share_measures(bins)
         stat_col = {"fisher_exact": "n_bins"}.get(method, method)
@@ -276,18 +282,18 @@ def method_table_tagged(tagged: DataFrame, cols: list[str], method: str, kind: s
 
 def drift_table(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
                 num_method: str = "psi", cat_method: str = "jensenshannon",
-                threshold: float = SCORE_THRESHOLD) -> DataFrame:
+                threshold: float = SCORE_THRESHOLD, by_value: tuple[str, ...] = ()) -> DataFrame:
     """One row per feature: column, kind, method, score, threshold, drifted (score >= threshold)."""
     tagged = tag_samples(reference, current, numeric + categorical)
-    return drift_table_tagged(tagged, numeric, categorical, num_method, cat_method, threshold)
+    return drift_table_tagged(tagged, numeric, categorical, num_method, cat_method, threshold, by_value)
 
 
 def drift_table_tagged(tagged: DataFrame, numeric: list[str], categorical: list[str],
                        num_method: str = "psi", cat_method: str = "jensenshannon",
-                       threshold: float = SCORE_THRESHOLD) -> DataFrame:
+                       threshold: float = SCORE_THRESHOLD, by_value: tuple[str, ...] = ()) -> DataFrame:
     parts = []
     if numeric:
-        sm = share_measures(numeric_bins(numeric_long(tagged, numeric)))
+        sm = share_measures(numeric_bins(numeric_long(tagged, numeric), by_value))
         parts.append(sm.select("column", F.lit("num").alias("kind"), F.lit(num_method).alias("method"),
                                F.col(num_method).alias("score")))
     if categorical:
@@ -311,33 +317,40 @@ def drift_summary(table: DataFrame, share_threshold: float = SHARE_THRESHOLD) ->
 
 
 def column_drift_tagged(tagged: DataFrame, numeric: list[str], categorical: list[str],
-                        large: int = LARGE_SAMPLE) -> DataFrame:
-    """Automatic method per column. Numeric: normed Wasserstein above ``large`` reference rows, else KS
-    p-value; categorical: Jensen-Shannon above ``large``, else chi-square p-value."""
+                        num_method: str = "wasserstein", cat_method: str = "jensenshannon",
+                        kinds: dict[str, str] | None = None) -> DataFrame:
+    """Drift per column by a distance (drifted from SCORE_THRESHOLD up) or a test's p-value (drifted below
+    P_THRESHOLD): numeric columns by ``wasserstein`` (normed) or ``ks``, categorical ones by ``jensenshannon`` or
+    ``chisquare``. The caller names the methods; they don't depend on the number of rows. ``kinds`` renames the
+    kind of single columns in the result (e.g. the target's)."""
+    if num_method not in ("wasserstein", "ks") or cat_method not in ("jensenshannon", "chisquare"):
+        raise ValueError(f"unknown drift method {num_method!r} or {cat_method!r}")
     parts = []
     if numeric:
-        nl = numeric_long(tagged, numeric)
-        cm = S.add_p_value(cumulative_measures(nl).withColumn("statistic", F.col("ks")), "ks")
-        big = F.col("n_ref") > large
-        parts.append(cm.select(
-            "column", F.lit("num").alias("kind"),
-            F.when(big, "wasserstein").otherwise("ks").alias("method"),
-            F.when(big, F.col("wasserstein_norm")).otherwise(F.col("p_value")).alias("score"),
-            F.when(big, SCORE_THRESHOLD).otherwise(P_THRESHOLD).alias("threshold"),
-            F.when(big, F.col("wasserstein_norm") >= SCORE_THRESHOLD)
-             .otherwise(F.col("p_value") < P_THRESHOLD).alias("drifted")))
+        cm = cumulative_measures(numeric_long(tagged, numeric))
+        if num_method == "ks":
+            cm = S.add_p_value(cm.withColumn("statistic", F.col("ks")), "ks").withColumn("score", F.col("p_value"))
+        else:
+            cm = cm.withColumn("score", F.col("wasserstein_norm"))
+        parts.append(cm.select("column", F.lit("num").alias("kind"), F.lit(num_method).alias("method"), "score",
+                               F.lit(num_method == "ks").alias("_test")))
     if categorical:
         sm = share_measures(categorical_bins(categorical_long(tagged, categorical)))
-        sm = S.add_p_value(sm.withColumn("statistic", F.col("chisquare")), "chisquare")
-        big = F.col("n_ref") > large
-        parts.append(sm.select(
-            "column", F.lit("cat").alias("kind"),
-            F.when(big, "jensenshannon").otherwise("chisquare").alias("method"),
-            F.when(big, F.col("jensenshannon")).otherwise(F.col("p_value")).alias("score"),
-            F.when(big, SCORE_THRESHOLD).otherwise(P_THRESHOLD).alias("threshold"),
-            F.when(big, F.col("jensenshannon") >= SCORE_THRESHOLD)
-             .otherwise(F.col("p_value") < P_THRESHOLD).alias("drifted")))
+        if cat_method == "chisquare":
+            sm = S.add_p_value(sm.withColumn("statistic", F.col("chisquare")), "chisquare")
+            sm = sm.withColumn("score", F.col("p_value"))
+        else:
+            sm = sm.withColumn("score", F.col("jensenshannon"))
+        parts.append(sm.select("column", F.lit("cat").alias("kind"), F.lit(cat_method).alias("method"), "score",
+                               F.lit(cat_method == "chisquare").alias("_test")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    kind = F.col("kind")
+    for c, k in (kinds or {}).items():
+        kind = F.when(F.col("column") == c, k).otherwise(kind)
+    return out.select(
+        "column", kind.alias("kind"), "method", "score",
+        F.when(F.col("_test"), P_THRESHOLD).otherwise(SCORE_THRESHOLD).alias("threshold"),
+        F.when(F.col("_test"), F.col("score") < P_THRESHOLD).otherwise(F.col("score") >= SCORE_THRESHOLD)
+        .alias("drifted"))

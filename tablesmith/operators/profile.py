@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesmith.functions.columns import clean_value, is_missing, numeric_columns, safe_div
-from tablesmith.operators.clean import column_quantiles, distinct_counts  # noqa: F401  (A1 lives in clean)
+from tablesmith.functions.columns import clean_value, is_missing, numeric_columns, quote, safe_div
+from tablesmith.operators.clean import column_quantiles, distinct_counts, value_groups  # noqa: F401  (A1 lives in clean)
 
 
 def _stack(wide: DataFrame, cols: list[str], fields: list[str], keep: list[str] | None = None) -> DataFrame:
     """One-row wide aggregate with fields ``{field}__{i}`` -> one row per column."""
-    parts = []
-    for i, c in enumerate(cols):
-        parts.append(f"'{c}'")
-        parts += [f"`{f}__{i}`" for f in fields]
-    expr = f"stack({len(cols)}, {', '.join(parts)}) AS (column, {', '.join(fields)})"
-    return wide.select(*(keep or []), F.expr(expr))
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{f}__{i}").alias(f) for f in fields])
+                     for i, c in enumerate(cols)])
+    return wide.select(*(keep or []), F.inline(rows))
+
+
+def _long(df: DataFrame, values: dict[str, Column], value: str = "value") -> DataFrame:
+    """(column, value), a row per input row and column, in one pass; names may hold any character."""
+    return df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), v.alias(value)) for c, v in values.items()])))
 
 
 def class_balance(df: DataFrame, col: str) -> DataFrame:
@@ -39,15 +41,19 @@ def missing_values(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """A4: rows equal to an earlier row (NULLs equal): sum(count - 1) over groups of identical rows.
-    The group-by combines map-side, so a heavily repeated row does not land whole in one task."""
-    cols = [F.col(c) for c in df.columns]
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+
+    A 64-bit hash of each row is counted first (8 bytes to shuffle, combined map-side); only rows whose hash
+    occurs more than once are then compared in full, again combined map-side."""
+    cols = [F.col(quote(c)) for c in df.columns]
+    often = (df.groupBy(F.xxhash64(*cols).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > 1).select("_hash"))
+    g = (df.withColumn("_hash", F.xxhash64(*cols)).join(often, "_hash", "left_semi")
+         .groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")))
     return g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
 def _num_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    wide = df.select([clean_value(df, c).cast("double").alias(c) for c in cols])
-    return wide.unpivot([], cols, "column", "value")
+    return _long(df, {c: clean_value(df, c).cast("double") for c in cols})
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -84,9 +90,9 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 5) -> DataFrame:
-    """A10: equal-width bins over [min, max], bin 1..bins, the last bin closed."""
+    """A10: equal-width bins over [min, max], bin 1..bins, the last bin closed. +-inf is missing, as in P5."""
     v = clean_value(df, col).cast("double")
-    base = df.select(v.alias("x")).filter(F.col("x").isNotNull())
+    base = df.select(v.alias("x")).filter(F.col("x").isNotNull() & (F.abs("x") < float("inf")))
     mm = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # fitted range: two numbers
     if mm["lo"] is None:
         return base.sparkSession.createDataFrame([], "bin int, lower double, upper double, n_rows bigint")
@@ -123,13 +129,16 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool =
     v = F.col("value")
     m = long.groupBy("column").agg(
         F.count(v).alias("count"), F.count_if(v.isNull()).alias("n_missing"),
-        F.count_distinct(v).alias("n_distinct"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"), F.count_if(v == 0).alias("n_zeros"),
         F.count_if(v < 0).alias("n_negative"), F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
     q = column_quantiles(df, cols, [0.25, 0.5, 0.75], exact)
     qw = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
                                    for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    return m.join(qw, "column", "left")
+    # distinct values are counted in the column's own type: as doubles, integers above 2**53 would fall together
+    d = value_groups(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return (m.join(d, "column", "left").join(qw, "column", "left")
+            .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0).cast("long"))))
 
 
 def top_value_counts(long: DataFrame) -> DataFrame:
@@ -144,14 +153,52 @@ def top_value_counts(long: DataFrame) -> DataFrame:
 
 def profile_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
     """A12 categorical part: count, missing, distinct, most frequent value and its frequency."""
-    wide = df.select([F.col(c).cast("string").alias(c) for c in cols])
-    long = wide.unpivot([], cols, "column", "value")
+    long = _long(df, {c: F.col(quote(c)).cast("string") for c in cols})
     v = F.col("value")
-    m = long.groupBy("column").agg(F.count(v).alias("count"), F.count_if(v.isNull()).alias("n_missing"),
-                                   F.count_distinct(v).alias("n_distinct"))
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    m = counts.groupBy("column").agg(
+        F.sum(F.when(v.isNotNull(), F.col("_n")).otherwise(0)).alias("count"),
+        F.sum(F.when(v.isNull(), F.col("_n")).otherwise(0)).alias("n_missing"), F.count(v).alias("n_distinct"))
     return m.join(top_value_counts(long), "column", "left")
 
 
+def profile_top_values(df: DataFrame, cols: list[str], k: int = 3) -> DataFrame:
+    """The ``k`` most frequent non-missing values of each column, ties to the smaller (a top-k report)."""
+    long = _long(df, {c: F.col(quote(c)).cast("string") for c in cols}).filter("value is not null")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    # Spark keeps k rows per column and task before the shuffle (a limit on the window's rank)
+    w = Window.partitionBy("column").orderBy(F.desc("n_rows"), "value")
+    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
+        "column", "rank", "value", "n_rows")
+
+
+def profile_dates(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A12 for date and time columns: count, missing, distinct, first, last and the days between."""
+    long = _long(df, {c: F.col(quote(c)).cast("timestamp_ntz") for c in cols})
+    v = F.col("value")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy("column").agg(
+        F.sum(F.when(v.isNotNull(), F.col("_n")).otherwise(0)).alias("count"),
+        F.sum(F.when(v.isNull(), F.col("_n")).otherwise(0)).alias("n_missing"), F.count(v).alias("n_distinct"),
+        F.min(v).cast("string").alias("first"), F.max(v).cast("string").alias("last"),
+        F.datediff(F.max(v).cast("date"), F.min(v).cast("date")).alias("days"))
+
+
+def profile_histograms(df: DataFrame, cols: list[str], bins: int = 5) -> DataFrame:
+    """Equal-width histogram of each column (as A10), all in two passes: ranges, then bins."""
+    long = _num_long(df, cols).filter(F.col("value").isNotNull() & (F.abs("value") < float("inf")))
+    rng = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()  # row a column
+    v, bin_, lower, width = F.col("value"), F.lit(None).cast("int"), F.lit(0.0), F.lit(0.0)
+    for r in rng:
+        here, w = F.col("column") == r["column"], (r["hi"] - r["lo"]) / bins
+        at = F.least(F.floor((v - F.lit(r["lo"])) / F.lit(w)) + 1, F.lit(bins)).cast("int") if w else F.lit(1)
+        bin_, lower = F.when(here, at).otherwise(bin_), F.when(here, F.lit(r["lo"])).otherwise(lower)
+        width = F.when(here, F.lit(w)).otherwise(width)
+    g = long.groupBy("column", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return g.select("column", "bin", (lower + (F.col("bin") - 1) * width).alias("lower"),
+                    (lower + F.col("bin") * width).alias("upper"), "n_rows")
+
+
 def profile_table(df: DataFrame) -> DataFrame:
     """A12 table part: rows, columns, missing cells and their percent, duplicate rows."""
     cols = df.columns
@@ -167,16 +214,14 @@ def profile_table(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A12 correlations: Pearson per column pair, long form (col_a, col_b, corr), one aggregate."""
     cols = cols or numeric_columns(df)
-    clean = df.select([clean_value(df, c).cast("double").alias(c) for c in cols])
+    value = {c: clean_value(df, c).cast("double") for c in cols}
     upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]  # symmetric: aggregate each pair once
-    wide = clean.agg(*[F.corr(a, b).alias(f"corr__{i}") for i, (a, b) in enumerate(upper)])
+    wide = df.agg(*[F.corr(value[a], value[b]).alias(f"corr__{i}") for i, (a, b) in enumerate(upper)])
     idx = {p: i for i, p in enumerate(upper)}
-    pairs = [(a, b) for a in cols for b in cols]
-    parts = []
-    for a, b in pairs:
-        i = idx[(a, b)] if (a, b) in idx else idx[(b, a)]
-        parts += [f"'{a}'", f"'{b}'", f"`corr__{i}`"]
-    return wide.select(F.expr(f"stack({len(pairs)}, {', '.join(parts)}) AS (col_a, col_b, corr)"))
+    rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                              F.col(f"corr__{idx.get((a, b), idx.get((b, a)))}").alias("corr"))
+                     for a in cols for b in cols])
+    return wide.select(F.inline(rows))
 
 
 def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:

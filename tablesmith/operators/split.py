@@ -17,16 +17,24 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesmith.functions.columns import quote
+
 SPLIT_NAMES = ("train", "val", "test")
 
 
-def hash_order(key: str, seed: int) -> Column:
-    """Seeded per-row order key: lower-case hex md5 of ``"<key>:<seed>"``."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+def hash_order(df: DataFrame, key: str, seed: int) -> Column:
+    """Seeded per-row order key: lower-case hex md5 of ``"<key>:<seed>"``. A NULL key identifies no row, so such
+    rows are ordered by a hash of all their columns instead, which also spreads them over the buckets."""
+    k = F.col(quote(key)).cast("string")
+    content = F.xxhash64(*[F.col(quote(c)) for c in df.columns]).cast("string")
+    return F.md5(F.coalesce(F.concat(k, F.lit(f":{seed}")), F.concat(F.lit("null:"), content, F.lit(f":{seed}"))))
 
 
 def _keyed(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
-    return (df.withColumn("_h", hash_order(key, seed))
+    """``df`` with its order key, the key's bucket, and a tie-break for rows of one key: a recompute ranks them
+    alike (rows equal in all columns are interchangeable)."""
+    return (df.withColumn("_h", hash_order(df, key, seed))
+            .withColumn("_tie", F.xxhash64(*[F.col(quote(c)) for c in df.columns]))
             .withColumn("_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("long")))
 
 
@@ -39,8 +47,9 @@ def stratified_split(df: DataFrame, key: str, target: str, fractions=(0.7, 0.15,
     """Add ``split_col`` with ``names[i]`` so each class keeps its shares exactly (one row of rounding).
 
     ``fractions`` are the part sizes (summing to 1); the first two cuts are ``round(f1*n)`` and
-    ``round((f1+f2)*n)`` with half-up rounding on exact decimals. ``key`` must identify rows (a row id): equal
-    keys share a hash, so they would tie and land in one bucket.
+    ``round((f1+f2)*n)`` with half-up rounding on exact decimals. Every input row comes out once, rows with a
+    NULL or repeated key and the NULL class included. ``key`` should identify rows (a row id): equal keys share a
+    hash, so they lie in one bucket.
     """
     c1 = Decimal(str(fractions[0]))
     c2 = c1 + Decimal(str(fractions[1]))
@@ -63,14 +72,14 @@ def stratified_split(df: DataFrame, key: str, target: str, fractions=(0.7, 0.15,
     cuts = cuts.select(F.col(target).alias("_t"), "_cut1", "_cut2",
                        F.col("_k1._b").alias("_b1"), F.col("_k1._before").alias("_o1"),
                        F.col("_k2._b").alias("_b2"), F.col("_k2._before").alias("_o2"))
-    # cuts has one row per class of the target (a classification label), so it is broadcast
-    j = keyed.join(F.broadcast(cuts), t.eqNullSafe(F.col("_t")))
+    # one row per class; no hint: Spark broadcasts it only if its measured size is small
+    j = keyed.join(cuts, t.eqNullSafe(F.col("_t")))
     b = F.col("_b")
     boundary = (b == F.col("_b1")) | (b == F.col("_b2"))
     by_bucket = (j.filter(~boundary)
                  .withColumn(split_col, F.when(b < F.col("_b1"), names[0])
                              .when(b < F.col("_b2"), names[1]).otherwise(names[2])))
-    wr = Window.partitionBy("_t", "_b").orderBy("_h")
+    wr = Window.partitionBy("_t", "_b").orderBy("_h", "_tie")
     rank = F.when(b == F.col("_b1"), F.col("_o1")).otherwise(F.col("_o2")) + F.row_number().over(wr)
     by_rank = (j.filter(boundary).withColumn("_rk", rank)
                .withColumn(split_col, F.when(F.col("_rk") <= F.col("_cut1"), names[0])
@@ -89,7 +98,7 @@ def class_rank(df: DataFrame, key: str, target: str, seed: int = 42, rank_col: s
                          (F.sum("_cnt").over(w) - F.col("_cnt")).alias("_off"))
     # classes x 16^digits rows: AQE broadcasts it when the measured size is small
     j = keyed.join(offs, F.col(target).eqNullSafe(F.col("_t")) & (F.col("_b") == F.col("_ob")))
-    wr = Window.partitionBy("_t", "_b").orderBy("_h")
+    wr = Window.partitionBy("_t", "_b").orderBy("_h", "_tie")
     return j.withColumn(rank_col, F.col("_off") + F.row_number().over(wr)).select(*df.columns, rank_col)
 
 

@@ -1,4 +1,5 @@
-"""Plans for drift (D1-D17): train vs test of the stratified split of ``bookings``."""
+"""Plans for drift (D1-D17): train vs test of the stratified split of ``bookings``, the test part with a planted
+shift in some columns, so that every method has columns that drift and columns that don't."""
 
 from __future__ import annotations
 
@@ -14,10 +15,11 @@ from tablesmith.plans.catalog import register
 
 NUM = TB.NUMERIC
 CAT = TB.CATEGORICAL
+BY_VALUE = ("o_year",)  # few values: a bin for each
 
 
 def _tagged(spark, sf_dir, cols):
-    return D.side_split(TB.bookings_split(spark, sf_dir), "split", "train", "test", cols)
+    return D.side_split(TB.planted_shift(TB.bookings_split(spark, sf_dir)), "split", "train", "test", cols)
 
 
 BASE = [Q.BOOKINGS, Q.split_cte(), Q.tagged_cte()]
@@ -25,7 +27,7 @@ BASE = [Q.BOOKINGS, Q.split_cte(), Q.tagged_cte()]
 
 def _method_plan(method, cols, kind):
     def plan(spark, sf_dir):
-        res = D.method_table_tagged(_tagged(spark, sf_dir, cols), cols, method, kind)
+        res = D.method_table_tagged(_tagged(spark, sf_dir, cols), cols, method, kind, BY_VALUE)
         return round_doubles(res.select("column", "method", "statistic", "n_ref", "n_cur"))
     return plan
 
@@ -57,12 +59,16 @@ def _method_plan_p(method):
     return plan
 
 
+def _even_chi2_p(stat):
+    """Chi-square survival for even degrees of freedom in closed form, exp(-x/2) sum_{i<dof/2} (x/2)^i / i!; odd
+    ones would need erfc, absent in DuckDB, but beyond 20 times dof the value is below 1e-6 for any dof."""
+    return (f"CASE WHEN dof % 2 = 0 THEN exp(-{stat} / 2) * list_sum(list_transform(range(0, CAST(dof / 2 AS BIGINT)),"
+            f" lambda i: ({stat} / 2) ^ i / exp(lgamma(i + 1)))) WHEN {stat} > 20 * dof THEN 0.0 END")
+
+
 def _chi2_p_sql(method):
-    """Chi-square survival for even degrees of freedom in closed form, exp(-x/2) sum_{i<dof/2} (x/2)^i / i!
-    (the categorical columns here have 5 categories, dof 4); odd dof would need erfc, absent in DuckDB."""
     ctes = BASE + [Q.clong_cte(CAT), Q.categorical_bins_cte(), Q.share_measures_cte("cbins", "sm")]
-    p = (f"CASE WHEN dof % 2 = 0 THEN exp(-{method} / 2) * list_sum(list_transform(range(0, CAST(dof / 2 AS BIGINT)),"
-         f" lambda i: ({method} / 2) ^ i / exp(lgamma(i + 1)))) END")
+    p = _even_chi2_p(method)
     return Q.with_(*ctes) + (f"SELECT \"column\", '{method}' AS method, round({method}, 6) AS statistic, "
                              f"round({p}, 6) AS p_value, dof, n_ref, n_cur FROM sm")
 
@@ -145,10 +151,11 @@ rff AS (SELECT l."column", {feats},
 register("drift_mmd", _mmd_sql())(_method_plan("mmd", NUM, "num"))
 
 
-FISHER_SQL = Q.with_(*BASE, """fb AS (
-  SELECT CAST(is_filled AS VARCHAR) AS bin, count(*) FILTER (WHERE _side = 0) AS n_ref,
+def _fisher_sql(col):
+    return Q.with_(*BASE, f"""fb AS (
+  SELECT CAST({col} AS VARCHAR) AS bin, count(*) FILTER (WHERE _side = 0) AS n_ref,
          count(*) FILTER (WHERE _side = 1) AS n_cur
-  FROM tagged WHERE is_filled IS NOT NULL GROUP BY 1),
+  FROM tagged WHERE {col} IS NOT NULL GROUP BY 1),
 t AS (
   SELECT min_by(n_ref, bin) AS a, max_by(n_ref, bin) AS b, min_by(n_cur, bin) AS c, max_by(n_cur, bin) AS d,
          sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM fb),
@@ -158,18 +165,19 @@ h AS (
          lgamma(r1 + 1) + lgamma(r2 + 1) + lgamma(c1 + 1) + lgamma(n - c1 + 1) - lgamma(n + 1)
          - (lgamma(x + 1) + lgamma(r1 - x + 1) + lgamma(c1 - x + 1) + lgamma(r2 - c1 + x + 1)) AS lp
   FROM m, range(CAST(greatest(0, c1 - r2) AS BIGINT), CAST(least(r1, c1) + 1 AS BIGINT)) AS g(x)),
-o AS (SELECT lp AS lp_obs FROM h WHERE x = a)""") + """
-SELECT 'is_filled_cat' AS "column", 'fisher_exact' AS method, round(CAST(a * d AS DOUBLE) / (b * c), 6) AS statistic,
+o AS (SELECT lp AS lp_obs FROM h WHERE x = a)""") + f"""
+SELECT '{col}' AS "column", 'fisher_exact' AS method, round(CAST(a * d AS DOUBLE) / (b * c), 6) AS statistic,
        round(least(1.0, sum(CASE WHEN lp <= lp_obs + 1e-7 THEN exp(lp) ELSE 0 END)), 6) AS p_value,
        CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur
 FROM h, o GROUP BY a, b, c, d, n_ref, n_cur"""
 
 
-@register("drift_fisher", FISHER_SQL)
+FISHER_COLS = ["is_filled", "is_filled_shifted"]
+
+
+@register("drift_fisher", " UNION ALL ".join(f"(SELECT * FROM ({_fisher_sql(c)}))" for c in FISHER_COLS))
 def drift_fisher(spark, sf_dir):
-    split = TB.bookings_split(spark, sf_dir).withColumn("is_filled_cat", F.col("is_filled").cast("string"))
-    tagged = D.side_split(split, "split", "train", "test", ["is_filled_cat"])
-    res = D.method_table_tagged(tagged, ["is_filled_cat"], "fisher_exact", "cat")
+    res = D.method_table_tagged(_tagged(spark, sf_dir, FISHER_COLS), FISHER_COLS, "fisher_exact", "cat")
     return round_doubles(res.select("column", "method", "statistic", "p_value", "n_ref", "n_cur"))
 
 
@@ -184,7 +192,7 @@ DRIFT_TABLE_SQL = Q.with_(*BASE, Q.nlong_cte(NUM), Q.numeric_bins_cte(), Q.share
           "SELECT \"column\", kind, method, round(score, 6) AS score, 0.1 AS threshold, score >= 0.1 AS drifted FROM dt")
 def drift_table(spark, sf_dir):
     tagged = _tagged(spark, sf_dir, NUM + CAT)
-    return round_doubles(D.drift_table_tagged(tagged, NUM, CAT))
+    return round_doubles(D.drift_table_tagged(tagged, NUM, CAT, by_value=BY_VALUE))
 
 
 @register("drift_summary", DRIFT_TABLE_SQL + """
@@ -194,44 +202,89 @@ SELECT count(*) AS n_columns, CAST(sum(CAST(score >= 0.1 AS INTEGER)) AS BIGINT)
 FROM dt""")
 def drift_summary(spark, sf_dir):
     tagged = _tagged(spark, sf_dir, NUM + CAT)
-    return round_doubles(D.drift_summary(D.drift_table_tagged(tagged, NUM, CAT)))
+    return round_doubles(D.drift_summary(D.drift_table_tagged(tagged, NUM, CAT, by_value=BY_VALUE)))
 
 
 KS_P_SQL_LAM = re.sub(r"\blam\b", "(sqrt(n_ref * n_cur / (n_ref + n_cur)) * ks)", KS_P_SQL)
 
 
-def _auto_sql(num_cols, cat_cols, src_ctes):
-    parts = []
-    ctes = list(src_ctes)
+def _columns_sql(src_ctes, num_cols, cat_cols, num_method="wasserstein", cat_method="jensenshannon", target=None):
+    """D16 in SQL; chi-square p-values by the closed form for even degrees of freedom."""
+    parts, ctes = [], list(src_ctes)
     if num_cols:
-        ctes += [Q.nlong_cte(num_cols), Q.cumulative_cte(),
-                 f"ksl AS (SELECT *, {KS_P_SQL_LAM} AS ks_p FROM cum)"]
-        parts.append("""SELECT "column", 'num' AS kind,
-       CASE WHEN n_ref > 1000 THEN 'wasserstein' ELSE 'ks' END AS method,
-       round(CASE WHEN n_ref > 1000 THEN wasserstein_norm ELSE ks_p END, 6) AS score,
-       CASE WHEN n_ref > 1000 THEN 0.1 ELSE 0.05 END AS threshold,
-       CASE WHEN n_ref > 1000 THEN wasserstein_norm >= 0.1 ELSE ks_p < 0.05 END AS drifted
-FROM ksl""")
+        ctes += [Q.nlong_cte(num_cols), Q.cumulative_cte(), f"ksl AS (SELECT *, {KS_P_SQL_LAM} AS ks_p FROM cum)"]
+        score, drifted, threshold = {"wasserstein": ("wasserstein_norm", "wasserstein_norm >= 0.1", 0.1),
+                                     "ks": ("ks_p", "ks_p < 0.05", 0.05)}[num_method]
+        parts.append(f"""SELECT "column", 'num' AS kind, '{num_method}' AS method, round({score}, 6) AS score,
+       CAST({threshold} AS DOUBLE) AS threshold, {drifted} AS drifted FROM ksl""")
     if cat_cols:
-        ctes += [Q.clong_cte(cat_cols), Q.categorical_bins_cte(), Q.share_measures_cte("cbins", "smc")]
-        parts.append("""SELECT "column", 'cat' AS kind,
-       CASE WHEN n_ref > 1000 THEN 'jensenshannon' ELSE 'chisquare' END AS method,
-       round(jensenshannon, 6) AS score, 0.1 AS threshold, jensenshannon >= 0.1 AS drifted
-FROM smc""")
+        ctes += [Q.clong_cte(cat_cols), Q.categorical_bins_cte(), Q.share_measures_cte("cbins", "smc"),
+                 f"smp AS (SELECT *, {_even_chi2_p('chisquare')} AS chi_p FROM smc)"]
+        score, drifted, threshold = {"jensenshannon": ("jensenshannon", "jensenshannon >= 0.1", 0.1),
+                                     "chisquare": ("chi_p", "chi_p < 0.05", 0.05)}[cat_method]
+        kind = f"CASE WHEN \"column\" = '{target}' THEN 'target' ELSE 'cat' END"
+        parts.append(f"""SELECT "column", {kind} AS kind, '{cat_method}' AS method, round({score}, 6) AS score,
+       CAST({threshold} AS DOUBLE) AS threshold, {drifted} AS drifted FROM smp""")
     return Q.with_(*ctes) + "\nUNION ALL\n".join(parts)
 
 
-# The oracle has both numeric branches (KS p-value by the Kolmogorov series); for categorical columns it mirrors
-# the large-sample branch (every sample here has more than 1000 rows): the chi-square p-value needs the
-# incomplete gamma function, which DuckDB lacks.
-@register("drift_columns", _auto_sql(NUM, CAT, BASE))
+@register("drift_columns", _columns_sql(BASE, NUM, CAT))
 def drift_columns(spark, sf_dir):
     tagged = _tagged(spark, sf_dir, NUM + CAT)
     return round_doubles(D.column_drift_tagged(tagged, NUM, CAT))
 
 
-@register("drift_target", _auto_sql([], ["o_orderstatus"], BASE))
+@register("drift_columns_tests", _columns_sql(BASE, NUM, CAT, "ks", "chisquare"))
+def drift_columns_tests(spark, sf_dir):
+    tagged = _tagged(spark, sf_dir, NUM + CAT)
+    return round_doubles(D.column_drift_tagged(tagged, NUM, CAT, "ks", "chisquare"))
+
+
+SIDES = [Q.BOOKINGS, Q.sides_cte()]
+
+
+def _by_date(spark, sf_dir, cols):
+    return D.side_split(TB.bookings_by_date(spark, sf_dir), "_side", 0, 1, cols)
+
+
+@register("drift_target", Q.with_(*SIDES, "tagged AS (SELECT * FROM sides)")[:-1] + ",\n" +
+          _columns_sql([], [], ["o_orderstatus"], target="o_orderstatus").removeprefix("WITH "))
 def drift_target(spark, sf_dir):
-    # J1 then D16 on the target: the split keeps the target joined to the features by key
-    tagged = _tagged(spark, sf_dir, ["o_orderstatus"])
-    return round_doubles(D.column_drift_tagged(tagged, [], ["o_orderstatus"]))
+    # J1, then D16 on the target alone
+    return round_doubles(D.column_drift_tagged(_by_date(spark, sf_dir, [TB.TARGET]), [], [TB.TARGET],
+                                               kinds={TB.TARGET: "target"}))
+
+
+REPORT_NUM = ["o_totalprice", "c_acctbal", "c_nationkey"]
+
+
+@register("drift_report", Q.with_(*SIDES, "tagged AS (SELECT * FROM sides)")[:-1] + ",\n" +
+          _columns_sql([], REPORT_NUM, CAT + ["o_orderstatus"], target="o_orderstatus").removeprefix("WITH "))
+def drift_report(spark, sf_dir):
+    """One report of numeric, categorical and target columns over features joined with the target."""
+    tagged = _by_date(spark, sf_dir, REPORT_NUM + CAT + [TB.TARGET])
+    return round_doubles(D.column_drift_tagged(tagged, REPORT_NUM, CAT + [TB.TARGET], kinds={TB.TARGET: "target"}))
+
+
+def _infinite_sql():
+    ctes = [Q.RAW, Q.split_cte(src="raw"), """tagged AS (
+  SELECT *, CASE WHEN split = 'train' THEN 0 ELSE 1 END AS _side FROM split WHERE split IN ('train', 'test'))""",
+            Q.nlong_cte(["balance_score"]), Q.numeric_bins_cte(by_value=()), Q.share_measures_cte("nbins", "sm"),
+            """aside AS (
+  SELECT count(*) FILTER (WHERE balance_score IS NULL OR isnan(balance_score)) AS n_missing,
+         count(*) FILTER (WHERE isinf(balance_score)) AS n_infinite FROM tagged)"""]
+    return Q.with_(*ctes) + """SELECT "column", 'psi' AS method, round(psi * 1000, 6) AS statistic_e3, n_ref, n_cur,
+       n_missing, n_infinite FROM sm, aside"""
+
+
+@register("drift_infinite", _infinite_sql())
+def drift_infinite(spark, sf_dir):
+    """PSI of a column with infinite values: they are set aside and counted, the bins keep their width."""
+    from tablesmith.operators.split import stratified_split
+    split = stratified_split(TB.bookings_raw(spark, sf_dir), TB.KEY, TB.TARGET, (0.7, 0.15, 0.15), TB.SEED)
+    tagged = D.side_split(split.checkpoint(eager=True), "split", "train", "test", ["balance_score"])
+    aside = D.set_aside(tagged, ["balance_score"]).groupBy("column").agg(
+        F.sum("n_missing").alias("n_missing"), F.sum("n_infinite").alias("n_infinite"))
+    res = D.method_table_tagged(tagged, ["balance_score"], "psi").join(aside, "column")
+    return round_doubles(res.select("column", "method", (F.col("statistic") * 1000).alias("statistic_e3"), "n_ref",
+                                    "n_cur", "n_missing", "n_infinite"))

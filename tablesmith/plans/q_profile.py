@@ -18,19 +18,18 @@ RAW = Q.with_(Q.RAW)
 GAPPY = Q.with_(Q.BOOKINGS_GAPPY)
 
 
-def _targets_known(spark, sf_dir):
-    o = TB.table(spark, sf_dir, "orders")
-    return o.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderstatus")
+def _targets(spark, sf_dir):
+    return TB.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
 
 
-TGT_SQL = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'"
+TGT_SQL = "SELECT o_orderkey, o_orderstatus FROM orders"
 
 
 @register("join_target", B + f"""
 SELECT b.o_orderkey, b.o_totalprice, t.o_orderstatus FROM bookings b LEFT JOIN ({TGT_SQL}) t USING (o_orderkey)""")
 def join_target(spark, sf_dir):
     x, _ = C.feature_target(TB.bookings(spark, sf_dir), TB.TARGET, TB.KEY)
-    return R.join_target(x.select("o_orderkey", "o_totalprice"), _targets_known(spark, sf_dir), TB.KEY)
+    return R.join_target(x.select("o_orderkey", "o_totalprice"), _targets(spark, sf_dir), TB.KEY)
 
 
 @register("pair_features_target", B + f"""
@@ -38,19 +37,17 @@ SELECT b.o_orderkey, b.o_totalprice, b.c_mktsegment, t.o_orderstatus
 FROM bookings b JOIN ({TGT_SQL}) t USING (o_orderkey)""")
 def pair_features_target(spark, sf_dir):
     x = TB.bookings(spark, sf_dir).select("o_orderkey", "o_totalprice", "c_mktsegment")
-    return R.pair_features_target(x, _targets_known(spark, sf_dir), TB.KEY)
+    return R.pair_features_target(x, _targets(spark, sf_dir), TB.KEY)
 
 
 @register("concat_columns", """
-SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_totalprice, b.o_orderdate
-FROM (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) a
-FULL OUTER JOIN (SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F') b
-ON a.o_orderkey = b.o_orderkey""")
+SELECT coalesce(a.l_orderkey, b.o_orderkey) AS o_orderkey, a.n_lines, b.o_orderdate
+FROM (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey) a
+FULL OUTER JOIN (SELECT o_orderkey, o_orderdate FROM orders) b ON a.l_orderkey = b.o_orderkey""")
 def concat_columns(spark, sf_dir):
-    o = TB.table(spark, sf_dir, "orders")
-    a = o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select("o_orderkey", "o_totalprice")
-    b = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderdate")
-    return R.concat_columns(a, b, "o_orderkey")
+    lines = TB.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_lines"))
+    return R.concat_columns(lines, TB.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
 
 
 @register("remove_rows_anti", B + """
@@ -105,12 +102,17 @@ def missing_values(spark, sf_dir):
     return round_doubles(PR.missing_values(TB.bookings_raw(spark, sf_dir)))
 
 
-@register("duplicate_count", B + """
-SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS n_duplicates
-FROM (SELECT count(*) AS c FROM bookings GROUP BY c_mktsegment, o_orderpriority, o_orderstatus, o_year)""")
+# the bookings with those of one priority delivered twice
+TWICE = B[:-1] + """,
+twice AS (SELECT * FROM bookings UNION ALL SELECT * FROM bookings WHERE o_orderpriority = '1-URGENT')
+"""
+
+
+@register("duplicate_count", TWICE + """
+SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS BIGINT) AS n_duplicates FROM twice""")
 def duplicate_count(spark, sf_dir):
-    b = TB.bookings(spark, sf_dir).select("c_mktsegment", "o_orderpriority", "o_orderstatus", "o_year")
-    return PR.duplicate_count(b)
+    b = TB.bookings(spark, sf_dir)
+    return PR.duplicate_count(b.unionByName(b.filter(F.col("o_orderpriority") == "1-URGENT")))
 
 
 GNUM = ["o_totalprice", "c_acctbal", "c_nationkey", "o_year"]
@@ -169,6 +171,59 @@ def histogram(spark, sf_dir):
     return round_doubles(PR.histogram(TB.table(spark, sf_dir, "lineitem"), "l_extendedprice", 5))
 
 
+@register("histogram_infinite", RAW.rstrip() + """,
+f AS (SELECT balance_score AS x FROM raw WHERE balance_score IS NOT NULL AND isfinite(balance_score)),
+mm AS (SELECT min(x) AS lo, max(x) AS hi FROM f),
+h AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / 5)) + 1, 5) AS INTEGER) AS bin FROM f, mm)
+SELECT bin, round(lo + (bin - 1) * ((hi - lo) / 5), 6) AS lower, round(lo + bin * ((hi - lo) / 5), 6) AS upper,
+       count(*) AS n_rows
+FROM h, mm GROUP BY bin, lo, hi""")
+def histogram_infinite(spark, sf_dir):
+    return round_doubles(PR.histogram(TB.bookings_raw(spark, sf_dir), "balance_score", 5))
+
+
+@register("profile_large_ids", B + """
+SELECT 'id' AS "column", count(*) AS count, count(DISTINCT o_orderkey + 9007199254740992) AS n_distinct FROM bookings""")
+def profile_large_ids(spark, sf_dir):
+    """Distinct ids above 2**53, where neighbouring integers are one double."""
+    ids = TB.bookings(spark, sf_dir).select((F.col("o_orderkey") + F.lit(9007199254740992)).alias("id"))
+    return PR.profile_numeric(ids, ["id"]).select("column", "count", "n_distinct")
+
+
+@register("profile_top_values", GAPPY + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST(row_number() OVER (ORDER BY n_rows DESC, value) AS INTEGER) AS rank, value, n_rows
+FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM gappy WHERE {c} IS NOT NULL GROUP BY 1)
+QUALIFY rank <= 3""" for c in ["o_orderpriority", "c_nationkey", "o_year"]))
+def profile_top_values(spark, sf_dir):
+    return PR.profile_top_values(TB.bookings_gappy(spark, sf_dir), ["o_orderpriority", "c_nationkey", "o_year"], 3)
+
+
+@register("profile_dates", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS n_missing,
+       count(DISTINCT {c}) AS n_distinct, strftime(min({c}), '%Y-%m-%d %H:%M:%S') AS first,
+       strftime(max({c}), '%Y-%m-%d %H:%M:%S') AS last,
+       CAST(date_diff('day', CAST(min({c}) AS DATE), CAST(max({c}) AS DATE)) AS INTEGER) AS days FROM {t}"""
+    for c, t in (("o_orderdate", "orders"),)))
+def profile_dates(spark, sf_dir):
+    return PR.profile_dates(TB.table(spark, sf_dir, "orders"), ["o_orderdate"])
+
+
+def _histograms_sql():
+    parts = []
+    for c in LCOLS:
+        parts.append(f"""SELECT '{c}' AS "column", bin, round(lo + (bin - 1) * ((hi - lo) / 5), 6) AS lower,
+       round(lo + bin * ((hi - lo) / 5), 6) AS upper, count(*) AS n_rows
+FROM (SELECT CAST(least(floor(({c} - lo) / ((hi - lo) / 5)) + 1, 5) AS INTEGER) AS bin, lo, hi
+      FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem))
+GROUP BY bin, lo, hi""")
+    return " UNION ALL ".join(parts)
+
+
+@register("profile_histograms", _histograms_sql())
+def profile_histograms(spark, sf_dir):
+    return round_doubles(PR.profile_histograms(TB.table(spark, sf_dir, "lineitem"), LCOLS, 5))
+
+
 def _box_sql():
     parts = []
     for c in LCOLS:

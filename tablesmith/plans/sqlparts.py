@@ -34,8 +34,22 @@ def split_cte(src: str = "bookings", key: str = "o_orderkey", target: str = "o_o
 
 
 def tagged_cte(src: str = "split", ref: str = "train", cur: str = "test", name: str = "tagged") -> str:
+    """Both sides of a split, the current one with the planted shift of ``tables.planted_shift``."""
     return f"""{name} AS (
-  SELECT *, CASE WHEN split = '{ref}' THEN 0 ELSE 1 END AS _side FROM {src} WHERE split IN ('{ref}', '{cur}'))"""
+  SELECT * REPLACE (
+           CASE WHEN split = '{cur}' THEN o_totalprice * 1.2 ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN split = '{cur}' AND o_orderpriority = '5-LOW' THEN '6-NONE' ELSE o_orderpriority END
+             AS o_orderpriority),
+         CASE WHEN split = '{cur}' AND o_orderpriority = '5-LOW' THEN 1 ELSE is_filled END AS is_filled_shifted,
+         CASE WHEN split = '{ref}' THEN 0 ELSE 1 END AS _side
+  FROM {src} WHERE split IN ('{ref}', '{cur}'))"""
+
+
+def sides_cte(name: str = "sides") -> str:
+    """Bookings before and from 1995-06-17 as reference and current sample (not stratified)."""
+    return f"""{name} AS (
+  SELECT b.*, CAST(o_orderdate >= DATE '1995-06-17' AS INTEGER) AS _side
+  FROM bookings b JOIN (SELECT o_orderkey, o_orderdate FROM orders) USING (o_orderkey))"""
 
 
 def nlong_cte(cols: list[str], src: str = "tagged", name: str = "nlong") -> str:
@@ -43,7 +57,7 @@ def nlong_cte(cols: list[str], src: str = "tagged", name: str = "nlong") -> str:
     on = ", ".join(cols)
     return f"""{name} AS (
   SELECT "column", _side, value FROM (UNPIVOT (SELECT _side, {sel} FROM {src}) ON {on} INTO NAME "column" VALUE value)
-  WHERE value IS NOT NULL AND NOT isnan(value))"""
+  WHERE value IS NOT NULL AND isfinite(value))"""
 
 
 def clong_cte(cols: list[str], src: str = "tagged", name: str = "clong") -> str:
@@ -54,19 +68,18 @@ def clong_cte(cols: list[str], src: str = "tagged", name: str = "clong") -> str:
   WHERE value IS NOT NULL)"""
 
 
-def numeric_bins_cte(src: str = "nlong", name: str = "nbins") -> str:
+def numeric_bins_cte(src: str = "nlong", name: str = "nbins", by_value: tuple[str, ...] = ("o_year",)) -> str:
+    named = ", ".join(f"'{c}'" for c in ("", *by_value))
     return f"""{name}_stats AS (
-  SELECT "column", count(*) AS _N, min(value) AS _min, max(value) AS _max, count(DISTINCT value) AS _nd
+  SELECT "column", min(value) AS _min, max(value) AS _max, length(bin(count(*) - 1)) + 1 AS _k
   FROM {src} GROUP BY "column"),
-{name}_mode AS (
-  SELECT "column", _min, _max, _nd <= 20 AS _by_value, length(bin(_N - 1)) + 1 AS _k FROM {name}_stats),
 {name} AS (
   SELECT "column", bin, CAST(sum(CASE WHEN _side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_ref,
          CAST(sum(CASE WHEN _side = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_cur
   FROM (SELECT l."column", l._side,
-               CASE WHEN _by_value THEN value
+               CASE WHEN l."column" IN ({named}) THEN value
                     ELSE CAST(least(floor((value - _min) / ((_max - _min) / _k)), _k - 1) AS DOUBLE) END AS bin
-        FROM {src} l JOIN {name}_mode m ON l."column" = m."column")
+        FROM {src} l JOIN {name}_stats m ON l."column" = m."column")
   GROUP BY "column", bin)"""
 
 

@@ -56,6 +56,28 @@ def bookings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(bookings(spark, sf_dir), KEY, TARGET, (0.7, 0.15, 0.15), SEED).checkpoint(eager=True)
 
 
+def planted_shift(split: DataFrame, current: str = "test") -> DataFrame:
+    """A split whose current part has drifted where the drift plans should find it: prices 20 % up, a category
+    renamed, and a copy of ``is_filled`` that is 1 for the renamed category. Other columns stay as they are."""
+    now = F.col("split") == current
+    low = F.col("o_orderpriority") == "5-LOW"
+    return split.withColumns({
+        "is_filled_shifted": F.when(now & low, 1).otherwise(F.col("is_filled")),
+        "o_totalprice": F.when(now, F.col("o_totalprice") * 1.2).otherwise(F.col("o_totalprice")),
+        "o_orderpriority": F.when(now & low, "6-NONE").otherwise(F.col("o_orderpriority"))})
+
+
+def bookings_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the bookings before and from 1995-06-17 (``_side`` 0 and 1; not stratified), joined again with
+    their target by key (J1): the target drifts between such parts, most features don't."""
+    from tablesmith.operators.relate import join_target
+    b = bookings(spark, sf_dir)
+    dates = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderdate") >= F.lit("1995-06-17").cast("date"))
+                                                  .cast("int").alias("_side"))
+    features = b.drop(TARGET).join(dates, "o_orderkey")
+    return join_target(features, b.select(KEY, TARGET), KEY)
+
+
 def bookings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bookings as an uncleaned source: a constant column, missing prices (low-priority orders), and a
     balance score with -inf / +inf / NaN where the balance says so (below -900, above 9900, negative)."""

@@ -116,13 +116,13 @@ def test_running_totals_two_level(spark):
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000).astype(str), "v": vals})
     long = spark.createDataFrame(pdf).withColumnRenamed("v", "value")
     dv = CU.distinct_value_counts(long, ["g"])
-    rt = CU.running_totals(dv, ["g"], "value", ["n"], with_next=True, knots=8, target_rows=20).toPandas()
+    rt = CU.running_totals(dv, ["g"], "value", ["n"], with_next=True, buckets=12).toPandas()
     for g, part in pdf.groupby("g"):
         vc = part["v"].value_counts().sort_index()
         got = rt[rt["g"] == g].sort_values("value")
         assert got["cum_n"].tolist() == vc.cumsum().tolist()
         assert got["_next"].tolist()[:-1] == vc.index.tolist()[1:]
-    q = CU.exact_quantiles(long, ["g"], [0.0, 0.1, 0.5, 0.77, 1.0], knots=8).toPandas()
+    q = CU.exact_quantiles(long, ["g"], [0.0, 0.1, 0.5, 0.77, 1.0], buckets=8).toPandas()
     for _, r in q.iterrows():
         want = np.quantile(pdf[pdf["g"] == r["g"]]["v"].to_numpy(), r["prob"])
         assert abs(r["quantile"] - want) < 1e-9
@@ -297,15 +297,16 @@ def test_degenerate_samples_do_not_fail(spark):
     assert EV.pr_auc(one.withColumn("label", F.lit(0))).first()[0] is None
 
 
-def test_automatic_method_small_samples(spark):
-    # fewer than 1000 reference rows: KS p-value for numeric, chi-square p-value for categorical columns
+def test_drift_by_tests(spark):
+    # KS p-value for numeric, chi-square p-value for categorical columns
     from tablesmith.functions import stats as S
     rng = np.random.default_rng(7)
     a, b = rng.integers(0, 30, 200).astype(float), rng.integers(3, 33, 150).astype(float)
     ca, cb = rng.choice(list("xyz"), 200, p=[.5, .3, .2]), rng.choice(list("xyz"), 150, p=[.3, .3, .4])
     ref = spark.createDataFrame(pd.DataFrame({"v": a, "c": ca}))
     cur = spark.createDataFrame(pd.DataFrame({"v": b, "c": cb}))
-    out = {r["column"]: r for r in D.column_drift_tagged(D.tag_samples(ref, cur, ["v", "c"]), ["v"], ["c"]).collect()}
+    out = {r["column"]: r for r in D.column_drift_tagged(
+        D.tag_samples(ref, cur, ["v", "c"]), ["v"], ["c"], "ks", "chisquare").collect()}
     z = np.unique(np.concatenate([a, b]))
     d = np.abs(np.array([(a <= v).mean() for v in z]) - np.array([(b <= v).mean() for v in z])).max()
     assert out["v"]["method"] == "ks" and abs(out["v"]["score"] - S.ks_two_sample_p(d, 200, 150)) < 1e-12

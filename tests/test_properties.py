@@ -15,7 +15,7 @@ SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(He
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=300), st.sampled_from([0.0, 0.33, 0.5, 0.9, 1.0]))
 def test_exact_quantile_matches_numpy(spark, values, prob):
     long = spark.createDataFrame(pd.DataFrame({"value": [float(v) for v in values]}))
-    got = CU.exact_quantiles(long, [], [prob], knots=4).first()["quantile"]
+    got = CU.exact_quantiles(long, [], [prob], buckets=4).first()["quantile"]
     assert abs(got - np.quantile(np.array(values, dtype=float), prob)) < 1e-9
 
 
