@@ -57,18 +57,22 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 
 
 def score_counts(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
-    """(score, pos, neg): rows per distinct score (combined map-side)."""
+    """(score, pos, neg, unlabelled): rows per distinct score (combined map-side)."""
     is_pos = F.col(label) == F.lit(positive)
     s = F.col(score).cast("double")
     return df.filter(s.isNotNull() & ~F.isnan(s)).groupBy(s.alias("score")).agg(
-        F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg"))
+        F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg"),
+        F.count_if(F.col(label).isNull()).alias("unlabelled"))
 
 
 def curve_points(df: DataFrame, label: str = "label", score: str = "score", positive=1) -> DataFrame:
     """Per distinct score s (as a threshold, predict positive when score >= s): tp, fp and the counts at s,
-    plus the totals P, N."""
+    plus the totals P, N. Scored rows without a label are refused: they are neither positive nor negative."""
     sc = score_counts(df, label, score, positive)
-    tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers, fitted once
+    tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum("unlabelled").alias("U")).first()
+    if tot["U"]:
+        raise ValueError(f"{tot['U']} scored rows have no label: drop or label them first")
+    sc = sc.drop("unlabelled")
     P, N = F.lit(int(tot["P"] or 0)), F.lit(int(tot["N"] or 0))
     rt = running_totals(sc, [], "score", ["pos", "neg"])
     return rt.select("score", "pos", "neg", (P - F.col("cum_pos") + F.col("pos")).alias("tp"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -53,21 +55,59 @@ def weighted_f1(pred: DataFrame, label: str = "label", prediction: str = "predic
     return rep.filter(F.col("cls") == "weighted avg").select(F.col("f1").alias("f1_weighted"))
 
 
-def cross_validate(kind: str, data: DataFrame, k: int, fold_col: str = "fold", features: str = "features",
-                   label: str = "label", with_train: bool = False, **params) -> DataFrame:
-    """M7 / M8: per fold, fit on the other folds and score the held-out fold (weighted F1); with
-    ``with_train`` also the training-fold F1 and the gap train - validation. Folds run one after another, each
-    fit distributed."""
+def cross_validate(kind: str, data: DataFrame, k: int, prepare, fold_col: str = "fold", label: str = "label",
+                   with_train: bool = False, **params) -> DataFrame:
+    """M7 / M8: per fold, fit preprocessing and model on the other folds and score the held-out one: (fold, n_val,
+    f1_val), with ``with_train`` also the training folds' F1 and the gap train - validation.
+
+    ``prepare(train)`` fits on the training folds and returns a function from a DataFrame to one with ``features``:
+    nothing of the held-out fold reaches the preprocessing. Folds run one after another, each fit distributed;
+    the driver keeps a row per fold."""
     rows = []
     for f in range(k):
         tr = data.filter(F.col(fold_col) != f)
         va = data.filter(F.col(fold_col) == f)
-        m = fit(kind, tr, features, label, **params)
-        vf = weighted_f1(m.transform(va).withColumn("prediction", F.col("prediction").cast("int")), label).first()[0]
-        row = [f, float(vf)]
+        features = prepare(tr)
+        train = features(tr).persist()
+        m = fit(kind, train, label=label, **params)
+        scored = lambda df: m.transform(df).withColumn("prediction", F.col("prediction").cast("int"))
+        vf = float(weighted_f1(scored(features(va)), label).first()[0])
+        row = [f, va.count(), vf]
         if with_train:
-            tf = weighted_f1(m.transform(tr).withColumn("prediction", F.col("prediction").cast("int")), label).first()[0]
-            row += [float(tf), float(tf) - float(vf)]
+            tf = float(weighted_f1(scored(train), label).first()[0])
+            row += [tf, tf - vf]
+        train.unpersist()
         rows.append(tuple(row))
-    schema = "fold int, f1_val double" + (", f1_train double, gap double" if with_train else "")
+    schema = "fold int, n_val bigint, f1_val double" + (", f1_train double, gap double" if with_train else "")
     return data.sparkSession.createDataFrame(rows, schema)
+
+
+def score_equations(model, df: DataFrame, names: list[str], features: str = "features",
+                    label: str = "label") -> DataFrame:
+    """(feature, equation): sum over rows of (probability of 1 - label) * x_j for each feature, and for the
+    intercept, by the mean's size; about 0 at the optimum of a logistic regression without penalty."""
+    p = vector_to_array("probability")[1]
+    x = vector_to_array(features)
+    rest = model.transform(df).select((p - F.col(label)).alias("r"), x.alias("x"))
+    sums = rest.agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("s_0"),
+                    *[F.sum(F.col("r") * F.col("x")[j]).alias(f"s_{j + 1}") for j in range(len(names))])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), (F.col(f"s_{j}") / F.col("n")).alias("equation"))
+                     for j, c in enumerate(["(intercept)", *names])])
+    return sums.select(F.inline(rows))
+
+
+def model_path(base: str, name: str) -> str:
+    """A place for a saved model with the time in its name, as UTC to the microsecond: names sort by age."""
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return f"{base.rstrip('/')}/{name}-{stamp}"
+
+
+def newest_model(spark, base: str, name: str) -> str:
+    """The path of the youngest model of that name below ``base``."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(base)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    paths = [f.getPath().toString() for f in found if f.getPath().getName().startswith(f"{name}-")]
+    if not paths:
+        raise FileNotFoundError(f"no model {name!r} below {base}")
+    return max(paths)

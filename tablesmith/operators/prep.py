@@ -15,9 +15,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.columns import clean_value
+from tablesmith.functions.columns import clean_value, quote
+from tablesmith.functions.cumulative import running_totals
 from tablesmith.operators.clean import column_quantiles
-from tablesmith.operators.profile import top_value_counts
+from tablesmith.operators.profile import top_of_counts
 
 
 def fit_medians(train: DataFrame, cols: list[str], exact: bool = True) -> dict:
@@ -41,37 +42,36 @@ def fit_moments(train: DataFrame, cols: list[str], fill: dict | None = None) ->
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
 
 
+def category_counts(train: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, n) of the non-null values as strings: one pass, counted map-side."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(quote(c)).cast("string").alias("value")) for c in cols])
+    return (train.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def vocabulary(train: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, index): the training categories with their 0-based place in sorted order, a table of any
+    size. The place is a two-level running count, so no column's values meet in one task."""
+    counts = category_counts(train, cols).select("column", "value", F.lit(1).cast("long").alias("one"))
+    return running_totals(counts, ["column"], "value", ["one"]).select(
+        "column", "value", (F.col("cum_one") - 1).cast("int").alias("index"))
+
+
 def fit_modes(train: DataFrame, cols: list[str]) -> dict:
-    """T3 fit: most frequent non-null value, ties to the smallest (aggregates only)."""
+    """T3 fit: most frequent non-null value, ties to the smallest (aggregates only; one row per column)."""
     if not cols:
         return {}
-    wide = train.select([F.col(c).cast("string").alias(c) for c in cols])
-    long = wide.unpivot([], cols, "column", "value")
-    return {r["column"]: r["top"] for r in top_value_counts(long).collect()}
-
+    return {r["column"]: r["top"] for r in top_of_counts(category_counts(train, cols).withColumnRenamed("n", "_f")).collect()}
 
-MAX_CATEGORIES = 100_000
 
-
-def fit_categories(train: DataFrame, cols: list[str], fill: dict | None = None,
-                   max_categories: int = MAX_CATEGORIES) -> dict:
-    """T4 fit: sorted distinct categories per column (after filling with ``fill``). The vocabulary reaches the
-    driver, as MLlib's StringIndexer's does, so a cheap estimate first refuses identifier-like columns whose
-    vocabulary would not be small (raise instead of collecting it)."""
+def fit_categories(train: DataFrame, cols: list[str]) -> dict:
+    """Sorted training categories per column, for outputs that have a column per category: there the vocabulary is
+    the schema. For vocabularies that grow with the data use ``label_encode`` and ``one_hot_sparse``, which keep it
+    in a table."""
     if not cols:
         return {}
-    est = train.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_a{i}") for i, c in enumerate(cols)]).first()
-    too_big = [c for i, c in enumerate(cols) if est[f"_a{i}"] > max_categories]
-    if too_big:
-        raise ValueError(f"categorical columns with more than {max_categories} categories: {too_big}")
-    fill = fill or {}
-    wide = train.select([(F.coalesce(F.col(c).cast("string"), F.lit(fill[c])) if fill.get(c) is not None
-                          else F.col(c).cast("string")).alias(c) for c in cols])
-    long = wide.unpivot([], cols, "column", "value").filter(F.col("value").isNotNull())
-    vocab = long.groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("cats")).collect()
-    out = {c: [] for c in cols}
-    out.update({r["column"]: list(r["cats"]) for r in vocab})
-    return out
+    found = category_counts(train, cols).groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("cats"))
+    return {c: [] for c in cols} | {r["column"]: list(r["cats"]) for r in found.collect()}
 
 
 def impute_expr(df: DataFrame, c: str, value) -> Column:
@@ -92,12 +92,6 @@ def one_hot_exprs(x: Column, name: str, cats: list[str], drop_first: bool = Fals
     return [F.coalesce((x == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{name}_{v}") for v in use]
 
 
-def label_encode_expr(x: Column, cats: list[str]) -> Column:
-    """0-based position in the sorted category list (NULL / unseen -> NULL)."""
-    pos = F.array_position(F.array(*[F.lit(v) for v in cats]), x)
-    return F.when(pos > 0, (pos - 1).cast("int"))
-
-
 @dataclass
 class PreprocessorModel:
     numeric: list[str]
@@ -120,7 +114,7 @@ class PreprocessorModel:
             m, s = self.moments[c]
             out.append(scale_expr(impute_expr(df, c, self.medians.get(c)), m, s).alias(f"num__{c}"))
         for c in self.categorical:
-            x = F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c)))
+            x = F.coalesce(F.col(quote(c)).cast("string"), F.lit(self.modes.get(c)))
             out += one_hot_exprs(x, f"cat__{c}", self.categories.get(c, []))
         return out
 
@@ -131,7 +125,7 @@ class PreprocessorModel:
         cols = [F.col(k) for k in keep] + self.feature_columns(df)
         if self.passthrough:
             used = set(self.numeric) | set(self.categorical) | set(keep)
-            cols += [F.col(c) for c in df.columns if c not in used]
+            cols += [F.col(quote(c)) for c in df.columns if c not in used]
         return df.select(*cols)
 
     def assemble(self, df: DataFrame, keep: list[str] | None = None, out: str = "features") -> DataFrame:
@@ -157,73 +151,77 @@ class PreprocessorModel:
         return cls.from_json(spark.read.text(path).first()[0])
 
 
-def fit_vocabulary(train: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> tuple[dict, dict]:
-    """Modes (ties -> smallest) and sorted categories of the mode-imputed columns from ONE grouped count.
-
-    After mode imputation the categories are exactly the non-null training values (the mode is one of them),
-    so a single (column, value) -> count aggregate gives both; its rows are the vocabulary (guarded as in
-    ``fit_categories``)."""
-    if not cols:
-        return {}, {}
-    est = train.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_a{i}") for i, c in enumerate(cols)]).first()
-    too_big = [c for i, c in enumerate(cols) if est[f"_a{i}"] > max_categories]
-    if too_big:
-        raise ValueError(f"categorical columns with more than {max_categories} categories: {too_big}")
-    wide = train.select([F.col(c).cast("string").alias(c) for c in cols])
-    long = wide.unpivot([], cols, "column", "value").filter(F.col("value").isNotNull())
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect()
-    modes, cats = {c: None for c in cols}, {c: [] for c in cols}
-    best = {}
-    for r in counts:
-        c, v, n = r["column"], r["value"], r["n"]
-        cats[c].append(v)
-        if c not in best or n > best[c][0] or (n == best[c][0] and v < best[c][1]):
-            best[c] = (n, v)
-    for c in cols:
-        cats[c].sort()
-        modes[c] = best[c][1] if c in best else None
-    return modes, cats
-
-
 def fit_preprocessor(train: DataFrame, numeric: list[str], categorical: list[str], passthrough: bool = False,
-                     exact: bool = True) -> PreprocessorModel:
-    """Median impute + standardise numeric, mode impute + one-hot categorical; fit on ``train`` only."""
+                     exact: bool = True, categories: dict | None = None) -> PreprocessorModel:
+    """Median impute + standardise numeric, mode impute + one-hot categorical; fit on ``train`` only.
+    ``categories`` names the categories of columns whose vocabulary is known; others are fitted."""
     med = fit_medians(train, numeric, exact)
     mom = fit_moments(train, numeric, med)
-    modes, cats = fit_vocabulary(train, categorical)
-    return PreprocessorModel(numeric, categorical, med, mom, modes, cats, passthrough)
+    # after mode imputation the categories are exactly the non-null training values: the mode is one of them
+    modes = {c: None for c in categorical} | fit_modes(train, categorical)
+    cats = {c: list((categories or {}).get(c, [])) for c in categorical if c in (categories or {})}
+    cats |= fit_categories(train, [c for c in categorical if c not in cats])
+    return PreprocessorModel(numeric, categorical, med, mom, modes, {c: cats[c] for c in categorical}, passthrough)
 
 
 def impute_median(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing values of ``df`` with the training medians."""
     med = fit_medians(train, cols)
-    return df.select([impute_expr(df, c, med.get(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select([impute_expr(df, c, med.get(c)).alias(c) if c in cols else F.col(quote(c)) for c in df.columns])
 
 
 def standard_scale(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
     """(x - mean) / population std of the training part; std 0 -> 1."""
     mom = fit_moments(train, cols)
-    return df.select([scale_expr(F.col(c), *mom[c]).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select([scale_expr(F.col(quote(c)), *mom[c]).alias(c) if c in cols else F.col(quote(c)) for c in df.columns])
 
 
 def impute_mode(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing values with the training mode (ties -> smallest)."""
     modes = fit_modes(train, cols)
-    return df.select([F.coalesce(F.col(c).cast("string"), F.lit(modes.get(c))).alias(c) if c in cols else F.col(c)
+    return df.select([F.coalesce(F.col(quote(c)).cast("string"), F.lit(modes.get(c))).alias(c) if c in cols else F.col(quote(c))
                       for c in df.columns])
 
 
 def one_hot(train: DataFrame, df: DataFrame, cols: list[str], drop_first: bool = False) -> DataFrame:
     """One-hot over the sorted training categories; unseen and NULL -> all zeros."""
     cats = fit_categories(train, cols)
-    out = [F.col(c) for c in df.columns if c not in cols]
+    out = [F.col(quote(c)) for c in df.columns if c not in cols]
     for c in cols:
-        out += one_hot_exprs(F.col(c).cast("string"), c, cats[c], drop_first)
+        out += one_hot_exprs(F.col(quote(c)).cast("string"), c, cats[c], drop_first)
     return df.select(*out)
 
 
+def _indexed(train: DataFrame, df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with the place of each of ``cols`` among the training categories (NULL if unseen or NULL): one
+    equi-join per column, which Spark broadcasts while a vocabulary is small and else splits at hot values."""
+    words = vocabulary(train, cols)
+    names = []
+    for i, c in enumerate(cols):
+        v, k = f"_value_{i}", f"_index_{i}"
+        mine = words.filter(F.col("column") == c).select(F.col("value").alias(v), F.col("index").alias(k))
+        df = df.join(mine, F.col(quote(c)).cast("string") == F.col(v), "left").drop(v)
+        names.append(k)
+    return df, names
+
+
 def label_encode(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
-    """0-based rank of the value among the sorted training categories."""
-    cats = fit_categories(train, cols)
-    return df.select([label_encode_expr(F.col(c).cast("string"), cats[c]).alias(c) if c in cols else F.col(c)
-                      for c in df.columns])
+    """0-based rank of the value among the sorted training categories (NULL / unseen -> NULL)."""
+    out, names = _indexed(train, df, cols)
+    place = dict(zip(cols, names))
+    return out.select([F.col(place[c]).alias(c) if c in place else F.col(quote(c)) for c in df.columns])
+
+
+def one_hot_sparse(train: DataFrame, df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
+    """T4 / T6 for vocabularies of any size: ``df`` without ``cols``, with ``out`` = struct(size, indices), the ones
+    of the concatenated one-hot blocks in the order of ``cols``. Unseen and NULL values have no one."""
+    indexed, names = _indexed(train, df, cols)
+    sizes = {r["column"]: r["n"] for r in
+             vocabulary(train, cols).groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # row per column
+    start, ones = 0, []
+    for c, k in zip(cols, names):
+        ones.append(F.col(k) + F.lit(start))
+        start += sizes.get(c, 0)
+    keep = [F.col(quote(c)) for c in df.columns if c not in cols]
+    return indexed.select(*keep, F.struct(F.lit(start).alias("size"),
+                                          F.array_compact(F.array(*ones)).alias("indices")).alias(out))

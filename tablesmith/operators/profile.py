@@ -145,6 +145,11 @@ def top_value_counts(long: DataFrame) -> DataFrame:
     """(column, value) -> most frequent value per column, ties to the smallest value; aggregates only (no
     window over a column's distinct values)."""
     vc = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_f"))
+    return top_of_counts(vc)
+
+
+def top_of_counts(vc: DataFrame) -> DataFrame:
+    """The same from counts (column, value, _f)."""
     mx = vc.groupBy("column").agg(F.max("_f").alias("_mf"))
     # one row per column: broadcast, so a column's values are never funnelled into one join partition
     top = vc.join(F.broadcast(mx), "column").filter(F.col("_f") == F.col("_mf"))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesmith.functions.columns import quote
+
 # Physical types each logical type accepts.
 LOGICAL_TYPES = {
     "string": (T.StringType, T.CharType, T.VarcharType),
@@ -41,11 +43,11 @@ def validation_checks(df: DataFrame, schema: dict) -> DataFrame:
         cons = spec.get("constraints") or {}
         enum_i = range_i = None
         if ok and "enum" in cons:
-            col = F.col(c)
+            col = F.col(quote(c))
             aggs.append(F.count_if(col.isNull() | ~col.isin(list(cons["enum"]))).alias(f"_e{i}"))
             enum_i = f"_e{i}"
         if ok and "min" in cons and "max" in cons:
-            col = F.col(c)
+            col = F.col(quote(c))
             inside = F.coalesce((col >= F.lit(cons["min"])) & (col <= F.lit(cons["max"])), F.lit(False))
             aggs.append(F.count_if(~inside).alias(f"_r{i}"))
             range_i = f"_r{i}"
@@ -100,12 +102,38 @@ def validated_table(df: DataFrame, schema: dict) -> DataFrame:
     return df.filter(verdict.scalar())
 
 
+def invalid_value_report(df: DataFrame, schema: dict) -> DataFrame:
+    """V3: every value that breaks an enum, (column, value, n_rows), NULL included; all values, one pass, counted
+    map-side. Only columns whose type the schema accepts are looked at, as in ``validation_checks``."""
+    parts = []
+    for f in df.schema.fields:
+        spec = schema.get(f.name) or {}
+        allowed = (spec.get("constraints") or {}).get("enum")
+        if allowed is not None and isinstance(f.dataType, LOGICAL_TYPES.get(spec.get("type"), ())):
+            c = F.col(quote(f.name))
+            parts.append(F.struct(F.lit(f.name).alias("column"), c.cast("string").alias("value"),
+                                  (c.isNull() | ~c.isin(list(allowed))).alias("bad")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, value string, n_rows bigint")
+    long = df.select(F.inline(F.array(*parts))).filter("bad")
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def publish_validated(df: DataFrame, schema: dict, table_path: str, status_path: str) -> DataFrame:
+    """V6 + S8: write the status of every column, and the table if all columns are valid; returns the status.
+    A closed gate leaves what was published before as it is. The status is computed once, from what it wrote."""
+    validate_schema(df, schema).write.mode("overwrite").json(status_path)
+    status = df.sparkSession.read.schema("column string, status string, valid boolean").json(status_path)
+    if status.agg(F.bool_and("valid")).first()[0]:
+        df.write.mode("overwrite").parquet(table_path)
+    return status
+
+
 def check_target(df: DataFrame, target: str | list[str]) -> DataFrame:
-    """V7: the target must be exactly one column of an integer type."""
+    """V7: the target must be exactly one column of type int or bigint. Reads the schema, not the table."""
     names = [target] if isinstance(target, str) else list(target)
     single = len(names) == 1 and names[0] in df.columns
-    dtype = df.schema[names[0]].dataType.simpleString() if single else None
-    ok = single and isinstance(df.schema[names[0]].dataType, (T.IntegerType, T.LongType, T.ShortType,
-                                                                T.ByteType))
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(",".join(names)).alias("target"), F.lit(dtype).alias("dtype"), "n_rows", F.lit(bool(ok)).alias("valid"))
+    dtype = df.schema[names[0]].dataType if single else None
+    ok = isinstance(dtype, (T.IntegerType, T.LongType))
+    row = (",".join(names), dtype.simpleString() if single else None, ok)
+    return df.sparkSession.createDataFrame([row], "target string, dtype string, valid boolean")

@@ -27,6 +27,12 @@ def feature_target(spark, sf_dir):
     return x
 
 
+@register("feature_target_y", Q.with_(Q.BOOKINGS) + "SELECT o_orderkey, o_orderstatus FROM bookings")
+def feature_target_y(spark, sf_dir):
+    _x, y = C.feature_target(TB.bookings(spark, sf_dir), TB.TARGET, TB.KEY)
+    return y
+
+
 @register("drop_constant_columns", RAW + "SELECT * EXCLUDE (channel) FROM raw")
 def drop_constant_columns(spark, sf_dir):
     return C.drop_constant_columns(TB.bookings_raw(spark, sf_dir))
@@ -116,30 +122,43 @@ def log1p_columns(spark, sf_dir):
     return round_doubles(C.log1p_columns(b, ["o_totalprice", "c_nationkey"]))
 
 
-def _fence_sql():
-    parts = []
-    for c in NUM_ALL:
-        parts.append(f"""SELECT '{c}' AS col, quantile_cont({c}, 0.5) AS lo, quantile_cont({c}, 0.95) AS hi FROM bookings""")
-    fences = "fq AS (" + " UNION ALL ".join(parts) + "),\nfences AS (SELECT col, lo - 1.5 * (hi - lo) AS fl, hi + 1.5 * (hi - lo) AS fh FROM fq)"
+# a column with a long tail: balances lie between -999.99 and 9999.99
+SKEWED = Q.BOOKINGS + """,
+skewed AS (SELECT *, 1000000.0 / (c_acctbal + 1000.0) AS inverse_balance FROM bookings)"""
+OUT_COLS = NUM_ALL + ["inverse_balance"]
+
+
+def _skewed(spark, sf_dir):
+    return TB.bookings(spark, sf_dir).withColumn("inverse_balance", F.lit(1000000.0) / (F.col("c_acctbal") + 1000.0))
+
+
+def _fence_sql(lower, upper):
+    fences = "fq AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS col, quantile_cont({c}, {lower}) AS lo, quantile_cont({c}, {upper}) AS hi FROM skewed"
+        for c in OUT_COLS) + "),\nfences AS (SELECT col, lo - 1.5 * (hi - lo) AS fl, hi + 1.5 * (hi - lo) AS fh FROM fq)"
     cond = " OR ".join(f"{c} < (SELECT fl FROM fences WHERE col = '{c}') OR {c} > (SELECT fh FROM fences WHERE col = '{c}')"
-                       for c in NUM_ALL)
-    return Q.with_(Q.BOOKINGS, fences), cond
+                       for c in OUT_COLS)
+    return Q.with_(SKEWED, fences), cond
 
 
-_FENCES, _OUT = _fence_sql()
+def _outlier_plans(suffix, lower, upper):
+    fences, out = _fence_sql(lower, upper)
 
+    @register(f"remove_outliers{suffix}", fences + f"SELECT * REPLACE (round(inverse_balance, 6) AS inverse_balance) "
+                                                   f"FROM skewed WHERE NOT ({out})")
+    def remove_outliers(spark, sf_dir):
+        return round_doubles(C.remove_outliers(_skewed(spark, sf_dir), OUT_COLS, lower, upper))
 
-@register("remove_outliers", _FENCES + f"SELECT * FROM bookings WHERE NOT ({_OUT})")
-def remove_outliers(spark, sf_dir):
-    return C.remove_outliers(TB.bookings(spark, sf_dir), NUM_ALL)
+    @register(f"outlier_report{suffix}", fences + f"""
+SELECT count(*) AS rows_before, CAST(count(*) - count(*) FILTER (WHERE {out}) AS BIGINT) AS rows_after,
+       CAST(count(*) FILTER (WHERE {out}) AS BIGINT) AS rows_removed
+FROM skewed""")
+    def outlier_report(spark, sf_dir):
+        return C.outlier_report(_skewed(spark, sf_dir), OUT_COLS, lower, upper)
 
 
-@register("outlier_report", _FENCES + f"""
-SELECT count(*) AS rows_before, CAST(count(*) - count(*) FILTER (WHERE {_OUT}) AS BIGINT) AS rows_after,
-       CAST(count(*) FILTER (WHERE {_OUT}) AS BIGINT) AS rows_removed
-FROM bookings""")
-def outlier_report(spark, sf_dir):
-    return C.outlier_report(TB.bookings(spark, sf_dir), NUM_ALL)
+_outlier_plans("", 0.5, 0.95)
+_outlier_plans("_quartiles", 0.25, 0.75)
 
 
 @register("numeric_only", Q.with_(Q.BOOKINGS) +

@@ -51,7 +51,7 @@ def classification_report(spark, sf_dir):
     return round_doubles(EV.classification_report(_pred(spark, sf_dir)))
 
 
-def _sweep_sql(ts):
+def sweep_sql(ts):
     parts = []
     for t in ts:
         tp = f"sum(CASE WHEN score >= {t} THEN pos ELSE 0 END)"
@@ -68,12 +68,12 @@ FROM sc""")
 AUC_SQL = "SELECT round(sum(neg * (tp - pos + pos / 2.0)) / (max(P) * max(N)), 6) AS roc_auc FROM cp"
 
 
-@register("eval_threshold", S + f"SELECT * FROM ({_sweep_sql([T])}), ({AUC_SQL})")
+@register("eval_threshold", S + f"SELECT * FROM ({sweep_sql([T])}), ({AUC_SQL})")
 def eval_threshold(spark, sf_dir):
     return round_doubles(EV.eval_threshold(TB.scored_documents(spark, sf_dir), T))
 
 
-@register("threshold_sweep", S + _sweep_sql(SWEEP))
+@register("threshold_sweep", S + sweep_sql(SWEEP))
 def threshold_sweep(spark, sf_dir):
     return round_doubles(EV.threshold_metrics(TB.scored_documents(spark, sf_dir), SWEEP))
 

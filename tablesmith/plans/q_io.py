@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablesmith.operators import prep as P
 from tablesmith.operators import validate as V
+from tablesmith.plans import q_eval as E
 from tablesmith.plans import sqlparts as Q
 from tablesmith.plans import tables as TB
 from tablesmith.plans.catalog import register
@@ -71,37 +71,41 @@ def validation_status_json(spark, sf_dir):
     return spark.read.json(path)
 
 
-@register("ingest_audit")
+@register("ingest_audit", """
+SELECT count(*) AS total_records, 'documents' AS data_source, true AS duration_ok, true AS path_ok FROM documents""")
 def ingest_audit(spark, sf_dir):
-    src = TB.scratch(spark, "landing")
+    src, out = TB.scratch(spark, "landing"), TB.scratch(spark, "ingested")
     io.export_documents(TB.table(spark, sf_dir, "documents"), src, "doc_id")
-    return ingest(spark, src, TB.scratch(spark, "ingested"), TB.scratch(spark, "audit"), schema=DOC_SCHEMA)
+    audit = ingest(spark, src, out, TB.scratch(spark, "audit"), schema=DOC_SCHEMA)
+    began, ended = F.col("start_time").cast("timestamp"), F.col("end_time").cast("timestamp")
+    return audit.select("total_records", "data_source",
+                        ((F.col("duration_seconds") >= 0) & (began <= ended)).alias("duration_ok"),
+                        (F.col("output_path") == out).alias("path_ok"))
 
 
-@register("metrics_log")
+LOGGED = (0.6, 0.65)
+
+
+def _log_sql():
+    parts = []
+    for run, t in enumerate(LOGGED, 1):
+        row = f"(SELECT * FROM ({E.sweep_sql([t])}), ({E.AUC_SQL}))"
+        parts += [f"SELECT CAST({run} AS INTEGER) AS run, '{k}' AS kind, '{m}' AS metric, round({m}, 6) AS value FROM {row}"
+                  for k, m in [("metric", x) for x in ("accuracy", "precision", "recall", "f1", "roc_auc")]
+                  + [("setting", "threshold")]]
+    return E.S + " UNION ALL ".join(parts)
+
+
+@register("metrics_log", _log_sql())
 def metrics_log(spark, sf_dir):
     from tablesmith.operators import evaluate as EV
     path = TB.scratch(spark, "metrics")
     scored = TB.scored_documents(spark, sf_dir)
-    for t in (0.6, 0.65):
+    for t in LOGGED:
         row = EV.eval_threshold(scored, t).first().asDict()
-        io.log_metrics(spark, path, {k: v for k, v in row.items() if v is not None})
-    return spark.read.parquet(path)
-
-
-@register("model_roundtrip")
-def model_roundtrip(spark, sf_dir):
-    from pyspark.ml.classification import RandomForestClassificationModel
-    from tablesmith.operators import models as M
-    s = TB.documents_split(spark, sf_dir)
-    pre = P.fit_preprocessor(TB.train_part(s), ["n_chars"], ["lang", "source"])
-    ppath, mpath = TB.scratch(spark, "preprocessor"), TB.scratch(spark, "forest")
-    pre.save(spark, ppath)
-    pre2 = P.PreprocessorModel.load(spark, ppath)
-    data = pre2.assemble(s, keep=["doc_id", "label", "split"])
-    M.fit("forest", TB.train_part(data)).write().overwrite().save(mpath)
-    model = RandomForestClassificationModel.load(mpath)
-    return M.score_probability(model, data, ["doc_id", "label", "split"])
+        row.pop("threshold")
+        io.log_metrics(spark, path, row, {"threshold": t})
+    return spark.read.parquet(path).select("run", "kind", "metric", F.round("value", 6).alias("value"))
 
 
 @register("stream_ingest", DOC_SQL)

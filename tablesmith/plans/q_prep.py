@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tablesmith.functions.columns import round_doubles
 from tablesmith.operators import prep as P
 from tablesmith.plans import sqlparts as Q
@@ -117,3 +119,37 @@ def transform_passthrough(spark, sf_dir):
     s, tr = _gs(spark, sf_dir)
     model = P.fit_preprocessor(tr, GNUM, GCAT, passthrough=True)
     return round_doubles(model.transform(s, keep=["o_orderkey", "split"]))
+
+
+# part keys as categories, learned from the first three lines of an order: some of the others' are unseen
+PARTS = """WITH tr AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS v FROM lineitem WHERE l_linenumber <= 3 AND l_orderkey % 4 <> 0),
+voc AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS i FROM tr)
+"""
+
+
+def _parts(spark, sf_dir):
+    li = TB.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return li, li.filter((F.col("l_linenumber") <= 3) & (F.col("l_orderkey") % 4 != 0))
+
+
+@register("label_encode_parts", PARTS + """
+SELECT l_orderkey, l_linenumber, i AS l_partkey FROM lineitem LEFT JOIN voc ON CAST(l_partkey AS VARCHAR) = v""")
+def label_encode_parts(spark, sf_dir):
+    li, train = _parts(spark, sf_dir)
+    return P.label_encode(train, li.drop("l_suppkey"), ["l_partkey"])
+
+
+@register("one_hot_sparse", PARTS[:-1] + """,
+trs AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS v FROM lineitem WHERE l_linenumber <= 3 AND l_orderkey % 4 <> 0),
+vocs AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS i FROM trs),
+n AS (SELECT (SELECT count(*) FROM voc) AS np, (SELECT count(*) FROM vocs) AS ns)
+SELECT l_orderkey, l_linenumber, CAST(np + ns AS INTEGER) AS size, voc.i AS first_one, CAST(np + vocs.i AS INTEGER) AS last_one
+FROM lineitem LEFT JOIN voc ON CAST(l_partkey AS VARCHAR) = voc.v LEFT JOIN vocs ON CAST(l_suppkey AS VARCHAR) = vocs.v, n""")
+def one_hot_sparse(spark, sf_dir):
+    li, train = _parts(spark, sf_dir)
+    hot = P.one_hot_sparse(train, li, ["l_partkey", "l_suppkey"])
+    parts = P.vocabulary(train, ["l_partkey"]).count()
+    ones = F.col("features.indices")
+    return hot.select("l_orderkey", "l_linenumber", F.col("features.size").cast("int").alias("size"),
+                      F.array_min(F.filter(ones, lambda i: i < parts)).alias("first_one"),
+                      F.array_max(F.filter(ones, lambda i: i >= parts)).alias("last_one"))

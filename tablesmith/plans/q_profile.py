@@ -11,7 +11,7 @@ from tablesmith.operators import relate as R
 from tablesmith.operators import validate as V
 from tablesmith.plans import sqlparts as Q
 from tablesmith.plans import tables as TB
-from tablesmith.plans.catalog import register
+from tablesmith.plans.catalog import REGISTRY, register
 
 B = Q.with_(Q.BOOKINGS)
 RAW = Q.with_(Q.RAW)
@@ -381,6 +381,47 @@ def validated_table(spark, sf_dir):
     return V.validated_table(TB.bookings(spark, sf_dir), GOOD_SCHEMA)
 
 
-@register("check_target", B + "SELECT 'is_filled' AS target, 'int' AS dtype, count(*) AS n_rows, true AS valid FROM bookings")
+@register("check_target", """SELECT 'is_filled' AS target, 'int' AS dtype, true AS valid""")
 def check_target(spark, sf_dir):
     return V.check_target(TB.bookings(spark, sf_dir), "is_filled")
+
+
+_ENUMS = {c: spec["constraints"]["enum"] for c, spec in BOOKINGS_SCHEMA.items() if "enum" in spec.get("constraints", {})}
+
+
+def _invalid_sql():
+    parts = []
+    for c, allowed in _ENUMS.items():
+        listed = ", ".join(f"'{v}'" for v in allowed)
+        parts.append(f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS n_rows FROM gappy
+WHERE {c} IS NULL OR {c} NOT IN ({listed}) GROUP BY {c}""")
+    return GAPPY + " UNION ALL ".join(parts)
+
+
+@register("invalid_value_report", _invalid_sql())
+def invalid_value_report(spark, sf_dir):
+    return V.invalid_value_report(TB.bookings_gappy(spark, sf_dir), BOOKINGS_SCHEMA)
+
+
+def _published(spark, sf_dir, schema):
+    """What lies at the table's place after publishing behind the gate: rows of the bookings, or those before."""
+    table, status = TB.scratch(spark, "published"), TB.scratch(spark, "status")
+    b = TB.bookings(spark, sf_dir)
+    b.limit(0).write.parquet(table)
+    V.publish_validated(b, schema, table, status)
+    n_bad = spark.read.json(status).agg(F.count_if(~F.col("valid"))).scalar()
+    return spark.read.parquet(table).groupBy().agg(F.count(F.lit(1)).alias("n_rows"),
+                                                   F.sum(F.col(TB.KEY)).alias("key_sum")).withColumn("n_bad", n_bad)
+
+
+@register("publish_validated", B + """
+SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS n_bad FROM bookings""")
+def publish_validated(spark, sf_dir):
+    return _published(spark, sf_dir, GOOD_SCHEMA)
+
+
+@register("publish_validated_closed", f"""
+SELECT CAST(0 AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS key_sum, count(*) FILTER (WHERE NOT valid) AS n_bad
+FROM ({REGISTRY["validate_schema"][1]})""")
+def publish_validated_closed(spark, sf_dir):
+    return _published(spark, sf_dir, BOOKINGS_SCHEMA)

@@ -76,14 +76,19 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def log_metrics(spark: SparkSession, path: str, metrics: dict, source: DataFrame | None = None) -> DataFrame:
-    """Append one row per metric with run = previous max run + 1, return the log table."""
-    try:
-        prev = spark.read.parquet(path).agg(F.max("run")).first()[0] or 0
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        prev = 0
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names; a fault of the storage is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def log_metrics(spark: SparkSession, path: str, metrics: dict, settings: dict | None = None) -> DataFrame:
+    """Append one row per metric, and per run setting (e.g. the threshold), with run = previous max run + 1;
+    returns the log table. Only a path that doesn't exist counts as the first run."""
+    prev = spark.read.parquet(path).agg(F.max("run")).first()[0] if path_exists(spark, path) else 0
     now = datetime.now(timezone.utc).isoformat()
-    rows = [(int(prev) + 1, now, k, float(v)) for k, v in metrics.items()]
-    spark.createDataFrame(rows, "run int, logged_at string, metric string, value double") \
+    rows = [(int(prev or 0) + 1, now, kind, k, float(v)) for kind, found in (("metric", metrics), ("setting", settings or {}))
+            for k, v in found.items()]
+    spark.createDataFrame(rows, "run int, logged_at string, kind string, metric string, value double") \
         .write.mode("append").parquet(path)
     return spark.read.parquet(path)

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from tablesmith.plans import catalog
 from tests.compare import compare, duck
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(catalog.oracle_sql())
 
 
 @pytest.fixture(scope="module")
