@@ -78,6 +78,10 @@ def test_scan_finds_the_best_run():
     ("<article><p title='a > b'>x<b>y</b>z</p><style>p{}</style><p>un<i>cl", "xyz\nuncl"),
     ("<header>Site name</header><div><p>Some long enough paragraph of text.</p></div><footer>imprint</footer>",
      "Some long enough paragraph of text."),
+    ("<div class='page with-sidebar'><article><p>in <a href='#'>the</a> middle</p></article><ol class=commentlist><li>"
+     "first!</ol><div id='cookie_notice'>we use cookies</div></div>", "in the middle"),
+    ("<article><p>a</p><table><tr><td>1<td>2<tr><td>3</table><pre>x\n  y</pre><p hidden>no<p>z</article>",
+     "a\n1\n2\n3\nx y\nz"),
     ("", ""), (None, ""), ("<<<>>>", "<<<>>>"),
 ])
 def test_pages(page, text):
