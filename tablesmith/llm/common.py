@@ -32,6 +32,16 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table of at most so many narrow rows is broadcast after its rows have been counted.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, saved, marked for broadcast if it has at most SMALL_ROWS rows; the join is the same without."""
+    kept = saved(df)
+    return F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept
+
+
 def ranked(rows: DataFrame, by: list[str], rank: str) -> DataFrame:
     """``rows`` with ``rank``: 0, 1, 2, ... in the order of ``by``, without gaps, over all rows.
 

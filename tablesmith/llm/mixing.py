@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import OWN, ranked, saved, stage_table
+from tablesmith.llm.common import OWN, ranked, small, stage_table
 
 #: Candidates for a source's offset.
 OFFSETS = 32
@@ -61,10 +61,10 @@ def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float,
     per_source = order.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(rank).alias(OWN + "first"))
     firsts = per_source.select(F.col("source").alias(of), OWN + "first")
     goals = targets(per_source.select("source", "source_size"), weights, most)
-    # one row per source; equi-joins, broadcast by Spark while that table is small, else its hot keys are split
+    # one row per source: broadcast if the rows, once counted, are few
     plan = goals.join(firsts, F.col("source").eqNullSafe(F.col(of))).drop("source")
     begin = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.col(of)), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    plan = saved(plan.withColumns({
+    plan = small(plan.withColumns({
         "rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0)),
         "begin": begin / OFFSETS}))
     planned = order.join(plan, F.col("source").eqNullSafe(F.col(of)))
@@ -72,7 +72,7 @@ def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float,
     tried = planned.groupBy("source").agg(F.first("target").alias("target"), F.first("begin").alias("begin"), *sums)
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"k{k}") - F.col("target")), F.lit(k).alias("k"))
                                     for k in range(OFFSETS)]))["k"]
-    offsets = saved(tried.select(F.col("source").alias(of + "2"), (F.col("begin") + nearest / OFFSETS).alias("offset")))
+    offsets = small(tried.select(F.col("source").alias(of + "2"), (F.col("begin") + nearest / OFFSETS).alias("offset")))
     return (planned.join(offsets, F.col("source").eqNullSafe(F.col(of + "2")))
             .select(*columns, "source_size", "target", crossed(rank, F.col("offset")).cast("int").alias("copies")))
 
