@@ -34,6 +34,7 @@ BOILERPLATE_WORDS = frozenset("""
     comments reply replies respond disqus share sharing social related recommended recommendations widget
     contentinfo complementary search dialog form
 """.split())
+BOILERPLATE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "subscri")
 # ---- fixed values: what an open element is ended by, besides its end tag
 ENDS_P = BLOCKS - frozenset("body html option summary".split())
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -47,6 +48,7 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)
     |<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)
     |<[!?][^>]*(?:>|\Z)""", re.S | re.X)
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_BESIDE = re.compile(r"\b(?:with|has|no|without)[-_]?[a-z]+")
 _HIDDEN = re.compile(r"""(?<![\w-])(?:hidden(?![\w-])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 
 
@@ -70,7 +72,8 @@ def boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     if _HIDDEN.search(attributes):
         return True
     named = " ".join(m[1] for m in _NAMES.finditer(attributes)).lower()
-    return not BOILERPLATE_WORDS.isdisjoint(re.findall(r"[a-z]+", named))
+    words = re.findall(r"[a-z]+", _BESIDE.sub("", named))  # "with-sidebar" names what stands beside a content element
+    return any(w in BOILERPLATE_WORDS or w.startswith(BOILERPLATE_STARTS) for w in words)
 
 
 def kind(name: str) -> str:
