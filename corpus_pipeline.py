@@ -14,8 +14,9 @@ from tablesmith.llm import decontam, langid, mixing, queries, sharding, simhash
 from tablesmith.llm.common import OWN, read_table, stage_table
 from tablesmith.session import ensure_checkpoint_dir, ship_package
 
-#: Cosine to the nearest language prototype below which a text is in none of the languages.
-LEAST_LANGUAGE_SCORE = 0.15
+#: Cosine to the nearest language prototype below which a text is in none of the languages. Texts without a word in
+#: common lie about 0 (standard deviation 0.03 with 1,024 components), the shortest clean ones from 0.09 up.
+LEAST_LANGUAGE_SCORE = 0.05
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
