@@ -44,18 +44,23 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], most: float) -> DataFr
         F.when(F.col("final").isNull(), cut).otherwise(F.least(cut, F.col("weight") * F.col("final"))).alias("target"))
 
 
+def seeded(seed: int, *columns: str) -> Column:
+    """Hexadecimal MD5 of the seed and the columns' values, null as "null"; any SQL engine has it."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]))
+
+
 def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float, seed: int) -> DataFrame:
     """Narrow ``rows`` with ``doc_id``, ``source`` and ``size`` get ``source_size``, ``target`` and ``copies``.
 
     A document of a source is expected target / source_size times. The documents of a source stand in the order
-    of a hash of all columns; the prefix sum of their expected copies, plus one offset per source, crosses
+    of a hash of id and size, then of the columns; the prefix sum of their expected copies, plus one offset per source, crosses
     integers: each crossing emits the document once. Hence a document has at most ceil(target / source_size)
     copies, never over ``most``. The offset is drawn from ``seed``: of OFFSETS candidates, evenly apart from a
     random start, the one whose words come nearest to the target (the first, if several do), since in a source
     of few documents a single one may weigh much. Equal rows are interchangeable; reruns agree.
     """
     columns, rank, of = rows.columns, OWN + "rank", OWN + "source"
-    tie = F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
+    tie = seeded(seed, "doc_id", "size")
     order = ranked(rows.withColumns({OWN + "null": F.col("source").isNull(), OWN + "tie": tie}),
                    [OWN + "null", "source", OWN + "tie", *columns], rank)
     per_source = order.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(rank).alias(OWN + "first"))
@@ -63,7 +68,7 @@ def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float,
     goals = targets(per_source.select("source", "source_size"), weights, most)
     # one row per source: broadcast if the rows, once counted, are few
     plan = goals.join(firsts, F.col("source").eqNullSafe(F.col(of))).drop("source")
-    begin = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.col(of)), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    begin = F.conv(F.substring(seeded(seed, of), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
     plan = small(plan.withColumns({
         "rate": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0)),
         "begin": begin / OFFSETS}))

@@ -63,9 +63,9 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x)))),
+  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id),
@@ -84,6 +84,40 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST([{MIX_WEIGHTS[0]}, {MIX_WEIGHTS[1]}, {MIX_WEIGHTS[2]}]
+              [(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS DOUBLE) AS weight FROM s),
+l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - CAST({MIX_MOST} AS DOUBLE) * coalesce(sum(source_size) OVER (
+                   ORDER BY source_size / weight, source IS NULL, source
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(weight) OVER (ORDER BY source_size / weight, source IS NULL, source
+                                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+f AS (SELECT *, (SELECT level FROM l WHERE weight * level <= CAST({MIX_MOST} AS DOUBLE) * source_size
+                 ORDER BY source_size / weight, level LIMIT 1) AS final FROM l),
+t AS (SELECT source, source_size,
+             coalesce(least(CAST({MIX_MOST} AS DOUBLE) * source_size, weight * final), CAST({MIX_MOST} AS DOUBLE) * source_size)
+               AS target,
+             CAST('0x' || substr(md5(concat_ws('|', '{MIX_SEED}', coalesce(source, 'null'))), 1, 8) AS BIGINT)
+               / CAST(4294967296 AS DOUBLE) / {mixing.OFFSETS} AS begin FROM f),
+k AS (SELECT d.*, t.source_size, t.target, t.begin,
+             CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE CAST(1 AS DOUBLE) END AS rate,
+             CAST(row_number() OVER (PARTITION BY d.source ORDER BY md5(concat_ws('|', '{MIX_SEED}',
+               coalesce(CAST(doc_id AS VARCHAR), 'null'), CAST(size AS VARCHAR))), doc_id, size) - 1 AS DOUBLE) AS k
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+tried AS (SELECT source, j, abs(sum(size * least(floor(begin + j / CAST({mixing.OFFSETS} AS DOUBLE) + rate * (k + 1))
+                 - floor(begin + j / CAST({mixing.OFFSETS} AS DOUBLE) + rate * k), ceil(rate - 1e-9))) - any_value(target)) AS miss
+          FROM k, range({mixing.OFFSETS}) r(j) GROUP BY source, j),
+o AS (SELECT source, j FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, j) = 1),
+c AS (SELECT k.*, CAST(least(floor(begin + j / CAST({mixing.OFFSETS} AS DOUBLE) + rate * (k + 1))
+                 - floor(begin + j / CAST({mixing.OFFSETS} AS DOUBLE) + rate * k), ceil(rate - 1e-9)) AS INTEGER) AS copies
+      FROM k JOIN o ON k.source IS NOT DISTINCT FROM o.source)
+SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target, copies, CAST(copies * size AS BIGINT) AS taken FROM c
+"""
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").filter("doc_id is not null and toxic is not null")
@@ -109,4 +143,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_html_extraction, op3_sharding, op4_language_id, op5_top_k, op6_decontamination, op7_mixing,
     op8_toxicity, op9_simhash, op10_pii)}
-ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op7_mixing": OP7_SQL}
