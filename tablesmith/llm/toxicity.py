@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from zlib import crc32
@@ -40,7 +41,7 @@ class Features:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        for w in set(found) - known.keys():
+        for w in {w for w in found if w not in known}:
             known[w] = crc32(w.encode("utf-8", "surrogatepass"))
         return np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
 
@@ -68,31 +69,38 @@ def fit_ftrl(rows: Iterable[tuple[str | None, int]], bits: int, alpha: float, be
     """Feature numbers with weights other than 0, these weights, and the bias (which has no penalty).
 
     A document has each of its features once. Per coordinate: z sums the gradients, less what the weight's
-    change explains, n their squares; the weight is 0 while |z| is at most ``l1``.
+    change explains, n their squares; the weight is 0 while |z| is at most ``l1``. As a gradient is below 1, a
+    feature of too few documents can never pass ``l1``: such are left out from the start, with the same result.
     """
     features = Features(bits)
     data = [(np.unique(np.concatenate(list(features.of(text)))), label) for text, label in rows]
-    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
-    bias = 1 << bits
-    strength = np.array([l1])
-
-    def weights(f: np.ndarray) -> np.ndarray:
-        penalty = np.where(f == bias, 0.0, strength)
-        zf = z[f]
-        return np.where(np.abs(zf) <= penalty, 0.0,
-                        (np.sign(zf) * penalty - zf) / ((beta + np.sqrt(n[f])) / alpha + l2))
+    often = np.zeros(1 << bits, dtype=np.int32)
+    for f, _ in data:
+        often[f] += 1
+    numbers = np.flatnonzero(often * passes > l1)
+    place = np.full(1 << bits, -1, dtype=np.int32)
+    place[numbers] = np.arange(len(numbers))
+    bias = len(numbers)
+    data = [(np.append(p[p >= 0], bias), label) for p, label in ((place[f], label) for f, label in data)]
+    z, root = np.zeros(bias + 1), np.zeros(bias + 1)  # root: the square root of n
+    penalty = np.full(bias + 1, l1)
+    penalty[bias] = 0.0
+
+    def weights(zf: np.ndarray, rf: np.ndarray, pf: np.ndarray) -> np.ndarray:
+        over = np.maximum(np.abs(zf) - pf, 0.0)
+        return -np.copysign(over, zf) / ((beta + rf) / alpha + l2)
 
     for _ in range(passes):
         for f, label in data:
-            f = np.append(f, bias)
-            w = weights(f)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
-            sigma = (np.sqrt(n[f] + g * g) - np.sqrt(n[f])) / alpha
-            z[f] += g - sigma * w
-            n[f] += g * g
-    w = weights(np.arange(bias + 1))
+            zf, rf = z[f], root[f]
+            w = weights(zf, rf, penalty[f])
+            g = 1 / (1 + math.exp(-min(max(w.sum(), -35.0), 35.0))) - label
+            new = np.sqrt(rf * rf + g * g)
+            z[f] = zf + g - (new - rf) / alpha * w
+            root[f] = new
+    w = weights(z, root, penalty)
     some = np.flatnonzero(w[:-1])
-    return some, w[some], float(w[-1])
+    return numbers[some], w[some], float(w[-1])
 
 
 def fit_weights(labelled: DataFrame, bits: int = HASH_BITS, fit_docs: int = FIT_DOCS,
