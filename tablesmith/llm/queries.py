@@ -120,10 +120,9 @@ SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target, copies
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = read_table(spark, sf_dir, "labels").filter("doc_id is not null and toxic is not null")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     held_out = remainder(3) == 1
-    learnt = labels.filter(~held_out).select("doc_id", F.col("toxic").alias("label")).distinct()
-    model = toxicity.fit_weights(docs.join(learnt, "doc_id").select("text", "label"))
+    model = toxicity.fit_weights(docs, labels.filter(~held_out))
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tablesmith.llm.common import parts
+from tablesmith.llm.common import parts, small
 
 #: Hash space of the features; the dense weights take 8 bytes for each.
 HASH_BITS = 20
@@ -103,21 +103,26 @@ def fit_ftrl(rows: Iterable[tuple[str | None, int]], bits: int, alpha: float, be
     return numbers[some], w[some], float(w[-1])
 
 
-def fit_weights(labelled: DataFrame, bits: int = HASH_BITS, fit_docs: int = FIT_DOCS,
+def fit_weights(docs: DataFrame, labels: DataFrame, bits: int = HASH_BITS, fit_docs: int = FIT_DOCS,
                 passes: int = PASSES) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weights fitted on ``labelled(text, label)``, about ``fit_docs`` of its rows, chosen by a hash of the text.
+    """Weights fitted on ``docs(doc_id, text)`` with ``labels(doc_id, label)``, about ``fit_docs`` different rows.
 
-    Online learning is sequential: one task goes through that bounded sample in the order of the hash and
-    returns the weights that L1 left, so that they are the same in each run. Null labels are left out, repeated
-    rows count once. Without
-    rows of both labels there is nothing to learn: no weights, and the share of label 1 (half, if no rows) as bias.
+    Labels are chosen by a hash of doc_id before any text moves, and if ids have several texts, those by a hash
+    of the text. Online learning is sequential: one task goes through that bounded sample in the order of a hash
+    and returns the weights that L1 left, so that they are the same in each run. Null labels and null ids are left
+    out, repeated rows count once. Without rows of both labels there is nothing to learn: no weights, and the
+    log-odds of label 1 (0 if there are no rows) as bias.
     """
-    rows = labelled.select("text", F.col("label").cast("int").alias("label")).filter("label is not null")
-    n = rows.count()
-    share = min(1.0, fit_docs / max(n, 1))
+    known = (labels.select("doc_id", F.col("label").cast("int").alias("label"))
+             .filter("doc_id is not null and label is not null").distinct())
+    part = lambda share, *of: F.pmod(F.xxhash64(F.lit("fit"), *of), F.lit(1 << 20)) < round(share * (1 << 20))
+    known = small(known.filter(part(min(1.0, fit_docs / max(known.count(), 1)), "doc_id")))
+    texts = docs.select("doc_id", "text").join(known, "doc_id")
+    n = texts.select("doc_id", "label", F.xxhash64("text")).distinct().count()
     order = F.xxhash64(F.lit("order"), "text", "label")
-    chosen = (rows.withColumn("order", order).filter(F.pmod("order", F.lit(1 << 20)) < round(share * (1 << 20)))
-              .distinct().repartition(1).sortWithinPartitions("order", "text"))
+    chosen = (texts.filter(part(min(1.0, 2 * fit_docs / max(n, 1)), "text"))
+              .select("text", "label", order.alias("order")).distinct()
+              .repartition(1).sortWithinPartitions("order", "text"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = [(t, y) for b in batches for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist())]
