@@ -75,7 +75,7 @@ class PieceCounter:
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that aren't known, each once, in calls of about CALL_BYTES."""
-        new = pieces - self.known.keys()
+        new = {p for p in pieces if p not in self.known}
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {p: self.known[p] for p in pieces - new}
         for run in byte_balanced(new, CALL_BYTES):
