@@ -104,7 +104,8 @@ def fit_prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS, fit_docs:
     Fitted on about ``fit_docs`` of the labelled documents, chosen by a hash of the text. Tasks sum their own
     rows; the driver gets ``dimensions`` numbers per language. No labelled rows: no languages.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and text is not null")
+    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+            .filter("lang is not null and text is not null"))
     n = rows.count()
     share = min(1.0, fit_docs / max(n, 1))
     chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < round(share * (1 << 20)))

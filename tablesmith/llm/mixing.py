@@ -46,7 +46,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], most: float) -> DataFr
 
 def seeded(seed: int, *columns: str) -> Column:
     """Hexadecimal MD5 of the seed and the columns' values, null as "null"; any SQL engine has it."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]))
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *values))
 
 
 def systematic_copies(rows: DataFrame, weights: tuple[float, ...], most: float, seed: int) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from tablesmith.llm import decontam, langid, mixing, queries, simhash
+from tablesmith.llm import decontam, langid, queries, simhash
 from tablesmith.llm.common import read_table, stage_table
 from tablesmith.session import ship_package
 from tests.conftest import SF_SMALL
