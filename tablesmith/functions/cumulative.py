@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from tablesmith.session import ensure_checkpoint_dir
 
 
-def bucketed(df: DataFrame, group_cols: list[str], order_col: str, buckets: int | None = None) -> tuple[DataFrame, list[str]]:
+def bucketed(df: DataFrame, group_cols: list[str], order_col: str,
+             buckets: int | None = None) -> tuple[DataFrame, list[str]]:
     """``df``, saved, with ``_bkt``: monotone in ``order_col`` within a group, about equally many rows in each.
 
     ``buckets``: how many over all groups; by default as many as Spark makes shuffle partitions. Rows that are

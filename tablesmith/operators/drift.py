@@ -44,8 +44,9 @@ def tag_samples(reference: DataFrame, current: DataFrame, cols: list[str]) -> Da
 
 def side_split(df: DataFrame, side_col: str, reference_value, current_value, cols: list[str]) -> DataFrame:
     """Tag rows of one table holding both samples (e.g. a split column)."""
+    side = F.when(F.col(side_col) == F.lit(reference_value), 0).otherwise(1)
     return (df.filter(F.col(side_col).isin(reference_value, current_value))
-            .select(*[quote(c) for c in cols], F.when(F.col(side_col) == F.lit(reference_value), 0).otherwise(1).alias("_side")))
+            .select(*[quote(c) for c in cols], side.alias("_side")))
 
 
 def numeric_long(tagged: DataFrame, cols: list[str]) -> DataFrame:

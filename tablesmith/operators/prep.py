@@ -61,7 +61,8 @@ def fit_modes(train: DataFrame, cols: list[str]) -> dict:
     """T3 fit: most frequent non-null value, ties to the smallest (aggregates only; one row per column)."""
     if not cols:
         return {}
-    return {r["column"]: r["top"] for r in top_of_counts(category_counts(train, cols).withColumnRenamed("n", "_f")).collect()}
+    counts = category_counts(train, cols).withColumnRenamed("n", "_f")
+    return {r["column"]: r["top"] for r in top_of_counts(counts).collect()}
 
 
 def fit_categories(train: DataFrame, cols: list[str]) -> dict:

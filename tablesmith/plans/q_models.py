@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablesmith.functions.columns import round_doubles
 from tablesmith.operators import evaluate as EV
 from tablesmith.operators import models as M
 from tablesmith.operators import prep as P

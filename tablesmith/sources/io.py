@@ -87,8 +87,8 @@ def log_metrics(spark: SparkSession, path: str, metrics: dict, settings: dict |
     returns the log table. Only a path that doesn't exist counts as the first run."""
     prev = spark.read.parquet(path).agg(F.max("run")).first()[0] if path_exists(spark, path) else 0
     now = datetime.now(timezone.utc).isoformat()
-    rows = [(int(prev or 0) + 1, now, kind, k, float(v)) for kind, found in (("metric", metrics), ("setting", settings or {}))
-            for k, v in found.items()]
+    named = [("metric", k, v) for k, v in metrics.items()] + [("setting", k, v) for k, v in (settings or {}).items()]
+    rows = [(int(prev or 0) + 1, now, kind, k, float(v)) for kind, k, v in named]
     spark.createDataFrame(rows, "run int, logged_at string, kind string, metric string, value double") \
         .write.mode("append").parquet(path)
     return spark.read.parquet(path)
