@@ -221,7 +221,14 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
     cols = cols or numeric_columns(df)
     value = {c: clean_value(df, c).cast("double") for c in cols}
     upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]  # symmetric: aggregate each pair once
-    wide = df.agg(*[F.corr(value[a], value[b]).alias(f"corr__{i}") for i, (a, b) in enumerate(upper)])
+
+    def corr(a: str, b: str) -> Column:
+        """Over the rows that have both; NULL where one of them is constant (F.corr would divide by zero)."""
+        x, y = value[a], value[b]
+        spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
+        return safe_div(F.covar_pop(x, y), spread)
+
+    wide = df.agg(*[corr(a, b).alias(f"corr__{i}") for i, (a, b) in enumerate(upper)])
     idx = {p: i for i, p in enumerate(upper)}
     rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                               F.col(f"corr__{idx.get((a, b), idx.get((b, a)))}").alias("corr"))
