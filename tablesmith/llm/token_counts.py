@@ -16,7 +16,7 @@ BATCH_BYTES = 1024 * 1024
 #: A call of the tokenizer gets about this many bytes of pieces at once.
 CALL_BYTES = 256 * 1024
 #: Pieces whose counts a task remembers; beyond it those of the current batch stay.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 
 # Safe places to cut for a tokenizer that drops white space and never joins across it: no token and no special
 # string holds one of these characters, so the counts of the pieces between them sum to the whole text's.
