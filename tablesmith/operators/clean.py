@@ -112,7 +112,10 @@ def inf_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Drop rows with any NULL or NaN."""
-    return nan_to_null(df).na.drop("any", subset=subset)
+    present = F.lit(True)
+    for c in subset or df.columns:
+        present = present & F.col(quote(c)).isNotNull()
+    return nan_to_null(df).filter(present)
 
 
 def clean_table(df: DataFrame) -> DataFrame:
