@@ -22,18 +22,27 @@ CARDS = [
     (36, 36, (14, 16, 19)), (38, 39, (14, 16, 19)), (300, 305, (14, 16, 19)), (62, 62, (16, 17, 18, 19)),
 ]
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
-
-#: What may be a value; each kind is validated after it. No digit, letter or joining mark stands beside a match.
+# ---- fixed values: characters of an IBAN by country
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ XK LT LU MN",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
+#: What may be a value; each kind is validated after it. No digit, letter or joining mark stands beside a match, save
+#: a time behind a date. What follows a value may look like more of it: shorter cuts are tried too (``valid_at``).
 CANDIDATE = re.compile(r"""
     (?P<email>(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+(?![\w@-]))
   | (?P<iban>(?<![\w-])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![\w-]))
   | (?P<ip>(?<!\w)(?<!\d[.-])\d{1,3}(?:\.\d{1,3}){3}(?![\w-]|\.\d))
-  | (?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?![\w/-]|\.\d))
+  | (?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})
+                (?:(?=[Tt]\d\d(?!\d{3}|[^\W\d_]{2}))|(?![\w/-]|\.\d)))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}
                 |\(\d{3}\)[ .-]?\d{3}[.-]?\d{4}|\d{3}(?P<mark>[.-])\d{3}(?P=mark)\d{4})(?![\w-]|\.\d))
   | (?P<card>(?<!\w)(?<!\d[.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d))
 """, re.VERBOSE)
+CARD = re.compile(r"\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)")
 
 
 def feistel(value: int, domain: int, key: bytes, tweak: str) -> int:
@@ -183,20 +192,76 @@ KINDS: dict[str, Callable[[str, bytes], str | None]] = {
     "email": email, "iban": iban, "ip": ip, "date": day, "ssn": ssn, "phone": phone, "card": card}
 
 
+def card_shaped(value: str) -> bool:
+    """Whether a number is written as a card is: groups of four or more but for the last, with one kind of mark.
+    Asked of cuts only, so that columns of small numbers don't make cards by chance."""
+    return len(set(re.findall(r"[ -]", value))) <= 1 and all(len(g) >= 4 for g in re.split(r"[ -]", value)[:-1])
+
+
+def card_at(text: str, start: int, key: bytes) -> tuple[int, str] | None:
+    """(end, pseudonym) of the longest valid card from ``start``, whole or cut before one of its marks."""
+    m = CARD.match(text, start)
+    ends = [m.end(), *(k for k in range(m.end() - 2, start + 12, -1) if text[k] in " -")] if m else []
+    for end in ends:
+        value = text[start:end]
+        if (end == m.end() or card_shaped(value)) and (new := card(value, key)) is not None:
+            return end, new
+    return None
+
+
+def iban_ends(value: str) -> list[int]:
+    """Ends of what may be an IBAN: before a blank where it has its country's length, and the whole."""
+    length = IBAN_LENGTHS.get(value[:2])
+    return [*(k for k, c in enumerate(value) if c == " " and k - value.count(" ", 0, k) == length), len(value)]
+
+
+def valid_at(text: str, m: re.Match, key: bytes) -> tuple[str, int, int, str] | None:
+    """(kind, start, end, pseudonym) of a valid value in the candidate ``m``, None if there is none from its start
+    or behind one of its hyphens. Groups that follow a card, an IBAN or a phone number are cut off, the last first."""
+    kind, start, value = m.lastgroup, m.start(), m.group()
+    if kind == "card":
+        for at in [start, *(k + 1 for k in range(start, m.end()) if text[k] == "-")]:
+            if hit := card_at(text, at, key):
+                return kind, at, *hit
+        return None
+    ends = [len(value)]
+    if kind == "iban":
+        ends = iban_ends(value)
+    elif kind == "phone" and value[0] == "+":
+        blanks = [k for k in range(len(value) - 1, 0, -1) if value[k] == " "]
+        # a card that begins in the match and ends behind it isn't part of the phone number
+        cards = [k for k in blanks if (hit := card_at(text, start + k + 1, key)) and hit[0] >= m.end()]
+        ends = [k for k in [len(value), *blanks] if not cards or k <= min(cards)]
+    for end in ends:
+        cut = CANDIDATE.match(text, start, start + end)
+        if cut and cut.lastgroup == kind and cut.end() == start + end:
+            if (new := KINDS[kind](cut.group(), key)) is not None:
+                return kind, start, start + end, new
+    return None
+
+
+def values(text: str, key: bytes) -> Iterator[tuple[str, int, int, str]]:
+    """(kind, start, end, pseudonym) of each valid value, in order; behind a candidate's first character the search
+    goes on if there is none in it."""
+    at = 0
+    while m := CANDIDATE.search(text, at):
+        hit = valid_at(text, m, key)
+        if hit:
+            yield hit
+        at = hit[2] if hit else m.start() + 1
+
+
 def pseudonymised(text: str | None, key: bytes) -> tuple[str | None, list[tuple[str, int, int]]]:
     """The whole text with a pseudonym for each valid value, and (kind, start, end) of each in the new text."""
     if not text or not re.search(r"[\d@]", text):
         return text, []
     out, found, at, size = [], [], 0, 0
-    for m in CANDIDATE.finditer(text):
-        new = KINDS[m.lastgroup](m.group(), key)
-        if new is None:
-            continue
-        out += [text[at:m.start()], new]
-        size += m.start() - at
-        found.append((m.lastgroup, size, size + len(new)))
+    for kind, start, end, new in values(text, key):
+        out += [text[at:start], new]
+        size += start - at
+        found.append((kind, size, size + len(new)))
         size += len(new)
-        at = m.end()
+        at = end
     return "".join(out) + text[at:], found
 
 

@@ -431,3 +431,28 @@ def test_other_numbers_stay(text):
 def test_capitals_link():
     a = pii.pseudonymised("ab.1@x.example.com", KEY)[0]
     assert pii.pseudonymised("AB.1@X.EXAMPLE.COM", KEY)[0] == a.upper()
+
+
+@pytest.mark.parametrize("text, kinds, clear", [
+    ("4111 1111 1111 1111 12/27", "card", "12/27"), ("4111111111111111 123", "card", "123"),
+    ("2 4111111111111111 x", "card", "2 "), ("123456 4111 1111 1111 1111 12/27 123", "card", "123456 "),
+    ("4111-1111-1111-1111 123", "card", " 123"), ("1-4111111111111111", "card", "1-"),
+    ("12 3782 822463 10005 1234", "card", " 1234"), ("4111 1111 1111 1111 5500 0000 0000 0004", "card card", ""),
+    ("BE68 5390 0754 7034 EUR 100", "iban", " EUR 100"), ("BE68539007547034 2024", "iban", " 2024"),
+    ("AB12 BE68 5390 0754 7034 EUR", "iban", "AB12 "), ("DE89 3704 0044 0532 0130 00 EUR 5", "iban", " EUR 5"),
+    ("+49 170 1234567 4111", "phone", " 4111"), ("+1 212 555 1234 4111 1111 1111 1111", "phone card", ""),
+    ("2021-02-28T10:15:00Z", "date", "T10:15:00Z"), ("on 2021-02-28t10 sharp", "date", "t10 sharp"),
+])
+def test_values_beside_other_groups(text, kinds, clear):
+    new, found = pii.pseudonymised(text, KEY)
+    assert " ".join(k for k, _, _ in found) == kinds and clear in new and len(new) == len(text)
+    for part in ("1111 1111 1111", "4111111111111111", "822463", "0754 7034", "07547034", "0044 0532", "1234567", "2021-02"):
+        assert part not in new
+
+
+@pytest.mark.parametrize("text", [
+    "2021-02-28Tuesday", "12 4 11 1 11 11 11 11 11 11 7", "4111 1111 1111 1112 12/27", "BE69 5390 0754 7034 EUR 100",
+    "1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9 1 2 3 4 5 6",
+])
+def test_other_groups_stay(text):
+    assert pii.pseudonymised(text, KEY) == (text, [])
