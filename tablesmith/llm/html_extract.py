@@ -25,7 +25,7 @@ BLOCKS = frozenset("""
 """.split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object audio video canvas".split())
-BOILERPLATE = frozenset("nav aside footer form dialog menu button select head noscript template".split())
+BOILERPLATE = frozenset("nav aside footer dialog menu button select head noscript template".split())
 # ---- fixed values: words in class, id or role that name what isn't the article
 BOILERPLATE_WORDS = frozenset("""
     ad ads adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
@@ -35,6 +35,10 @@ BOILERPLATE_WORDS = frozenset("""
     contentinfo complementary search dialog form
 """.split())
 BOILERPLATE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "subscri")
+NOT_BOILERPLATE = frozenset("commentary commentaries commentator commentators".split())
+# ---- fixed values: such names that layouts also give to what holds the article, and those of readers' texts
+LAYOUT = frozenset("sidebar widget menu navbar navigation nav search overlay pagination pager".split())
+REPLIES = frozenset("comment comments reply replies respond disqus".split())
 # ---- fixed values: what an open element is ended by, besides its end tag
 ENDS_P = BLOCKS - frozenset("body html option summary".split())
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -64,16 +68,34 @@ class Token(NamedTuple):
 
 
 def boilerplate(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is a menu, sidebar, notice, advert, form, comment area or the like, with all it holds."""
+    """Whether an element is a menu, footer, notice or the like by its kind, or hidden, with all it holds."""
     if name in BOILERPLATE or name == "header" and not in_article:
         return True
+    return bool(attributes) and name not in ("html", "body", "main", "article") and bool(_HIDDEN.search(attributes))
+
+
+def names(name: str, attributes: str) -> frozenset[str]:
+    """The words of class, id and role that name a menu, sidebar, notice, advert, comment area or the like; form."""
     if not attributes or name in ("html", "body", "main", "article"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+        return frozenset({"form"} if name == "form" else ())
     named = " ".join(m[1] for m in _NAMES.finditer(attributes)).lower()
     words = re.findall(r"[a-z]+", _BESIDE.sub("", named))  # "with-sidebar" names what stands beside a content element
-    return any(w in BOILERPLATE_WORDS or w.startswith(BOILERPLATE_STARTS) for w in words)
+    return frozenset(w for w in [*words, name] if w not in NOT_BOILERPLATE
+                     and (w in BOILERPLATE_WORDS and (w != name or w == "form") or w.startswith(BOILERPLATE_STARTS)))
+
+
+class Named(NamedTuple):
+    """An element that ``names`` has words for: these, the number of the innermost such one around it (0: none)."""
+
+    words: frozenset[str]
+    around: int
+
+
+def trust(words: frozenset[str]) -> float:
+    """What a word inside a so named element counts against one outside when it is asked which hold the article."""
+    if any(w in REPLIES or w.startswith("comment") for w in words):
+        return 0.01
+    return 1.0 if all(w in LAYOUT or w.startswith("sidebar") for w in words) else 0.1
 
 
 def kind(name: str) -> str:
@@ -81,24 +103,30 @@ def kind(name: str) -> str:
     return "h" if name in ("h1", "h2", "h3", "h4", "h5", "h6") else name if name in BLOCKS or name == "a" else "other"
 
 
-def tokens(page: str) -> Iterator[Token]:
-    """The page's tags and text runs in order, in one scan; blocks are numbered in page order."""
-    stack: list[tuple[str, bool]] = []  # open elements: name, whether what is inside is dropped
+def scanned(page: str, named: list[Named], marks: list[tuple[str, int]]) -> Iterator[tuple[Token, int]]:
+    """The page's tags and text runs in order, in one scan, each with the number of the innermost named element
+    around it; blocks are numbered in page order. ``dropped`` is by kind here. Named elements are added to ``named``,
+    main and outermost article elements with the number around them to ``marks``."""
+    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether what is inside is dropped, innermost named
     block, at, article, lower = 0, 0, 0, None
 
+    def token(feature: str, words: int, text: str) -> tuple[Token, int]:
+        _, dropped, around = stack[-1] if stack else ("", False, 0)
+        return Token(feature, words, block, article > 0, dropped, text), around
+
     def pop(down_to: int) -> None:
         nonlocal article
-        for name, _ in stack[down_to:]:
+        for name, _, _ in stack[down_to:]:
             article -= name in ("article", "main")
         del stack[down_to:]
 
-    def run(text: str) -> Iterator[Token]:
+    def run(text: str) -> Iterator[tuple[Token, int]]:
         if text and not text.isspace():
             plain = html.unescape(text)
-            feature = "word a" if any(n == "a" for n, _ in stack[-4:]) else "word"
-            yield Token(feature, len(plain.split()), block, article > 0, bool(stack and stack[-1][1]), plain)
+            feature = "word a" if any(n == "a" for n, _, _ in stack[-4:]) else "word"
+            yield token(feature, len(plain.split()), plain)
         elif text:
-            yield Token("word", 0, block, article > 0, bool(stack and stack[-1][1]), " ")
+            yield token("word", 0, " ")
 
     while True:
         m = _TOKEN.search(page, at)
@@ -111,10 +139,10 @@ def tokens(page: str) -> Iterator[Token]:
             continue
         closing, attributes = m[1] if m[2] else m[4], m[3] if m[2] else m[6]
         if name == "br":
-            yield Token("word", 0, block, article > 0, bool(stack and stack[-1][1]), " ")
+            yield token("word", 0, " ")
         if closing:
             block += name in BLOCKS
-            yield Token(kind(name), 0, block, article > 0, bool(stack and stack[-1][1]), "")
+            yield token(kind(name), 0, "")
             opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if opened is not None:
                 pop(opened)
@@ -138,10 +166,79 @@ def tokens(page: str) -> Iterator[Token]:
                 if opened is not None and stack[opened][0] in SAME_ENDS[name]:
                     pop(opened)
         dropped = bool(stack and stack[-1][1]) or boilerplate(name, attributes, article > 0)
-        article += name in ("article", "main") and name not in VOID
-        yield Token(kind(name), 0, block, article > 0, dropped, "")
+        around = stack[-1][2] if stack else 0
+        if not dropped and (words := names(name, attributes)):
+            named.append(Named(words, around))
+            around = len(named) - 1
+        if name in ("article", "main"):
+            if not dropped and (name == "main" or not article):
+                marks.append((name, around))
+            article += 1
+        yield Token(kind(name), 0, block, article > 0, dropped, ""), around
         if name not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append((name, dropped))
+            stack.append((name, dropped, around))
+
+
+def kept_names(found: list[tuple[Token, int]], named: list[Named], marks: list[tuple[str, int]]) -> list[bool]:
+    """For each named element whether what is directly in it is kept: it and all around it hold the article.
+
+    These do: what is around the main element or the only article outside of readers' replies; and of the names
+    those whose elements hold more words outside of links than the rest of the article (of the page, if nothing
+    marks it), words counted by ``trust``: the elements of that name, and what is around the largest.
+    """
+    holds = [True] + [False] * (len(named) - 1)
+
+    def path(n: int) -> list[int]:
+        out = []
+        while n:
+            out.append(n)
+            n = named[n].around
+        return out
+
+    def all_kept() -> list[bool]:
+        kept = [True]
+        for n in range(1, len(named)):
+            kept.append(holds[n] and kept[named[n].around])
+        return kept
+
+    mains = [n for name, n in marks if name == "main"][:1]
+    replies = [False]
+    for n in range(1, len(named)):
+        replies.append(replies[named[n].around] or trust(named[n].words) == 0.01)
+    own = [n for name, n in marks if name == "article" and not replies[n]]
+    for n in mains or (own if len(own) == 1 else []):
+        for k in path(n):
+            holds[k] = True
+    kept = all_kept()
+    marked = any(t.article and not t.dropped and kept[n] for t, n in found)
+    outside, held, by_name = 0, Counter(), Counter()
+    for t, n in found:
+        if t.words and t.feature == "word" and not t.dropped and t.article >= marked:
+            if kept[n]:
+                outside += t.words
+            else:
+                held[n] += t.words
+                by_name[named[n].words] += t.words
+    if not held:
+        return kept
+    best = max(by_name, key=lambda words: (trust(words) * by_name[words], sorted(words)))
+    if trust(best) * by_name[best] <= outside:
+        return kept
+    largest = max((n for n in held if named[n].words == best), key=lambda n: (held[n], -n))
+    for n in [*path(largest), *(n for n in range(1, len(named)) if named[n].words == best)]:
+        holds[n] = True
+    return all_kept()
+
+
+def tokens(page: str) -> list[Token]:
+    """The page's tags and text runs in order; ``dropped`` are those in boilerplate by kind, and by name too unless
+    the named element holds the article."""
+    named, marks = [Named(frozenset(), 0)], []
+    found = list(scanned(page, named, marks))
+    if len(named) == 1:
+        return [t for t, _ in found]
+    kept = kept_names(found, named, marks)
+    return [t if kept[n] else t._replace(dropped=True) for t, n in found]
 
 
 def features_of(page: str) -> Counter:
@@ -182,12 +279,12 @@ def main_text(page: str | None, model: Weights) -> str:
 
     One scan finds the contiguous run of tokens with the highest sum of scores (the first, if several tie).
     Menus, notices and the like, with all they hold, score nothing and are left out of the region's text; a block
-    that the region touches is taken whole.
+    that the region touches is taken whole. A name alone doesn't drop what holds the article (``kept_names``).
     """
     if not page:
         return ""
-    found = list(tokens(page))
-    marked = any(t.article for t in found)
+    found = tokens(page)
+    marked = any(t.article and not t.dropped for t in found)
     best, best_from, best_to, total, begin = 0.0, 0, 0, 0.0, 0
     for k, t in enumerate(found):
         w = model.placed.get((t.feature, t.article)) if marked else model.plain.get(t.feature)

@@ -88,6 +88,30 @@ def test_pages(page, text):
     assert html_extract.main_text(page, html_extract.weights({})) == text
 
 
+BODY_TEXT = (" ".join(["The river ran over the stone and the light went down."] * 3) + "\n"
+             + " ".join(["Seven letters lay on the hill, cold and bright."] * 3))
+BODY = "".join(f"<p>{p}</p>" for p in BODY_TEXT.split("\n"))
+REST = "<nav><a>Home</a></nav><div class=widget><a>Recent</a></div><div id=comments><p>I do not agree at all.</p></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content-sidebar-wrap'><main>{BODY}</main><div class=sidebar>Tags</div></div>{REST}",
+    f"<div class='content-sidebar-wrap'><article>{BODY}</article><div class=comments><article>No!</article></div></div>",
+    f"<div class='elementor-widget-container'>{BODY}</div>{REST}",
+    "".join(f"<div class='elementor-widget'><div class='elementor-widget-container'>{p}</p></div></div>"
+            for p in BODY.split("</p>")[:2]) + REST,
+    f"<div class='sidebar-right layout'>{BODY}</div>{REST}",
+    f"<main><section class='commentary'>{BODY}</section></main>{REST}",
+    f"<article><div class='elementor-widget-container'>{BODY}</div><div class=promo>Buy now</div></article>{REST}",
+    f"<form id=aspnetForm action='x'><div class='promo'>Buy now</div><main>{BODY}</main></form>",
+    f"<div class='related-page'><article>{BODY}</article></div><div id=comments>{BODY * 9}</div>",
+    f"<div>{BODY}</div><div class=related><article><p>Teaser</p></article><article><p>Other</p></article></div>{REST}",
+    f"<div>{BODY}</div><div id=comments>{BODY * 9}</div><div class='cookie-notice'>{BODY * 2}</div>",
+])
+def test_names_do_not_drop_what_holds_the_article(page):
+    assert html_extract.main_text(page, html_extract.weights({})) == BODY_TEXT
+
+
 # ---- sharding
 
 def brute_place(loads, owners, room):
