@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.llm import decontam, langid, mixing, queries, sharding, simhash
-from tablesmith.llm.common import OWN, read_table, stage_table
+from tablesmith.llm.common import read_table, stage_table
 from tablesmith.session import ensure_checkpoint_dir, ship_package
 
-#: Cosine to the nearest language prototype below which a text is in none of the languages. Texts without a word in
-#: common lie about 0 (standard deviation 0.03 with 1,024 components), the shortest clean ones from 0.09 up.
+#: Cosine to the nearest language prototype below which a text is in none of the languages, by 8,192 components.
+#: Measured with prototypes of four languages: 400 texts of 5 and 150 words in ten unlearned scripts lie below 0.033;
+#: of 479 clean texts of 3 words 0.6 % lie below 0.05, of 5 words none (0.056 and more), whole documents from 0.25 up.
 LEAST_LANGUAGE_SCORE = 0.05
 
 
@@ -24,13 +25,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Prototypes come from the stage's own rows with a language; if there is none, no document can be rejected for
     its score, only for having no letters."""
-    prototypes = langid.fit_prototypes(docs.select("text", "lang"))
-    found = langid.language(F.col("text"), prototypes)
+    prototypes = langid.fit_prototypes(docs.select("text", "lang"), langid.FINE_DIMENSIONS)
     if not prototypes:
         return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    own = OWN + "language"
-    return (docs.withColumn(own, found)
-            .filter((F.col(own)["lang"] != langid.UNKNOWN) & (F.col(own)["score"] >= LEAST_LANGUAGE_SCORE)).drop(own))
+    return docs.filter(langid.in_languages(F.col("text"), prototypes, LEAST_LANGUAGE_SCORE))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

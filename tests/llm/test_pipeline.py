@@ -1,5 +1,6 @@
 """The pipeline's stages on the driver's small table, each against a plain version on what the one before kept."""
 
+import random
 from collections import Counter
 from itertools import combinations
 
@@ -41,6 +42,24 @@ def test_language(stages):
     assert after == Counter(r for r, c in zip(before, best) if c >= P.LEAST_LANGUAGE_SCORE)
 
 
+def test_texts_in_unlearned_scripts_go(spark):
+    """Planted among documents: words of letters that no document with a language has; short clean texts stay."""
+    rng, rows = random.Random(3), []
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text", "lang").collect()
+    for script, (first, letters) in enumerate([(0x430, 32), (0x3b1, 24), (0xe01, 40), (0xac00, 600), (0x621, 36)]):
+        words = ["".join(chr(first + rng.randrange(letters)) for _ in range(rng.randint(2, 8))) for _ in range(300)]
+        rows += [(-1 - 40 * script - k, " ".join(rng.choices(words, k=rng.choice([5, 150]))), None) for k in range(40)]
+    short = [(10 ** 6 + r[0], " ".join(r[1].split()[:10]), None) for r in docs[:60]]
+    table = spark.createDataFrame([*map(tuple, docs), *rows, *short], "doc_id bigint, text string, lang string")
+    left = {r["doc_id"] for r in P.language(spark, table, SF_SMALL).collect()}
+    assert not [k for k in left if k < 0] and left == {r[0] for r in [*docs, *short]}
+
+
+def test_first_components_are_those_of_all():
+    texts = ["the end of the story", None, "x", "Straße 日本 текст"]
+    assert np.array_equal(langid.bundles(texts, 256, 32), langid.bundles(texts, 256)[:, :32])
+
+
 def test_near_duplicates(stages):
     before, after = rows(stages[1]), Counter(rows(stages[2]))
     prints = {r[0]: simhash.fingerprint_of(r[1], queries.SHINGLE_WORDS) for r in before}
