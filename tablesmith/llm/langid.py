@@ -11,10 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesmith.llm.common import OWN
+
 #: Components of a vector, letters of an n-gram, seed of the random letter vectors.
 DIMENSIONS, GRAM, SEED = 1024, 3, 20_017
-#: Labelled documents that the prototypes are fitted on, about: all if there are no more, else a part by hash.
-FIT_DOCS = 20_000
+#: Different labelled documents that each language's prototype is fitted on, about: all if there are no more, else a
+#: part by hash; the tasks they are dealt to.
+FIT_DOCS, FIT_TASKS = 5_000, 32
 #: Components by which ``in_languages`` decides: the cosine of unlike texts has a standard deviation of 0.011.
 FINE_DIMENSIONS = 8192
 #: A cosine over the first DIMENSIONS of these that needs no second look, six standard deviations above none.
@@ -105,18 +108,27 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
 
 
+def fit_sample(rows: DataFrame, fit_docs: int) -> DataFrame:
+    """About ``fit_docs`` different ``(text, lang)`` of each language, chosen by a hash of the text; all of a language
+    that has no more. The share of a language is drawn from a count of its different texts: copies count once, so
+    neither the size of the input nor another language takes a language's rows."""
+    own = OWN + "n"
+    rows = rows.filter("lang is not null and text is not null")
+    # one row per language, with a sketch that tasks merge
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("text").alias(own))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return (rows.join(F.broadcast(counts), "lang").filter(place * F.col(own) < F.lit(float(fit_docs)))
+            .select("text", "lang").distinct())
+
+
 def fit_prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS, fit_docs: int = FIT_DOCS,
                    text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """A unit vector for each non-null ``lang``: the sum of its documents' unit bundles.
 
-    Fitted on about ``fit_docs`` of the labelled documents, chosen by a hash of the text. Tasks sum their own
+    Fitted on about ``fit_docs`` different labelled documents of each language (``fit_sample``). Tasks sum their own
     rows; the driver gets ``dimensions`` numbers per language. No labelled rows: no languages.
     """
-    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-            .filter("lang is not null and text is not null"))
-    n = rows.count()
-    share = min(1.0, fit_docs / max(n, 1))
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < round(share * (1 << 20)))
+    chosen = fit_sample(labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")), fit_docs)
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -130,7 +142,7 @@ def fit_prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS, fit_docs:
         if total:
             yield pa.RecordBatch.from_pydict({"lang": list(total), "total": [v.tolist() for v in total.values()]})
 
-    partial = chosen.mapInArrow(sums, "lang string, total array<double>")
+    partial = chosen.repartition(FIT_TASKS).mapInArrow(sums, "lang string, total array<double>")
     summed = (partial.select("lang", F.posexplode("total").alias("at", "x")).groupBy("lang", "at")
               .agg(F.sum("x").alias("x")).groupBy("lang")
               .agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("xs")).select("lang", "xs.x").collect())

@@ -190,6 +190,18 @@ def test_bundles(monkeypatch):
             assert np.allclose(vector, brute_bundle(text or "", 64) if text and any(map(str.isalpha, text)) else 0)
 
 
+def test_rare_languages_have_prototypes(spark):
+    rows = [(f"{EN} {k}", "en") for k in range(3000)] + [(f"{DE} {k}", "de") for k in range(2)] + [
+        ("река и камень над водой", "ru"), (None, "none"), ("", None)] + [(EN, "en")] * 3000
+    table = spark.createDataFrame(rows, "text string, lang string")
+    chosen = langid.fit_sample(table, 50).collect()
+    n = Counter(r["lang"] for r in chosen)
+    assert n["ru"] == 1 and n["de"] == 2 and 25 <= n["en"] <= 85 and len({tuple(r) for r in chosen}) == len(chosen)
+    prototypes = langid.fit_prototypes(table, 64, 50)
+    assert list(prototypes) == ["de", "en", "ru"]
+    assert np.allclose(prototypes["ru"], langid.unit(brute_bundle("река и камень над водой", 64)), atol=1e-5)
+
+
 def test_held_out_language(spark):
     from tablesmith.llm.queries import op4_language_id
     sf = "/root/testdata/sf0.01"
