@@ -24,8 +24,10 @@ BLOCKS = frozenset("""
     tfoot th thead tr ul
 """.split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object audio video canvas".split())
-BOILERPLATE = frozenset("nav aside footer dialog menu button select head noscript template".split())
+RAW = frozenset("script style iframe textarea title".split())
+BOILERPLATE = frozenset("""
+    nav aside footer dialog menu button select head noscript template svg object audio video canvas
+""".split())
 # ---- fixed values: words in class, id or role that name what isn't the article
 BOILERPLATE_WORDS = frozenset("""
     ad ads adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
@@ -156,6 +158,10 @@ def scanned(page: str, named: list[Named], marks: list[tuple[str, int]]) -> Iter
             continue
         if name in BLOCKS:
             block += 1
+            # as in HTML, a block ends an svg that was left open, but for blocks in its foreignObject
+            drawn = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in ("svg", "foreignobject")), None)
+            if drawn is not None and stack[drawn][0] == "svg":
+                pop(drawn)
             if name in ENDS_P:
                 opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCKS), None)
                 if opened is not None and stack[opened][0] == "p":

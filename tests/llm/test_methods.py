@@ -112,6 +112,19 @@ def test_names_do_not_drop_what_holds_the_article(page):
     assert html_extract.main_text(page, html_extract.weights({})) == BODY_TEXT
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", "so x=2 holds"),
+    ("<article><p>one <svg><path d=a><text>no</text></p><p>two</p></article>", "one\ntwo"),
+    ("<article><p>one</p><svg><text>no</text><p>two</p></article>", "one\ntwo"),
+    ("<article><div><video src=v><source src=w>no</div><p>one</p><p><canvas>no</p><p>two</p></article>", "one\ntwo"),
+    ("<article><p>one <svg><svg><text>no</text></svg><text>nor</text></svg>two</p></article>", "one two"),
+    ("<article><p>one <object><object>no</object>nor</object>two</p></article>", "one two"),
+    ("<article><p>one</p><script>if (a < b) '<p>no</p>'</script><p>two</p></article>", "one\ntwo"),
+])
+def test_embedded_elements_end_with_their_parent(page, text):
+    assert html_extract.main_text(page, html_extract.weights({})) == text
+
+
 # ---- sharding
 
 def brute_place(loads, owners, room):
