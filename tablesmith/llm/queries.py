@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import (decontam, html_extract, langid, mixing, pii, sharding, simhash, token_counts, topk,
-                            toxicity)
+from tablesmith.llm import (align, decontam, exact_dedup, html_extract, langid, mixing, pii, sharding, simhash,
+                            subvectors, token_counts, topk, toxicity)
 from tablesmith.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
+TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+DIMENSIONS, CENTROIDS, ROUNDS, FIRST_SALT = 64, 40, 5, "2:"
 TOKEN_LIMIT = 2048
 SHARDS, VIRTUAL_NODES = 40, 64
 MIX_WEIGHTS, MIX_MOST, MIX_SEED = (5.0, 2.0, 1.0), 3.0, 7
@@ -19,10 +21,10 @@ TOXIC_FROM = 0.7
 PSEUDONYM_KEY = "tablesmith example key"
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def remainder(modulus: int):
@@ -139,7 +141,62 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct("found.kind")), ",").alias("kinds"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.scored(read_table(spark, sf_dir, "documents"), tokenizer_file(TOKENIZER_A), tokenizer_file(TOKENIZER_B))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subvectors.clustered(read_table(spark, sf_dir, "embeddings"), F.col("embedding"), DIMENSIONS, CENTROIDS,
+                                ROUNDS, FIRST_SALT)
+
+
+def _op12_sql() -> str:
+    """The rounds one after another: distances to all centroids, the nearest one, floored means."""
+    square = ("list_sum(list_transform(list_zip(v.e, c.e), lambda p: CAST((p[1] - p[2]) * (p[1] - p[2]) AS HUGEINT)))")
+    parts = [f"""
+k AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {DIMENSIONS}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIMENSIONS}),
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, e FROM k),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('{FIRST_SALT}' || CAST(vec_id AS VARCHAR)), e) - 1 AS INTEGER) AS g, e
+  FROM v ORDER BY sha256('{FIRST_SALT}' || CAST(vec_id AS VARCHAR)), e LIMIT {CENTROIDS})"""]
+    for n in range(ROUNDS + 1):
+        parts.append(f"""
+a{n} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(e) AS e, arg_min(g, d * 1000 + g) AS g, min(d) AS d
+  FROM (SELECT v.r, v.vec_id, v.e, c.g, {square} AS d FROM v CROSS JOIN c{n} c) GROUP BY r)""")
+        if n < ROUNDS:
+            parts.append(f"""
+m{n} AS (SELECT g, j, sum(CAST(e[j] AS HUGEINT)) AS s, CAST(count(*) AS HUGEINT) AS n
+  FROM a{n}, range(1, {DIMENSIONS + 1}) t(j) GROUP BY g, j),
+f{n} AS (SELECT g, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS e FROM m{n} GROUP BY g),
+c{n + 1} AS MATERIALIZED (SELECT c.g, coalesce(f.e, c.e) AS e FROM c{n} c LEFT JOIN f{n} f ON c.g = f.g)""")
+    return f"""WITH {",".join(parts)}
+SELECT vec_id, a.g AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.g) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{ROUNDS} a JOIN c{ROUNDS} c ON a.g = c.g
+"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents),
+r AS (
+  SELECT doc_id, norm, row_number() OVER w AS k, first_value(doc_id) OVER w AS keep_id,
+         count(*) OVER (PARTITION BY norm) AS group_size
+  FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha256(norm) AS text_sha256 FROM r
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_html_extraction, op3_sharding, op4_language_id, op5_top_k, op6_decontamination, op7_mixing,
-    op8_toxicity, op9_simhash, op10_pii)}
-ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op7_mixing": OP7_SQL}
+    op8_toxicity, op9_simhash, op10_pii, op11_token_alignment, op12_centroid_clusters, op13_exact_dedup)}
+ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op7_mixing": OP7_SQL, "op12_centroid_clusters": _op12_sql(),
+                           "op13_exact_dedup": OP13_SQL}
