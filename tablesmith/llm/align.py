@@ -6,6 +6,7 @@ import functools
 import json
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,9 @@ from tablesmith.llm.token_counts import byte_balanced
 #: Bytes of a range (documents of no more are one range), and fragments that one task composes to one.
 RANGE_BYTES, FAN = 32 * 1024, 16
 #: Texts go through the tokenizers in runs of about this many bytes; encoded pieces are remembered up to this size.
-RUN_BYTES, REMEMBERED_BYTES = 512 * 1024, 48 * 1024 * 1024
+RUN_BYTES, REMEMBERED_BYTES = 512 * 1024, 80 * 1024 * 1024
+#: Pieces that go through a tokenizer as one text.
+JOINED = 64
 #: What a remembered piece takes besides its characters and tokens, about.
 PIECE_BYTES = 200
 
@@ -31,56 +34,104 @@ PAIRS = "pair int, a int, b int, n bigint, best boolean"
 
 #: Where a text may be cut into pieces that both tokenizers encode alone as within the text: before one blank or
 #: line end between other characters (tokenizer A ends a run there, no piece of B holds both sides).
-_PIECES = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_PIECES = re.compile(r"(?<=[^\s▁])(?=[ \n][^\s▁])")
+#: A piece of a blank or line end and what neither begins nor ends with white space.
+_WORDS = re.compile(r"[ \n][^\s▁](?:[^▁]*[^\s▁])?")
 #: Further places where a run of A ends: before white space, and between a letter or digit and a mark.
 _CUT_A = re.compile(r"(?<=\S)(?=[ \t\n\r])|(?<=[0-9A-Za-z一-龥])(?=[!-/:-@\[-`{-~、。，])")
 
 
 class Tokenizer:
-    """Token ids of texts, a bounded memory of the pieces seen before, and the bytes of each token."""
+    """A way to encode texts, the bytes of each token, and whether texts may be cut into pieces for it."""
 
     def __init__(self, spelled: list[bytes], encode: Callable[[list[str]], list[list[int]]], cuttable: bool):
         self.bytes, self.encode, self.cuttable = spelled, encode, cuttable
         self.lengths = np.array([len(s) for s in spelled], dtype=np.int64)
-        self.forget()
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.first, self.right, self.held = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool), 0
-
-    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
-        """For each text its token ids, and whether their bytes are the text's."""
-        pieces = [_PIECES.split(t) if self.cuttable else [t] for t in texts]
-        every = [p for run in pieces for p in run]
-        self.learn(set(every))
-        which = np.fromiter(map(self.known.__getitem__, every), dtype=np.int64, count=len(every))
+
+class Encoded:
+    """Token ids of many pieces one behind the other, and whether their bytes are the piece's."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        self.flat, self.first, self.right = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+
+    def add(self, pieces: list[str], joinable: int) -> None:
+        """Encode pieces of which the first ``joinable`` may stand behind each other in one text."""
+        t = self.tokenizer
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        runs = ["".join(pieces[at:min(at + JOINED, joinable)]) for at in range(0, joinable, JOINED)] + pieces[joinable:]
+        flat = self._flat(t.encode(runs))
+        ends = np.concatenate(([0], np.cumsum(t.lengths[flat])))
+        piece_ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        first = np.searchsorted(ends, piece_ends, "right") - 1
+        right = np.ones(len(pieces), dtype=bool)
+        if b"".join(map(t.bytes.__getitem__, flat.tolist())) != b"".join(raw) or (ends[first] != piece_ends).any():
+            found = t.encode(pieces)  # some don't come back: see which
+            flat, first = self._flat(found), np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+            right = np.array([b"".join(map(t.bytes.__getitem__, ids)) == r for ids, r in zip(found, raw)])
+        self.first = np.concatenate((self.first, self.first[-1] + first))
+        self.flat, self.right = np.concatenate((self.flat, flat)), np.concatenate((self.right, right))
+
+    @staticmethod
+    def _flat(found: list[list[int]]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+
+    def of(self, which: np.ndarray, counts: list[int]) -> list[tuple[np.ndarray, bool]]:
+        """Ids and rightness of texts that have ``counts`` of the pieces ``which``."""
         sizes = self.first[which + 1] - self.first[which]
         ends = np.cumsum(sizes)
         flat = self.flat[np.arange(int(sizes.sum())) + np.repeat(self.first[which] - (ends - sizes), sizes)]
-        out, at = [], 0
-        for run in pieces:
-            to = at + len(run)
-            begin = int(ends[at - 1]) if at else 0
-            out.append((flat[begin:int(ends[to - 1])], bool(self.right[which[at:to]].all())))
-            at = to
+        right = self.right[which]
+        ends, out, at = np.concatenate(([0], ends)), [], 0
+        for n in counts:
+            out.append((flat[ends[at]:ends[at + n]], bool(right[at:at + n].all())))
+            at += n
         return out
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that aren't known; beyond REMEMBERED_BYTES those of earlier texts go."""
+
+class Memory:
+    """Both tokenizers' encodings of the pieces seen before, as many as fit into REMEMBERED_BYTES, about."""
+
+    def __init__(self, a: Tokenizer, b: Tokenizer):
+        self.tokenizers, self.cuttable = (a, b), a.cuttable and b.cuttable
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.encoded, self.held = [Encoded(t) for t in self.tokenizers], 0
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The numbers of the texts' pieces, and how many each text has."""
+        cut = [_PIECES.split(t) if self.cuttable else [t] for t in texts]
+        every = list(chain.from_iterable(cut))
         if self.held > REMEMBERED_BYTES:
             self.forget()
-        new = [p for p in pieces if p not in self.known]
-        if not new:
-            return
-        found = self.encode(new)
-        spell = self.bytes.__getitem__
-        right = [b"".join(map(spell, ids)) == p.encode("utf-8", "surrogatepass") for p, ids in zip(new, found)]
-        self.known.update(zip(new, range(len(self.right), len(self.right) + len(new))))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
-        self.flat = np.concatenate((self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))))
-        self.right = np.concatenate((self.right, right))
-        self.held += sum(PIECE_BYTES + 4 * len(p) for p in new) + 4 * int(sizes.sum())
+        new = [p for p in set(every) if p not in self.known]
+        if new:
+            before = sum(len(e.flat) for e in self.encoded)
+            alone = [p for p in new if not self._joinable(p)]
+            new = [p for p in new if self._joinable(p)] + alone
+            for e in self.encoded:
+                e.add(new, len(new) - len(alone))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.held += PIECE_BYTES * len(new) + 4 * (sum(map(len, new)) + sum(len(e.flat) for e in self.encoded) - before)
+        return np.fromiter(map(self.known.__getitem__, every), np.int64, len(every)), [len(c) for c in cut]
+
+    def _joinable(self, piece: str) -> bool:
+        """Whether a text may be cut where this piece begins and ends, whatever stands there."""
+        return self.cuttable and _WORDS.fullmatch(piece) is not None
+
+    def ids(self, a_texts: list[str], b_texts: list[str]) -> zip:
+        """For each pair of texts A's ids of the first and B's of the second, each with its rightness."""
+        a, b = self.encoded_of(0, a_texts), None
+        if a_texts is b_texts:
+            b = self.encoded[1].of(*self.last)
+        return zip(a, b if b is not None else self.encoded_of(1, b_texts))
+
+    def encoded_of(self, which: int, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
+        self.last = self.pieces(texts)
+        return self.encoded[which].of(*self.last)
 
 
 def byte_level_tokenizer(file: str) -> Tokenizer:
@@ -106,8 +157,7 @@ def byte_level_tokenizer(file: str) -> Tokenizer:
                 and not split.get("add_prefix_space") and all(t["special"] for t in made.get("added_tokens", [])))
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [ids for run in byte_balanced(texts, RUN_BYTES)
-                for ids in (e.ids for e in own.encode_batch_fast(run, add_special_tokens=False))]
+        return [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
 
     return Tokenizer(spelled, encode, cuttable)
 
@@ -130,8 +180,7 @@ def piece_tokenizer(file: str) -> tuple[Tokenizer, set[tuple[str, str]]]:
 
     def encode(texts: list[str]) -> list[list[int]]:
         lead = [t[:1] != " " for t in texts]
-        found = [ids for run in byte_balanced(["\n" + t if x else t[1:] for t, x in zip(texts, lead)], RUN_BYTES)
-                 for ids in own.encode(run, num_threads=1)]
+        found = own.encode(["\n" + t if x else t[1:] for t, x in zip(texts, lead)], num_threads=1)
         return [ids[2:] if x else ids for ids, x in zip(found, lead)]
 
     probe = " a  b \n\t c ﬁ"
@@ -150,6 +199,7 @@ class Pairing:
     def __init__(self, file_a: str, file_b: str):
         self.a = byte_level_tokenizer(file_a)
         self.b, self.neighbours = piece_tokenizer(file_b)
+        self.memory = Memory(self.a, self.b)
         of_a, of_b = {}, {}
         for tokens, spelled in ((of_a, self.a.bytes), (of_b, self.b.bytes)):
             for i, s in enumerate(spelled):
@@ -293,7 +343,7 @@ class Fragment:
 def fragments(pair: Pairing, a_texts: list[str], a_starts: list[int], b_texts: list[str], b_starts: list[int]) -> list[Fragment]:
     """A fragment per range: the tokens of A of one text, those of B of another, and the bytes where these begin."""
     out = []
-    for (a, a_ok), a0, (b, b_ok), b0 in zip(pair.a.ids(a_texts), a_starts, pair.b.ids(b_texts), b_starts):
+    for ((a, a_ok), (b, b_ok)), a0, b0 in zip(pair.memory.ids(a_texts, b_texts), a_starts, b_starts):
         out.append(Fragment.of(pair, Tokens(a, a0 + np.cumsum(pair.a.lengths[a]), b, b0 + np.cumsum(pair.b.lengths[b])))
                    if a_ok and b_ok else Fragment(pair, ok=False))
     return out
@@ -498,4 +548,5 @@ def scored(docs: DataFrame, file_a: str, file_b: str) -> DataFrame:
     found = alignments(docs, file_a, file_b)
     digest = F.when(F.col("n_groups") == 0, F.lit("")).otherwise(F.sha2("groups", 256))
     aligned = stage_table(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
-    return with_link_scores(aligned, pair_counts(aligned, file_a, file_b))
+    return with_link_scores(aligned, pair_counts(aligned, file_a, file_b)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

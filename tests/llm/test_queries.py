@@ -46,7 +46,7 @@ def test_empty_tables_give_empty_results(spark, empty, name):
 
 
 @pytest.mark.parametrize("name", [n for n in Q.QUERIES if n.split("_")[0] in
-                                  ("op1", "op3", "op4", "op7", "op8", "op9", "op10")])
+                                  ("op1", "op3", "op4", "op7", "op8", "op9", "op10", "op11", "op13")])
 def test_one_row_per_document(spark, awkward, name):
     assert ids(rows(spark, name, awkward)) == Counter(r[0] for r in tables.ROWS)
 
