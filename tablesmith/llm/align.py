@@ -19,7 +19,9 @@ from tablesmith.llm.token_counts import byte_balanced
 #: Bytes of a range (documents of no more are one range), and fragments that one task composes to one.
 RANGE_BYTES, FAN = 32 * 1024, 16
 #: Texts go through the tokenizers in runs of about this many bytes; encoded pieces are remembered up to this size.
-RUN_BYTES, REMEMBERED_BYTES = 512 * 1024, 80 * 1024 * 1024
+RUN_BYTES, REMEMBERED_BYTES = 512 * 1024, 64 * 1024 * 1024
+#: Ranges that are encoded together.
+SPANS = 8
 #: Pieces that go through a tokenizer as one text.
 JOINED = 64
 #: What a remembered piece takes besides its characters and tokens, about.
@@ -377,7 +379,25 @@ def _blank(left: str, right: str) -> tuple[str, str]:
 
 
 def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema)
+    """Rows whose lists are arrays as a batch, without a Python object per element."""
+    columns = []
+    for field in schema:
+        values = [r[field.name] for r in rows]
+        if pa.types.is_list(field.type):
+            ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+            flat = np.concatenate([NOTHING, *values]).astype(field.type.value_type.to_pandas_dtype())
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+        else:
+            columns.append(pa.array(values, field.type))
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """The rows of a batch, lists as arrays."""
+    lists = [pa.types.is_list(f.type) for f in batch.schema]
+    for values in zip(*batch.columns):
+        yield {name: np.asarray(v.values) if is_list else v.as_py()
+               for name, is_list, v in zip(batch.schema.names, lists, values)}
 
 
 def _arrow(spark_schema: str) -> pa.Schema:
@@ -432,10 +452,12 @@ def _fragments(spans: DataFrame, files: tuple[str, str]) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pairing(*files)
         for batch in batches:
-            for r in batch.to_pylist():
-                made, = fragments(pair, [r["span"][r["a_from"]:r["a_to"]]], [r["a_start"]],
-                                  [r["span"][r["b_from"]:r["b_to"]]], [r["b_start"]])
-                yield _batch([{c: r[c] for c in ("key", "doc_id", "idx")} | made.row()], schema)
+            rows = batch.to_pylist()
+            for at in range(0, len(rows), SPANS):
+                run = rows[at:at + SPANS]
+                made = fragments(pair, [r["span"][r["a_from"]:r["a_to"]] for r in run], [r["a_start"] for r in run],
+                                 [r["span"][r["b_from"]:r["b_to"]] for r in run], [r["b_start"] for r in run])
+                yield _batch([{c: r[c] for c in ("key", "doc_id", "idx")} | f.row() for r, f in zip(run, made)], schema)
 
     return spans.mapInArrow(encode, FRAGMENTS)
 
@@ -446,10 +468,10 @@ def _composed(parts: DataFrame, files: tuple[str, str], fan: int) -> DataFrame:
 
     def compose(key, table: pa.Table) -> pa.Table:
         pair = pairing(*files)
-        rows = sorted(table.to_pylist(), key=lambda r: r["idx"])
+        rows = sorted(_rows(table), key=lambda r: r["idx"])
         made = functools.reduce(lambda x, y: x + y, (Fragment.from_row(pair, r) for r in rows))
-        return pa.Table.from_pylist([{"key": rows[0]["key"], "doc_id": rows[0]["doc_id"], "idx": rows[0]["idx"] // fan}
-                                     | made.row()], schema)
+        return pa.Table.from_batches([_batch([{"key": rows[0]["key"], "doc_id": rows[0]["doc_id"],
+                                               "idx": rows[0]["idx"] // fan} | made.row()], schema)])
 
     level = parts.withColumn("parent", F.floor(F.col("idx") / fan))
     return level.groupBy("key", "parent").applyInArrow(
@@ -462,7 +484,7 @@ def _finished(whole: DataFrame, files: tuple[str, str]) -> DataFrame:
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pairing(*files)
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _rows(batch):
                 yield _batch([{"doc_id": r["doc_id"], **Fragment.from_row(pair, r).finished()}], schema)
 
     return whole.mapInArrow(finish, ALIGNED)
