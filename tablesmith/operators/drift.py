@@ -32,6 +32,21 @@ SHARE_THRESHOLD = 0.5
 WASSERSTEIN_STD_FLOOR = 0.001
 MMD_FEATURES = 32
 MMD_SEED = 7
+MMD_BLOCKS = 256             # blocks of rows that the bootstrap resamples
+MMD_REPLICATES = 200
+# exp(-1) times the partial sums of 1 / i!: a uniform number's weight is how many of these it passes (Poisson, mean 1)
+POISSON_STEPS = tuple(math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1)) for k in range(8))
+
+
+#: Column of ``resampling_blocks``.
+BLOCK = "_block"
+
+
+def resampling_blocks(df: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` with a block number from the first two hex digits of the md5 of the ``key`` columns (null as a word of
+    its own): rows are dealt into MMD_BLOCKS blocks without regard to their values, the same in every run."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(quote(c)).cast("string"), F.lit("null")) for c in key])
+    return df.withColumn(BLOCK, F.conv(F.substring(F.md5(text), 1, 2), 16, 10).cast("int"))
 
 
 def tag_samples(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
@@ -54,8 +69,9 @@ def numeric_long(tagged: DataFrame, cols: list[str]) -> DataFrame:
     otherwise stretch the bins over everything; ``set_aside`` counts what is left out."""
     if not cols:
         return tagged.sparkSession.createDataFrame([], "column string, _side int, value double")
-    wide = tagged.select("_side", *[clean_value(tagged, c).cast("double").alias(c) for c in cols])
-    long = wide.unpivot(["_side"], [quote(c) for c in cols], "column", "value")
+    tags = [c for c in ("_side", BLOCK) if c in tagged.columns]
+    wide = tagged.select(*tags, *[clean_value(tagged, c).cast("double").alias(c) for c in cols])
+    long = wide.unpivot(tags, [quote(c) for c in cols], "column", "value")
     return long.filter(F.col("value").isNotNull() & (F.abs("value") < float("inf")))
 
 
@@ -142,8 +158,40 @@ def value_table(nlong: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("_side") == 1, 1).otherwise(0)).cast("long").alias("c"))
 
 
-def cumulative_measures(nlong: DataFrame) -> DataFrame:
-    """Per column: ks, wasserstein, wasserstein_norm, anderson (A2akN, midranks), cramer_von_mises."""
+def cvm_moments(totals: DataFrame) -> DataFrame:
+    """(column, tot_ref, tot_cur, _mean, _square) from ``totals`` (value table with cum_r, cum_c, tot_ref, tot_cur): each value's part of the Cramer-von Mises
+    statistic's mean and second moment when the rows are dealt to the samples at random, ties as they are.
+
+    The statistic is a sum over values of l X^2 / (n m): X is the count of the first sample among the L smallest of
+    all rows less its mean. X is hypergeometric, and given X at a later value the earlier ones are so again; so the
+    expected products are central moments of the later value times running totals of l L and l L^2.
+    """
+    n, m = F.col("tot_ref"), F.col("tot_cur")
+    size = n + m
+    own = (F.col("r") + F.col("c")).cast("double")
+    upto = (F.col("cum_r") + F.col("cum_c")).cast("double")
+    weighed = totals.withColumns({"_own": own, "_upto": upto, "_once": own * upto, "_twice": own * upto * upto})
+    x = running_totals(weighed, ["column"], "value", ["_once", "_twice"])
+    before, before2 = F.col("cum__once") - F.col("_once"), F.col("cum__twice") - F.col("_twice")
+    own, upto = F.col("_own"), F.col("_upto")
+    spread = upto * (size - upto) * n * m
+    second = safe_div(spread, size * size * (size - 1))
+    third = second * safe_div((size - 2 * n) * (size - 2 * upto), size * (size - 2))
+    excess = safe_div(((size - 1) * size * size * (size * (size + 1) - 6 * n * m - 6 * upto * (size - upto))
+                       + 6 * spread * (5 * size - 6)) * spread,
+                      (size - 2) * (size - 3) * size ** 4 * (size - 1) ** 2)
+    fourth = 3 * second * second + excess
+    mean = n * upto / size
+    mixed = mean * (upto - mean) * second + (upto - 2 * mean) * third - fourth  # of X^2 times R (L - R)
+    earlier = F.when(upto > own, fourth * safe_div(before2, upto * upto)
+                     + mixed * safe_div(upto * before - before2, upto * upto * (upto - 1))).otherwise(0.0)
+    return x.select("column", "tot_ref", "tot_cur", (own * second).alias("_mean"),
+                    (own * (own * fourth + 2 * earlier)).alias("_square"))
+
+
+def cumulative_measures(nlong: DataFrame, cvm_test: bool = False) -> DataFrame:
+    """Per column: ks, wasserstein, wasserstein_norm, anderson (A2akN, midranks), cramer_von_mises; with ``cvm_test``
+    also cvm_scaled, the last one with the mean and variance of its limiting distribution (null without variance)."""
     vt = value_table(nlong)
     rt = running_totals(vt, ["column"], "value", ["r", "c"], with_next=True)
     mom = nlong.groupBy("column").agg(
@@ -168,12 +216,20 @@ def cumulative_measures(nlong: DataFrame) -> DataFrame:
         F.max(dist).alias("ks"), F.sum(dist * step).alias("wasserstein"),
         F.sum(l_j * (fr - fc) ** 2).alias("_cvm"), F.sum(ad).alias("_ad"))
     n2 = F.col("tot_ref") + F.col("tot_cur")
-    return agg.select(
+    found = agg.select(
         "column", F.col("tot_ref").cast("long").alias("n_ref"), F.col("tot_cur").cast("long").alias("n_cur"), "ks",
         "wasserstein",
         (F.col("wasserstein") / F.greatest(F.col("std_ref"), F.lit(WASSERSTEIN_STD_FLOOR))).alias("wasserstein_norm"),
         ((n2 - 1) / (n2 * n2) * F.col("_ad")).alias("anderson"),
         (F.col("tot_ref") * F.col("tot_cur") / (n2 * n2) * F.col("_cvm")).alias("cramer_von_mises"))
+    if not cvm_test:
+        return found
+    expected = cvm_moments(j.drop("_next", "std_ref")).groupBy("column").agg(
+        F.sum("_mean").alias("_mean"), F.sum("_square").alias("_square"), F.first(nr * nc).alias("_nm"))
+    variance = F.col("_square") - F.col("_mean") ** 2
+    scaled = 1 / 6 + safe_div(F.col("cramer_von_mises") - safe_div(F.col("_mean"), F.col("_nm")),
+                              safe_div(F.sqrt(45 * F.when(variance > 0, variance)), F.col("_nm")))
+    return found.join(F.broadcast(expected), "column").withColumn("cvm_scaled", scaled).select(*found.columns, "cvm_scaled")
 
 
 def moment_measures(nlong: DataFrame) -> DataFrame:
@@ -221,21 +277,69 @@ def mmd_measure(nlong: DataFrame, features: int = MMD_FEATURES, seed: int = MMD_
     Width = median absolute deviation of the combined sample (``mmd_bandwidth``). Linear time: one sum per
     feature and (column, sample) in a single partial aggregate instead of all pairs.
     """
+    blocks = mmd_blocks(nlong, features, seed, sigma)
+    return _mmd_of(blocks.groupBy("column", "_side").agg(*[F.sum(c).alias(c) for c in _mmd_sums(features)]),
+                   features, ["column"]).withColumnRenamed("_mmd", "mmd")
+
+
+def _mmd_sums(features: int) -> list[str]:
+    return ["_n", *(f"_s{d}" for d in range(features))]
+
+
+def mmd_blocks(nlong: DataFrame, features: int = MMD_FEATURES, seed: int = MMD_SEED, sigma: dict | None = None) -> DataFrame:
+    """(column, _side, _block, _n, _s0, ...): counts and feature sums of each block of rows, the one aggregate over
+    the data from which both the statistic and its bootstrap come. Rows without a block are dealt by a hash of the
+    value."""
     sigma = sigma if sigma is not None else mmd_bandwidth(nlong)
     w, b = mmd_weights(features, seed)
     sig = F.coalesce(*[F.when(F.col("column") == F.lit(c), F.lit(float(v))) for c, v in sigma.items()],
                      F.lit(1.0))
-    x = nlong.select("column", "_side", (F.col("value") / sig).alias("_x"))
-    scale = math.sqrt(2.0 / features)
-    sums = x.groupBy("column", "_side").agg(
+    block = F.col(BLOCK) if BLOCK in nlong.columns else F.pmod(F.xxhash64("value"), F.lit(MMD_BLOCKS)).cast("int")
+    x = nlong.select("column", "_side", block.alias(BLOCK), (F.col("value") / sig).alias("_x"))
+    return x.groupBy("column", "_side", BLOCK).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(F.cos(F.lit(w[d]) * F.col("_x") + F.lit(b[d]))).alias(f"_s{d}") for d in range(features)])
-    g = sums.groupBy("column").agg(
-        *[(F.sum(F.when(F.col("_side") == 0, F.col(f"_s{d}") / F.col("_n")))
-           - F.sum(F.when(F.col("_side") == 1, F.col(f"_s{d}") / F.col("_n")))).alias(f"_d{d}")
-          for d in range(features)])
-    total = sum(((F.col(f"_d{d}") * scale) ** 2 for d in range(features)), F.lit(0.0))
-    return g.select("column", total.alias("mmd"))
+
+
+def _mmd_of(sums: DataFrame, features: int, keys: list[str], centre: bool = False) -> DataFrame:
+    """(keys, _mmd): squared distance of the two sides' mean features; with ``centre``, of their differences from the
+    means ``_c0``, ... of the same side."""
+    def mean(d):
+        own = safe_div(F.col(f"_s{d}"), F.col("_n").cast("double"))
+        return own - F.col(f"_c{d}") if centre else own
+    side = lambda d, s: F.sum(F.when(F.col("_side") == s, mean(d)))
+    g = sums.groupBy(*keys).agg(*[(side(d, 0) - side(d, 1)).alias(f"_d{d}") for d in range(features)])
+    scale = math.sqrt(2.0 / features)
+    return g.select(*keys, sum(((F.col(f"_d{d}") * scale) ** 2 for d in range(features)), F.lit(0.0)).alias("_mmd"))
+
+
+def mmd_test(nlong: DataFrame, features: int = MMD_FEATURES, seed: int = MMD_SEED, replicates: int = MMD_REPLICATES,
+             sigma: dict | None = None) -> DataFrame:
+    """Per column: mmd, p_value, n_ref, n_cur.
+
+    The p-value is that of a Poisson bootstrap over the blocks of ``mmd_blocks``: in each replicate every block of a
+    sample counts as often as a Poisson number says (from the md5 of replicate, side and block, so reruns agree), and
+    the distance of the resampled means, each less its sample's own, is one value under no drift. Resampling blocks
+    in place of rows costs no further pass: the replicates see blocks x columns rows, whatever the data's size.
+    """
+    blocks = mmd_blocks(nlong, features, seed, sigma).checkpoint(eager=True)  # at most 2 x MMD_BLOCKS rows a column
+    names = _mmd_sums(features)
+    total = blocks.groupBy("column", "_side").agg(*[F.sum(c).alias(c) for c in names])
+    observed = _mmd_of(total, features, ["column"]).withColumnRenamed("_mmd", "mmd")
+    centres = total.select("column", "_side", *[safe_div(F.col(f"_s{d}"), F.col("_n").cast("double")).alias(f"_c{d}")
+                                                for d in range(features)])
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("|", "_rep", "_side", BLOCK)), 1, 8), 16, 10).cast("double") / 2.0 ** 32
+    weight = sum((F.when(F.col("_u") >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0))
+    resampled = (blocks.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+                 .withColumn("_u", drawn).withColumn("_w", weight).groupBy("column", "_side", "_rep")
+                 .agg(*[F.sum(F.col("_w") * F.col(c)).alias(c) for c in names]))
+    null = _mmd_of(resampled.join(F.broadcast(centres), ["column", "_side"]), features, ["column", "_rep"], centre=True)
+    above = (null.join(F.broadcast(observed), "column").groupBy("column")
+             .agg(F.count_if(F.col("_mmd") >= F.col("mmd")).alias("_above"), F.count("_mmd").alias("_reps")))
+    sizes = total.groupBy("column").agg(*[F.coalesce(F.sum(F.when(F.col("_side") == s, F.col("_n"))), F.lit(0)).alias(n)
+                                          for s, n in ((0, "n_ref"), (1, "n_cur"))])
+    p = F.when(F.col("mmd").isNotNull(), (F.col("_above") + 1) / (F.col("_reps") + 1))
+    return observed.join(above, "column").join(sizes, "column").select("column", "mmd", p.alias("p_value"), "n_ref", "n_cur")
 
 
 # ---------------------------------------------------------------- per-method report tables
@@ -263,19 +367,18 @@ def method_table_tagged(tagged: DataFrame, cols: list[str], method: str, kind: s
         if method == "fisher_exact":
             res = S.fisher_table(bins)
     elif method in ("ks", "wasserstein", "wasserstein_norm", "anderson", "cramer_von_mises"):
-        cm = cumulative_measures(numeric_long(tagged, cols))
+        cm = cumulative_measures(numeric_long(tagged, cols), cvm_test=method == "cramer_von_mises")
+        scaled = [F.col("cvm_scaled").alias("scaled")] if method == "cramer_von_mises" else []
         res = cm.select("column", F.lit(method).alias("method"), F.col(method).alias("statistic"),
-                        "n_ref", "n_cur", F.lit(None).cast("long").alias("dof"))
+                        "n_ref", "n_cur", F.lit(None).cast("long").alias("dof"), *scaled)
     elif method in ("z", "t_test"):
         mm = moment_measures(numeric_long(tagged, cols))
         res = mm.select("column", F.lit(method).alias("method"), F.col(method).alias("statistic"), "n_ref", "n_cur",
                         (F.col("t_dof") if method == "t_test" else F.lit(None).cast("long")).alias("dof"))
     elif method == "mmd":
-        nl = numeric_long(tagged, cols)
-        mm = mmd_measure(nl)
-        cnt = nl.groupBy("column").agg(*_side_counts(nl))
-        res = mm.join(cnt, "column").select("column", F.lit(method).alias("method"), F.col("mmd").alias("statistic"),
-                                            "n_ref", "n_cur", F.lit(None).cast("long").alias("dof"))
+        res = mmd_test(numeric_long(tagged, cols)).select(
+            "column", F.lit(method).alias("method"), F.col("mmd").alias("statistic"), "p_value", "n_ref", "n_cur",
+            F.lit(None).cast("long").alias("dof"))
     else:
         raise ValueError(f"unknown drift method {method!r}")
     return _with_p(res, method)

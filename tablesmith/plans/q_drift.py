@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tablesmith.functions import stats as S
 from tablesmith.functions.columns import round_doubles
 from tablesmith.operators import drift as D
 from tablesmith.plans import sqlparts as Q
@@ -76,9 +77,85 @@ def _chi2_p_sql(method):
 register("drift_chisquare", _chi2_p_sql("chisquare"))(_method_plan_p("chisquare"))
 register("drift_g", _chi2_p_sql("g_test"))(_method_plan_p("g_test"))
 
-for _name, _method in [("drift_wasserstein", "wasserstein_norm"), ("drift_anderson", "anderson"),
-                       ("drift_cvm", "cramer_von_mises")]:
-    register(_name, _cum_sql(_method))(_method_plan(_method, NUM, "num"))
+register("drift_wasserstein", _cum_sql("wasserstein_norm"))(_method_plan("wasserstein_norm", NUM, "num"))
+
+
+def _tested(res):
+    return round_doubles(res.select("column", "method", "statistic", "p_value",
+                                    (F.col("p_value") < D.P_THRESHOLD).alias("drifted"), "n_ref", "n_cur"))
+
+
+def _verdict_sql(method, statistic, p, source):
+    return (f"SELECT \"column\", '{method}' AS method, round({statistic}, 6) AS statistic, round({p}, 6) AS p_value, "
+            f"{p} < 0.05 AS drifted, n_ref, n_cur FROM {source}")
+
+
+def _anderson_sql():
+    """The variance with its sums over all rows' numbers, and the parabola through the published points."""
+    a, b, c = S.anderson_curve()
+    low, high = S.ANDERSON_LEVELS[-1], S.ANDERSON_LEVELS[0]
+    return Q.with_(*BASE, Q.nlong_cte(NUM), Q.cumulative_cte(), """sizes AS (
+  SELECT "column", CAST(n_ref + n_cur AS BIGINT) AS n, 1.0 / n_ref + 1.0 / n_cur AS hh FROM cum),
+one AS (SELECT "column", n, hh, list_sum(list_transform(range(1, n), lambda i: 1.0::DOUBLE / i)) AS h FROM sizes),
+harmonics AS (
+  SELECT o."column", n, hh, h, sum((h - partial) / (n - i)) AS g
+  FROM one o, LATERAL (SELECT i, sum(1.0::DOUBLE / i) OVER (ORDER BY i) AS partial FROM range(1, o.n) t(i)) p
+  WHERE i <= n - 2 GROUP BY o."column", n, hh, h),
+coefficients AS (
+  SELECT *, (4 * g - 6) + (10 - 6 * g) * hh AS a3, (8 * g - 16) + 16 * h + (2 * g - 14 * h - 4) * hh - 8 * h + 4 * g - 6 AS a2,
+         (24 * h + 8 * g - 8) + (8 * h - 8 * g + 12) + (2 * h - 6) * hh + 4 * h AS a1, (8 * h + 24) - 8 * h AS a0
+  FROM harmonics),
+standard AS (
+  SELECT cum.*, (anderson - 1) / sqrt((a3 * n ^ 3 + a2 * n ^ 2 + a1 * n + a0) / ((n - 1.0) * (n - 2.0) * (n - 3.0))) AS x
+  FROM cum JOIN coefficients USING ("column")),""" + f"""
+tested AS (
+  SELECT *, CASE WHEN x >= {S.ANDERSON_POINTS[-1]!r} THEN {low} WHEN x <= {S.ANDERSON_POINTS[0]!r} THEN {high}
+            ELSE least(greatest(exp({a!r} + {b!r} * x + {c!r} * x * x), {low}), {high}) END AS p FROM standard)""") + \
+        _verdict_sql("anderson", "anderson", "p", "tested")
+
+
+@register("drift_anderson", _anderson_sql())
+def drift_anderson(spark, sf_dir):
+    return _tested(D.method_table_tagged(_tagged(spark, sf_dir, NUM), NUM, "anderson"))
+
+
+def _cvm_sql():
+    """Exact mean and variance by summing over all values, the limiting tail by the same series and quadrature."""
+    return Q.with_(*BASE, Q.nlong_cte(NUM), Q.cumulative_cte(), f"""w AS (
+  SELECT "column", value, CAST(l AS DOUBLE) AS l, CAST(cum_r + cum_c AS DOUBLE) AS u, n, tot_ref AS k, tot_cur AS m FROM cum_t),
+before AS (
+  SELECT *, coalesce(sum(l * u) OVER o, 0) AS p1, coalesce(sum(l * u * u) OVER o, 0) AS p2 FROM w
+  WINDOW o AS (PARTITION BY "column" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+central AS (
+  SELECT *, u * (n - u) * k * m AS s, u * (n - u) * k * m / (n * n * (n - 1)) AS m2 FROM before),
+fourth AS (
+  SELECT *, m2 * (n - 2 * k) * (n - 2 * u) / (n * (n - 2)) AS m3, k * u / n AS e,
+         3 * m2 * m2 + ((n - 1) * n * n * (n * (n + 1) - 6 * k * m - 6 * u * (n - u)) + 6 * s * (5 * n - 6)) * s
+           / ((n - 2) * (n - 3) * n ^ 4 * (n - 1) ^ 2) AS m4 FROM central),
+moments AS (
+  SELECT "column", sum(l * m2) AS mean, any_value(k * m) AS km,
+         sum(l * (l * m4 + CASE WHEN u > l THEN 2 * (m4 * p2 / (u * u)
+               + (e * (u - e) * m2 + (u - 2 * e) * m3 - m4) * (u * p1 - p2) / (u * u * (u - 1))) ELSE 0 END)) AS square
+  FROM fourth GROUP BY "column"),
+scaled AS (
+  SELECT cum.*, 1.0 / 6 + (cramer_von_mises - mean / km) / (sqrt(45 * (square - mean * mean)) / km) AS x
+  FROM cum JOIN moments USING ("column")),
+terms AS (
+  SELECT "column", x, j, (4 * j + 1) ^ 2 / (16 * x) AS q, acosh(1 + 50 / ((4 * j + 1) ^ 2 / (16 * x))) / {S.CVM_POINTS} AS step
+  FROM scaled, range({S.CVM_TERMS}) t(j) WHERE x > 0 AND x <= {S.CVM_LARGEST}),
+series AS (
+  SELECT "column", sum(exp(lgamma(j + 0.5) - lgamma(j + 1) - 2 * q) * sqrt(4 * j + 1) * step * list_sum(list_transform(
+           range({S.CVM_POINTS} + 1), lambda i: (CASE WHEN i IN (0, {S.CVM_POINTS}) THEN 0.5 ELSE 1 END)
+             * exp(-q * (cosh(i * step) - 1)) * cosh(i * step / 4)))) / (pi() ^ 1.5 * sqrt(any_value(x))) AS f
+  FROM terms GROUP BY "column"),
+tested AS (
+  SELECT scaled.*, CASE WHEN x <= 0 THEN 1.0 WHEN x > {S.CVM_LARGEST} THEN 0.0 ELSE least(greatest(1 - f, 0.0), 1.0) END AS p
+  FROM scaled LEFT JOIN series USING ("column"))""") + _verdict_sql("cramer_von_mises", "cramer_von_mises", "p", "tested")
+
+
+@register("drift_cvm", _cvm_sql())
+def drift_cvm(spark, sf_dir):
+    return _tested(D.method_table_tagged(_tagged(spark, sf_dir, NUM), NUM, "cramer_von_mises"))
 
 # KS with its p-value: the asymptotic Kolmogorov series is expressible in SQL (list lambdas)
 KS_P_SQL = """CASE WHEN lam <= 0 THEN 1.0
@@ -129,26 +206,47 @@ def drift_t(spark, sf_dir):
 
 
 def _mmd_sql():
+    """Feature sums per block of rows (by the md5 of the key), the statistic and its replicates from these."""
     w, b = D.mmd_weights()
-    scale = (2.0 / D.MMD_FEATURES) ** 0.5
-    feats = ",\n         ".join(
-        f"avg(CASE WHEN _side = 0 THEN cos({w[d]!r} * value / _sigma + {b[d]!r}) * {scale!r} END)"
-        f" - avg(CASE WHEN _side = 1 THEN cos({w[d]!r} * value / _sigma + {b[d]!r}) * {scale!r} END) AS d{d}"
-        for d in range(D.MMD_FEATURES))
-    total = " + ".join(f"d{d} * d{d}" for d in range(D.MMD_FEATURES))
-    return Q.with_(*BASE, Q.nlong_cte(NUM), f"""med AS (SELECT "column", quantile_cont(value, 0.5) AS _med
-  FROM nlong GROUP BY "column"),
+    dims = range(D.MMD_FEATURES)
+    scale2 = 2.0 / D.MMD_FEATURES
+    features = ", ".join(f"sum(cos({w[d]!r} * value / _sigma + {b[d]!r})) AS s{d}" for d in dims)
+    plain = " + ".join(f"(r.s{d} / r.n - c.s{d} / c.n) ^ 2" for d in dims)
+    centred = " + ".join(f"((r.s{d} / r.n - tr.s{d} / tr.n) - (c.s{d} / c.n - tc.s{d} / tc.n)) ^ 2" for d in dims)
+    sums = ", ".join(f"sum(s{d}) AS s{d}" for d in dims)
+    weighed = ", ".join(f"sum(wt * s{d}) AS s{d}" for d in dims)
+    weight = " + ".join(f"CAST(u >= {step!r} AS INTEGER)" for step in D.POISSON_STEPS)
+    unpivot = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUM)
+    return Q.with_(*BASE, f"""nlong AS (
+  SELECT "column", _side, _block, value FROM (UNPIVOT (
+    SELECT _side, CAST('0x' || substr(md5(CAST({TB.KEY} AS VARCHAR)), 1, 2) AS INTEGER) AS _block, {unpivot} FROM tagged)
+    ON {", ".join(NUM)} INTO NAME "column" VALUE value) WHERE value IS NOT NULL AND isfinite(value)),
+med AS (SELECT "column", quantile_cont(value, 0.5) AS _med FROM nlong GROUP BY "column"),
 mad AS (SELECT l."column", quantile_cont(abs(value - _med), 0.5) AS _mad
   FROM nlong l JOIN med m ON l."column" = m."column" GROUP BY l."column"),
-rff AS (SELECT l."column", {feats},
-         CAST(sum(CASE WHEN _side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_ref,
-         CAST(sum(CASE WHEN _side = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_cur
+blocks AS MATERIALIZED (SELECT "column", _side, _block, CAST(count(*) AS DOUBLE) AS n, {features}
   FROM (SELECT l.*, CASE WHEN _mad > 0 THEN _mad ELSE 1.0 END AS _sigma
-        FROM nlong l JOIN mad m ON l."column" = m."column") l GROUP BY l."column")""") + \
-        f"""SELECT "column", 'mmd' AS method, round({total}, 6) AS statistic, n_ref, n_cur FROM rff"""
-
-
-register("drift_mmd", _mmd_sql())(_method_plan("mmd", NUM, "num"))
+        FROM nlong l JOIN mad m ON l."column" = m."column") GROUP BY 1, 2, 3),
+total AS (SELECT "column", _side, sum(n) AS n, {sums} FROM blocks GROUP BY 1, 2),
+observed AS (SELECT r."column", ({plain}) * {scale2!r} AS mmd, CAST(r.n AS BIGINT) AS n_ref, CAST(c.n AS BIGINT) AS n_cur
+  FROM total r JOIN total c ON r."column" = c."column" AND r._side = 0 AND c._side = 1),
+drawn AS (SELECT rep, _side, _block, CAST('0x' || substr(md5(rep || '|' || _side || '|' || _block), 1, 8) AS BIGINT)
+              / CAST(4294967296 AS DOUBLE) AS u
+  FROM range(1, {D.MMD_REPLICATES + 1}) r(rep), range(2) s(_side), range({D.MMD_BLOCKS}) k(_block)),
+resampled AS MATERIALIZED (SELECT "column", b._side, rep, sum(wt * n) AS n, {weighed}
+  FROM blocks b JOIN (SELECT *, {weight} AS wt FROM drawn) d ON b._side = d._side AND b._block = d._block GROUP BY 1, 2, 3),
+null_values AS (SELECT r."column", r.rep, ({centred}) * {scale2!r} AS mmd
+  FROM resampled r JOIN resampled c ON r."column" = c."column" AND r.rep = c.rep AND r._side = 0 AND c._side = 1
+  JOIN total tr ON tr."column" = r."column" AND tr._side = 0 JOIN total tc ON tc."column" = r."column" AND tc._side = 1),
+tested AS (SELECT o."column", any_value(o.mmd) AS mmd, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur,
+       (1.0 + count(*) FILTER (WHERE v.mmd >= o.mmd)) / (count(v.mmd) + 1) AS p
+  FROM observed o JOIN null_values v ON o."column" = v."column" GROUP BY 1)""") + _verdict_sql("mmd", "mmd", "p", "tested")
+
+
+@register("drift_mmd", _mmd_sql())
+def drift_mmd(spark, sf_dir):
+    split = D.resampling_blocks(TB.planted_shift(TB.bookings_split(spark, sf_dir)), [TB.KEY])
+    return _tested(D.method_table_tagged(D.side_split(split, "split", "train", "test", [*NUM, D.BLOCK]), NUM, "mmd"))
 
 
 def _fisher_sql(col):
