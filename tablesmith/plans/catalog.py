@@ -34,5 +34,5 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all():
     # importing the plan modules fills REGISTRY
-    from tablesmith.plans import (q_clean, q_drift, q_eval, q_io, q_lines, q_models, q_prep,  # noqa: F401
-                                  q_profile, q_split)
+    from tablesmith.plans import (q_boosting, q_clean, q_drift, q_eval, q_io, q_lines, q_models,  # noqa: F401
+                                  q_prep, q_profile, q_split)
