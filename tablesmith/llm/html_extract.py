@@ -296,7 +296,7 @@ def main_text(page: str | None, model: Weights) -> str:
         w = model.placed.get((t.feature, t.article)) if marked else model.plain.get(t.feature)
         if w is None:
             w = model.placed["other", t.article] if marked else model.plain["other"]
-        w = 0.0 if t.dropped else w * t.words if t.text else w
+        w = 0.0 if t.dropped else w * t.words if t.text else max(w, 0.0) if t.article and marked else w
         if total <= 0:
             total, begin = 0.0, k
         total += w
@@ -316,15 +316,15 @@ def main_text(page: str | None, model: Weights) -> str:
 def fit_weights(pages: DataFrame, fit_pages: int = FIT_PAGES) -> Weights:
     """Weights from labelled pages: those whose markup names exactly one article (or main) element.
 
-    Fitted on about ``fit_pages`` of them, chosen by a hash of the page. Tasks count features; the driver gets
+    Fitted on about ``fit_pages`` of them, chosen by a hash of the page; on all if there are no more. Tasks count features; the driver gets
     at most two rows per element name of BLOCKS. Without labelled pages the fixed PRIOR counts decide alone.
     """
     lower = F.lower("html")
     once = (F.regexp_count(lower, F.lit(r"<article[\s>]")) + F.regexp_count(lower, F.lit(r"<main[\s>]"))) == 1
-    labelled = pages.select("html").filter(F.col("html").isNotNull())
-    n = labelled.count()
-    share = min(1.0, fit_pages / max(n, 1))
-    chosen = labelled.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < round(share * (1 << 20))).filter(once)
+    labelled = pages.select("html").filter(F.col("html").isNotNull() & once)
+    share = min(1.0, fit_pages / max(labelled.count(), 1))
+    place = F.pmod(F.xxhash64("html"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    chosen = labelled.filter(place < share)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()

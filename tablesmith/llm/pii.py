@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
@@ -29,11 +31,15 @@ IBAN_LENGTHS = {country: n for n, countries in {
     25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
     29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 
+# ---- fixed values: the country codes of two digits; 1 and 7 have one, all others three
+TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 "
+                            "65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
 #: What may be a value; each kind is validated after it. No digit, letter or joining mark stands beside a match, save
 #: a time behind a date. What follows a value may look like more of it: shorter cuts are tried too (``valid_at``).
 CANDIDATE = re.compile(r"""
     (?P<email>(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+(?![\w@-]))
-  | (?P<iban>(?<![\w-])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![\w-]))
+  | (?P<iban>(?<![\w-])[A-Za-z]{2}[0-9]{2}(?:\ ?[A-Za-z0-9]{4}){2,7}(?:\ ?[A-Za-z0-9]{1,3})?(?![\w-]))
   | (?P<ip>(?<!\w)(?<!\d[.-])\d{1,3}(?:\.\d{1,3}){3}(?![\w-]|\.\d))
   | (?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})
                 (?:(?=[Tt]\d\d(?!\d{3}|[^\W\d_]{2}))|(?![\w/-]|\.\d)))
@@ -62,30 +68,59 @@ def feistel(value: int, domain: int, key: bytes, tweak: str) -> int:
             return value
 
 
+@functools.lru_cache(maxsize=4096)
+def alphabet(c: str) -> str:
+    """The characters that may stand in the place of ``c`` (lower case): the digits of its script, a to z, or the
+    letters of the same kind on its page of 256 code points. Only itself, if it is a mark or has no such page."""
+    zero = ord(c) - unicodedata.decimal(c, 0)
+    if unicodedata.decimal(c, None) is not None:
+        return "".join(map(chr, range(zero, zero + 10)))
+    if "a" <= c <= "z":
+        return "abcdefghijklmnopqrstuvwxyz"
+    kind = unicodedata.category(c)
+    if kind not in ("Ll", "Lo"):
+        return c
+    page = (chr(x) for x in range(ord(c) & ~0xFF, (ord(c) | 0xFF) + 1))
+    return "".join(x for x in page if x > "\x7f" and unicodedata.category(x) == kind and x.lower() == x and x.isalnum())
+
+
+def lower(c: str) -> str:
+    """The lower case of a character, itself if that has several characters or no way back."""
+    return c.lower() if len(c.lower()) == 1 and c.lower().upper() == c else c
+
+
 def permuted(text: str, key: bytes, kind: str) -> str:
-    """``text`` with its ASCII digits and letters permuted together; each place keeps its class, case and marks.
+    """``text`` with its digits and letters, of whatever script, permuted together; places keep class, case and marks.
 
-    Case doesn't count in the value, so that a text in capitals gets the same pseudonym in capitals.
+    Case doesn't count in the value, so that a text in capitals gets the same pseudonym in capitals, and neither does
+    the script of a digit. A text without digits and letters comes back as it is.
     """
-    sizes = [10 if c in "0123456789" else 26 if "a" <= c.lower() <= "z" else 1 for c in text]
+    signs = [alphabet(lower(c)) for c in text]
     value, domain = 0, 1
-    for c, n in zip(text, sizes):
-        value = value * n + (0 if n == 1 else int(c) if n == 10 else ord(c.lower()) - 97)
-        domain *= n
+    for c, some in zip(text, signs):
+        value = value * len(some) + some.index(lower(c))
+        domain *= len(some)
     if domain == 1:
         return text
-    value = feistel(value, domain, key, f"{kind}|{'.'.join(map(str, sizes))}")
+    shape = ".".join(str(len(some)) if len(some) in (1, 10, 26) else f"{len(some)}{some[0]}" for some in signs)
+    value = feistel(value, domain, key, f"{kind}|{shape}")
     out = []
-    for c, n in zip(reversed(text), reversed(sizes)):
-        value, digit = divmod(value, n)
-        out.append(c if n == 1 else str(digit) if n == 10 else chr(digit + (97 if c.islower() else 65)))
+    for c, some in zip(reversed(text), reversed(signs)):
+        value, place = divmod(value, len(some))
+        new = some[place]
+        out.append(new.upper() if lower(c) != c and len(new.upper()) == 1 and new.upper().lower() == new else new)
     return "".join(reversed(out))
 
 
+def ascii_digits(value: str) -> str:
+    """The digits of a value, of whatever script, as 0 to 9."""
+    return "".join(str(unicodedata.decimal(c)) for c in value if unicodedata.decimal(c, None) is not None)
+
+
 def put_digits(form: str, digits: str) -> str:
-    """``form`` with its digits replaced in turn by ``digits``."""
+    """``form`` with its digits replaced in turn by ``digits``, each in the script of its place."""
     new = iter(digits)
-    return "".join(next(new) if c.isdigit() else c for c in form)
+    return "".join(alphabet(c)[int(next(new))] if unicodedata.decimal(c, None) is not None else c for c in form)
 
 
 def luhn(digits: str) -> int:
@@ -105,7 +140,7 @@ def issuer(digits: str) -> int:
 
 def card(value: str, key: bytes) -> str | None:
     """Valid by prefix, length and Luhn digit. The prefix stays, the digits between are permuted, the last follows."""
-    digits = re.sub(r"\D", "", value)
+    digits = ascii_digits(value)
     prefix = issuer(digits)
     if not prefix or luhn(digits) or len(set(digits)) == 1:
         return None
@@ -151,7 +186,7 @@ def ssn(value: str, key: bytes) -> str | None:
         area, group, serial = n // 1_000_000, n // 10_000 % 100, n % 10_000
         return 0 < area < 900 and area != 666 and group > 0 and serial > 0
 
-    n = int(value.replace("-", ""))
+    n = int(ascii_digits(value))
     if not valid(n):
         return None
     n = feistel(n, 10 ** 9, key, "ssn")
@@ -172,19 +207,30 @@ def iban(value: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(new) for c in value)
 
 
+def country_code(digits: str) -> str:
+    """The country code that an international number begins with."""
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
 def phone(value: str, key: bytes) -> str | None:
-    """8 to 15 digits with a country code, or 10 without; the country code and the marks stay."""
-    code = re.match(r"\+\d{1,3}(?=\D)", value)
-    head = code.end() if code else 1 if value[0] == "+" else 0
-    digits = re.sub(r"\D", "", value)
+    """8 to 15 digits with a country code, or 10 without (country code 1); the code and the marks stay.
+
+    The national digits are permuted by themselves, under the code: marks, brackets and the script of the digits don't
+    count, so that all spellings of a number get the same pseudonym.
+    """
+    digits = ascii_digits(value)
     if not 8 <= len(digits) <= 15:
         return None
-    return value[:head] + put_digits(value[head:], permuted(re.sub(r"\D", "", value[head:]), key, "phone"))
+    code = country_code(digits) if value[0] == "+" else ""
+    national = digits[len(code):]
+    return put_digits(value, code + permuted(national, key, f"phone{code or 1}"))
 
 
-def email(value: str, key: bytes) -> str:
-    """The local part is permuted, the domain stays."""
+def email(value: str, key: bytes) -> str | None:
+    """The local part is permuted, the domain stays; None if there is no letter or digit to permute."""
     local, _, domain = value.partition("@")
+    if all(len(alphabet(lower(c))) == 1 for c in local):
+        return None
     return f"{permuted(local, key, 'email')}@{domain}"
 
 
@@ -211,7 +257,7 @@ def card_at(text: str, start: int, key: bytes) -> tuple[int, str] | None:
 
 def iban_ends(value: str) -> list[int]:
     """Ends of what may be an IBAN: before a blank where it has its country's length, and the whole."""
-    length = IBAN_LENGTHS.get(value[:2])
+    length = IBAN_LENGTHS.get(value[:2].upper())
     return [*(k for k, c in enumerate(value) if c == " " and k - value.count(" ", 0, k) == length), len(value)]
 
 

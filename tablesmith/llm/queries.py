@@ -17,7 +17,7 @@ SHARDS, VIRTUAL_NODES = 40, 64
 MIX_WEIGHTS, MIX_MOST, MIX_SEED = (5.0, 2.0, 1.0), 3.0, 7
 SHINGLE_WORDS, SIMHASH_BITS = 3, 2
 TOXIC_FROM = 0.7
-#: The key of the pseudonyms; a deployment takes its own from where it keeps secrets.
+#: The key of the pseudonyms unless the session's ``spark.tablesmith.pseudonym.key`` names another.
 PSEUDONYM_KEY = "tablesmith example key"
 
 
@@ -136,7 +136,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.with_pseudonyms(docs, PSEUDONYM_KEY).select(
+    return pii.with_pseudonyms(docs, spark.conf.get("spark.tablesmith.pseudonym.key", PSEUDONYM_KEY)).select(
         "doc_id", "text", F.size("found").cast("int").alias("n_found"),
         F.array_join(F.array_sort(F.array_distinct("found.kind")), ",").alias("kinds"))
 

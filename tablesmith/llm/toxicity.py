@@ -19,6 +19,8 @@ from tablesmith.llm.common import parts, small
 HASH_BITS = 20
 #: Labelled documents that the weights are fitted on, about: all if there are no more, else a part by hash.
 FIT_DOCS = 16_000
+#: Part of them that each label gets at least, if it has so many rows.
+LEAST_PART = 0.1
 #: FTRL: rates alpha / (beta + sqrt(sum of squared gradients)), L2 strength, passes over the rows.
 ALPHA, BETA, L2, PASSES = 4.0, 1.0, 0.0, 4
 #: L1 strength for each square root of a row with label 1: about what a feature's gradients sum to by chance.
@@ -56,6 +58,10 @@ class Features:
             yield np.concatenate([self.mixed(new * np.uint64(0xC2B2AE3D27D4EB4F)), *pairs])
             before = w[-2:]
 
+    def distinct(self, text: str | None) -> np.ndarray:
+        """The feature numbers of a whole text, each once."""
+        return np.unique(np.concatenate(list(self.of(text))))
+
     def spot(self, a: np.ndarray, b: np.ndarray, kind: int) -> np.ndarray:
         return self.mixed(a * np.uint64(0x9FB21C651E98DF25) + b * np.uint64(0xD6E8FEB86659FD93) + np.uint64(kind))
 
@@ -73,7 +79,12 @@ def fit_ftrl(rows: Iterable[tuple[str | None, int]], bits: int, alpha: float, be
     feature of too few documents can never pass ``l1``: such are left out from the start, with the same result.
     """
     features = Features(bits)
-    data = [(np.unique(np.concatenate(list(features.of(text)))), label) for text, label in rows]
+    return fit_features([(features.distinct(text), label) for text, label in rows], bits, alpha, beta, l1, l2, passes)
+
+
+def fit_features(data: list[tuple[np.ndarray, int]], bits: int, alpha: float, beta: float, l1: float, l2: float,
+                 passes: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """``fit_ftrl`` of rows whose texts are hashed already: their distinct feature numbers."""
     often = np.zeros(1 << bits, dtype=np.int32)
     for f, _ in data:
         often[f] += 1
@@ -107,28 +118,37 @@ def fit_weights(docs: DataFrame, labels: DataFrame, bits: int = HASH_BITS, fit_d
                 passes: int = PASSES) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights fitted on ``docs(doc_id, text)`` with ``labels(doc_id, label)``, about ``fit_docs`` different rows.
 
-    Labels are chosen by a hash of doc_id before any text moves, and if ids have several texts, those by a hash
-    of the text. Online learning is sequential: one task goes through that bounded sample in the order of a hash
-    and returns the weights that L1 left, so that they are the same in each run. Null labels and null ids are left
-    out, repeated rows count once. Without rows of both labels there is nothing to learn: no weights, and the
-    log-odds of label 1 (0 if there are no rows) as bias.
+    Labels are chosen by a hash of doc_id before any text moves, each label with its own share: that of ``fit_docs`` in
+    all rows, or what gives it LEAST_PART of ``fit_docs`` if that is more (a rare label would be lost otherwise; the
+    bias is corrected for the ratio). If ids have several texts, those are chosen by a hash of the text. Tasks hash the
+    chosen texts in parallel; online learning is sequential: one task goes through the rows' feature numbers in the
+    order of a hash and returns the weights that L1 left, so that they are the same in each run. Null labels and null
+    ids are left out, repeated rows count once. Without rows of both labels there is nothing to learn: no weights, and
+    the log-odds of label 1 (0 if there are no rows) as bias.
     """
     known = (labels.select("doc_id", F.col("label").cast("int").alias("label"))
              .filter("doc_id is not null and label is not null").distinct())
-    part = lambda share, *of: F.pmod(F.xxhash64(F.lit("fit"), *of), F.lit(1 << 20)) < round(share * (1 << 20))
-    known = small(known.filter(part(min(1.0, fit_docs / max(known.count(), 1)), "doc_id")))
+    place = lambda *of: F.pmod(F.xxhash64(F.lit("fit"), *of), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    share = shares({r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}, fit_docs)
+    own = F.lit(0.0)
+    for label, part in share.items():
+        own = F.when(F.col("label") == label, F.lit(part)).otherwise(own)
+    known = small(known.filter(place("doc_id") < own))
     texts = docs.select("doc_id", "text").join(known, "doc_id")
     n = texts.select("doc_id", "label", F.xxhash64("text")).distinct().count()
     order = F.xxhash64(F.lit("order"), "text", "label")
-    chosen = (texts.filter(part(min(1.0, 2 * fit_docs / max(n, 1)), "text"))
+    hashed = (texts.filter(place("text") < min(1.0, 2 * fit_docs / max(n, 1)))
               .select("text", "label", order.alias("order")).distinct()
-              .repartition(1).sortWithinPartitions("order", "text"))
+              .mapInArrow(_hashing(bits), "order bigint, label int, features array<int>"))
+    chosen = hashed.repartition(1).sortWithinPartitions("order", "label", "features")
+    correction = math.log(share.get(1, 1.0) / share.get(0, 1.0))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = [(t, y) for b in batches for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist())]
+        data = [(np.asarray(f.values, dtype=np.int64), y) for b in batches
+                for f, y in zip(b.column("features"), b.column("label").to_pylist())]
         ones = sum(y for _, y in data)
         if 0 < ones < len(data):
-            which, w, bias = fit_ftrl(data, bits, ALPHA, BETA, L1_SCALE * ones ** 0.5, L2, passes)
+            which, w, bias = fit_features(data, bits, ALPHA, BETA, L1_SCALE * ones ** 0.5, L2, passes)
         else:
             which, w = np.zeros(0, dtype=np.int64), np.zeros(0)
             bias = float(np.log((ones + 0.5) / (len(data) - ones + 0.5)))
@@ -137,7 +157,26 @@ def fit_weights(docs: DataFrame, labels: DataFrame, bits: int = HASH_BITS, fit_d
 
     found = chosen.mapInArrow(fit, "which array<bigint>, w array<double>, bias double").collect()
     r = found[0] if found else {"which": [], "w": [], "bias": 0.0}
-    return np.array(r["which"], dtype=np.int64), np.array(r["w"]), r["bias"]
+    return np.array(r["which"], dtype=np.int64), np.array(r["w"]), r["bias"] - (correction if found else 0.0)
+
+
+def shares(counts: dict[int, int], fit_docs: int) -> dict[int, float]:
+    """The part of each label's rows that the fit takes; more than none of any label, however many rows there are."""
+    whole = fit_docs / max(sum(counts.values()), 1)
+    return {label: min(1.0, max(whole, LEAST_PART * fit_docs / n)) for label, n in counts.items() if n}
+
+
+def _hashing(bits: int):
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(bits)
+        for batch in batches:
+            found = [features.distinct(t.as_py()) for t in batch.column("text")]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int32), *found]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("order"), batch.column("label"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["order", "label", "features"])
+    return hashed
 
 
 def toxicity(text: Column, model: tuple[np.ndarray, np.ndarray, float], bits: int = HASH_BITS) -> Column:
