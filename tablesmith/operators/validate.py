@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.columns import quote
+from tablesmith.sources.versions import publish
 
 # Physical types each logical type accepts.
 LOGICAL_TYPES = {
@@ -120,12 +121,13 @@ def invalid_value_report(df: DataFrame, schema: dict) -> DataFrame:
 
 
 def publish_validated(df: DataFrame, schema: dict, table_path: str, status_path: str) -> DataFrame:
-    """V6 + S8: write the status of every column, and the table if all columns are valid; returns the status.
-    A closed gate leaves what was published before as it is. The status is computed once, from what it wrote."""
+    """V6 + S8: write the status of every column, and publish the table if all columns are valid; returns the status.
+    ``table_path`` is a versioned table (``sources.versions``): a closed gate, and a write that fails midway, leave what
+    was published before as it is. The status is computed once, from what it wrote."""
     validate_schema(df, schema).write.mode("overwrite").json(status_path)
     status = df.sparkSession.read.schema("column string, status string, valid boolean").json(status_path)
     if status.agg(F.bool_and("valid")).first()[0]:
-        df.write.mode("overwrite").parquet(table_path)
+        publish(df, table_path)
     return status
 
 

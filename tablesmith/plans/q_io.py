@@ -105,7 +105,7 @@ def metrics_log(spark, sf_dir):
         row = EV.eval_threshold(scored, t).first().asDict()
         row.pop("threshold")
         io.log_metrics(spark, path, row, {"threshold": t})
-    return spark.read.parquet(path).select("run", "kind", "metric", F.round("value", 6).alias("value"))
+    return io.read_metrics(spark, path).select("run", "kind", "metric", F.round("value", 6).alias("value"))
 
 
 @register("stream_ingest", DOC_SQL)
@@ -114,7 +114,7 @@ def stream_ingest(spark, sf_dir):
     docs = TB.table(spark, sf_dir, "documents")
     # two landed batches
     io.export_documents(docs.filter(F.col("lang") == "en"), landing + "/batch=1", "doc_id")
-    io.export_documents(docs.filter(F.col("lang") != "en"), landing + "/batch=2", "doc_id")
+    io.export_documents(docs.filter(~F.col("lang").eqNullSafe("en")), landing + "/batch=2", "doc_id")
     table = TB.scratch(spark, "stream-table")
     run_ingest(spark, landing + "/*", DOC_SCHEMA, table, TB.scratch(spark, "stream-ckpt"))
     return spark.read.parquet(table).drop("_ingested_at")

@@ -103,7 +103,7 @@ def evaluation(spark, sf_dir, kind="forest", threshold=THRESHOLD):
     metrics = {k: v for k, v in found.items() if v is not None}
     for _ in range(2):
         io.log_metrics(spark, path, metrics, {"threshold": threshold})
-    return val, metrics, spark.read.parquet(path)
+    return val, metrics, io.read_metrics(spark, path)
 
 
 @register("evaluate_model", """

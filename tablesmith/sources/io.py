@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesmith.sources.versions import claim_number
+
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                    id_field: str = "_id") -> DataFrame:
@@ -83,12 +85,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def log_metrics(spark: SparkSession, path: str, metrics: dict, settings: dict | None = None) -> DataFrame:
-    """Append one row per metric, and per run setting (e.g. the threshold), with run = previous max run + 1;
-    returns the log table. Only a path that doesn't exist counts as the first run."""
-    prev = spark.read.parquet(path).agg(F.max("run")).first()[0] if path_exists(spark, path) else 0
+    """Append one row per metric, and per run setting (e.g. the threshold), under a run number of its own;
+    returns the log table. The number is claimed by a marker beside the log (``versions.claim_number``), so that
+    evaluations that log at the same time get different ones; it is above all runs in the log. A number whose job is
+    lost before it writes stays unused."""
+    last = read_metrics(spark, path).agg(F.max("run")).first()[0] if path_exists(spark, path) else 0
+    run = claim_number(spark, f"{path.rstrip('/')}_runs", int(last or 0) + 1)
     now = datetime.now(timezone.utc).isoformat()
     named = [("metric", k, v) for k, v in metrics.items()] + [("setting", k, v) for k, v in (settings or {}).items()]
-    rows = [(int(prev or 0) + 1, now, kind, k, float(v)) for kind, k, v in named]
+    rows = [(run, now, kind, k, float(v)) for kind, k, v in named]
     spark.createDataFrame(rows, "run int, logged_at string, kind string, metric string, value double") \
-        .write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        .write.parquet(f"{path.rstrip('/')}/run-{run}")
+    return read_metrics(spark, path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics log: every run is a folder of its own, so that runs that are written at once don't meet."""
+    return spark.read.option("recursiveFileLookup", True).parquet(path)

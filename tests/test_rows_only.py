@@ -54,7 +54,7 @@ def test_metrics_log_raises_storage_faults(spark, tmp_path):
     path = str(tmp_path / "log")
     assert {r["run"] for r in io.log_metrics(spark, path, {"a": 1.0}, {"t": 0.5}).collect()} == {1}
     assert {r["run"] for r in io.log_metrics(spark, path, {"a": 1.0}).collect()} == {1, 2}
-    for f in (tmp_path / "log").glob("*.parquet"):
+    for f in (tmp_path / "log").rglob("*.parquet"):
         f.write_bytes(b"broken")
     with pytest.raises(Exception):
         io.log_metrics(spark, path, {"a": 1.0})
