@@ -105,23 +105,62 @@ def kind(name: str) -> str:
     return "h" if name in ("h1", "h2", "h3", "h4", "h5", "h6") else name if name in BLOCKS or name == "a" else "other"
 
 
+class OpenElements:
+    """The open elements of a page, innermost last, and the places of each name and of the blocks among them: what
+    an end tag or a block closes is found without a walk, so a tag costs the same at any depth."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, int]] = []  # name, whether what is inside is dropped, innermost named
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, dropped: bool, around: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, dropped, around))
+
+    def last(self, *names: str) -> int:
+        """The place of the innermost open element with one of the names; -1 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def close(self, place: int) -> int:
+        """Close the element at ``place`` and all inside it; how many of them are articles or main elements."""
+        articles = 0
+        while len(self.stack) > place:
+            name = self.stack.pop()[0]
+            self.places[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+            articles += name in ("article", "main")
+        return articles
+
+    def ended_by(self, name: str) -> Iterator[int]:
+        """Places that the start of block ``name`` closes, one after another, each looked for after the last closed."""
+        # as in HTML, a block ends an svg that was left open, but for blocks in its foreignObject
+        drawn = self.last("svg", "foreignobject")
+        if drawn >= 0 and self.stack[drawn][0] == "svg":
+            yield drawn
+        if name in ENDS_P and self.blocks and self.stack[self.blocks[-1]][0] == "p":
+            yield self.blocks[-1]
+        if name in SAME_ENDS:
+            same = self.last(*SAME_ENDS[name])
+            if same > self.last("ul", "ol", "dl", "table", "select"):
+                yield same
+
+
 def scanned(page: str, named: list[Named], marks: list[tuple[str, int]]) -> Iterator[tuple[Token, int]]:
     """The page's tags and text runs in order, in one scan, each with the number of the innermost named element
     around it; blocks are numbered in page order. ``dropped`` is by kind here. Named elements are added to ``named``,
     main and outermost article elements with the number around them to ``marks``."""
-    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether what is inside is dropped, innermost named
+    opened = OpenElements()
+    stack = opened.stack
     block, at, article, lower = 0, 0, 0, None
 
     def token(feature: str, words: int, text: str) -> tuple[Token, int]:
         _, dropped, around = stack[-1] if stack else ("", False, 0)
         return Token(feature, words, block, article > 0, dropped, text), around
 
-    def pop(down_to: int) -> None:
-        nonlocal article
-        for name, _, _ in stack[down_to:]:
-            article -= name in ("article", "main")
-        del stack[down_to:]
-
     def run(text: str) -> Iterator[tuple[Token, int]]:
         if text and not text.isspace():
             plain = html.unescape(text)
@@ -145,9 +184,8 @@ def scanned(page: str, named: list[Named], marks: list[tuple[str, int]]) -> Iter
         if closing:
             block += name in BLOCKS
             yield token(kind(name), 0, "")
-            opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if opened is not None:
-                pop(opened)
+            if (place := opened.last(name)) >= 0:
+                article -= opened.close(place)
             continue
         if name in RAW and not attributes.rstrip().endswith("/"):
             if lower is None:
@@ -158,19 +196,8 @@ def scanned(page: str, named: list[Named], marks: list[tuple[str, int]]) -> Iter
             continue
         if name in BLOCKS:
             block += 1
-            # as in HTML, a block ends an svg that was left open, but for blocks in its foreignObject
-            drawn = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in ("svg", "foreignobject")), None)
-            if drawn is not None and stack[drawn][0] == "svg":
-                pop(drawn)
-            if name in ENDS_P:
-                opened = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCKS), None)
-                if opened is not None and stack[opened][0] == "p":
-                    pop(opened)
-            if name in SAME_ENDS:
-                opened = next((k for k in range(len(stack) - 1, -1, -1)
-                               if stack[k][0] in SAME_ENDS[name] or stack[k][0] in ("ul", "ol", "dl", "table", "select")), None)
-                if opened is not None and stack[opened][0] in SAME_ENDS[name]:
-                    pop(opened)
+            for place in opened.ended_by(name):
+                article -= opened.close(place)
         dropped = bool(stack and stack[-1][1]) or boilerplate(name, attributes, article > 0)
         around = stack[-1][2] if stack else 0
         if not dropped and (words := names(name, attributes)):
@@ -182,7 +209,7 @@ def scanned(page: str, named: list[Named], marks: list[tuple[str, int]]) -> Iter
             article += 1
         yield Token(kind(name), 0, block, article > 0, dropped, ""), around
         if name not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append((name, dropped, around))
+            opened.push(name, dropped, around)
 
 
 def kept_names(found: list[tuple[Token, int]], named: list[Named], marks: list[tuple[str, int]]) -> list[bool]:

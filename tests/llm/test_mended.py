@@ -1,10 +1,13 @@
-"""Fit samples at any size, scripts and spellings of personal data, short blocks of a marked article."""
+"""Fit samples at any size, deep pages, pieces without blanks, scripts and spellings of personal data, short blocks of a marked article."""
 
+import os
 import random
+import time
 
 import pytest
 
-from tablesmith.llm import html_extract, pii, toxicity
+from tablesmith.llm import html_extract, pii, token_counts, toxicity
+from tablesmith.llm.queries import tokenizer_file
 
 KEY = b"k" * 32
 ARTICLE = ("<article><h1>Head</h1><table><tr><td>1</td><td>2</td></tr></table><ul><li><a href=x>link</a></li></ul>"
@@ -85,3 +88,51 @@ def test_permutations_of_other_alphabets_are_one_to_one():
     for sign in "aЯя٣é":
         some = pii.alphabet(pii.lower(sign))
         assert len({pii.permuted(c + "7", KEY, "t") for c in some}) == len(some) > 1
+
+
+@pytest.mark.parametrize("page", [
+    *(f"<{t}>" * 200_000 + "hello" for t in ("div", "i", "p", "li", "div class=comments")),
+    "<div>" * 100_000 + "hello" + "</b>" * 100_000,
+    "<div>" * 50_000 + "hello" + "</i><td><p>" * 50_000])
+def test_deep_pages_take_linear_time(page):
+    start = time.perf_counter()
+    html_extract.main_text(page, html_extract.weights({}))
+    assert time.perf_counter() - start < 30  # a walk over the open elements per tag takes most of an hour
+
+
+def test_open_elements_close_by_name():
+    opened = html_extract.OpenElements()
+    for name in ("article", "div", "p", "i", "main", "i"):
+        opened.push(name, False, 0)
+    assert opened.last("i") == 5 and opened.last("p", "div") == 2 and opened.last("td") == -1
+    assert list(opened.ended_by("div")) == []  # the innermost block is main, so the p stays
+    assert opened.close(3) == 1 and [e[0] for e in opened.stack] == ["article", "div", "p"]
+    assert opened.last("i") == -1 and opened.blocks == [0, 1, 2]
+    assert list(opened.ended_by("div")) == [2]
+
+
+def test_fitted_weights_decide_on_unmarked_pages(spark):
+    """Where articles are lists of links, an unmarked page's list of links is its main text; unfitted it isn't."""
+    items = "".join(f"<ul><li><a href=x>entry {k} of the list</a></li></ul>" for k in range(20))
+    rows = [(k, f"<body><div>{'aside words here ' * 5}</div><article>{items}</article></body>") for k in range(40)]
+    fitted = html_extract.fit_weights(spark.createDataFrame(rows, "page_id long, html string"))
+    page = f"<body><p>{'one paragraph ' * 3}</p>{'<div>' * 6}{items}{'</div>' * 6}</body>"
+    plain = html_extract.main_text(page, html_extract.weights({}))
+    assert "entry 19 of the list" in html_extract.main_text(page, fitted)
+    assert "entry 19 of the list" not in plain and plain.startswith("one paragraph")
+
+
+def test_long_pieces_are_counted_but_not_remembered():
+    counter = token_counts.PieceCounter(tokenizer_file())
+    texts = ["x" * 5_000, "語" * 300 + " a", "short words here", "y" * 64, "y" * 65, "x" * 5_000 + "\n" + "x" * 5_000]
+    want = [len(counter.tokenizer.encode(t, add_special_tokens=False)) for t in texts]
+    assert counter.count(texts) == want
+    assert counter.known and max(map(len, counter.known)) == 64
+
+
+def test_a_tokenizer_that_keeps_blanks_gets_whole_texts():
+    public = os.path.join(os.path.dirname(tokenizer_file()), "byte_bpe_50k.json")
+    counter = token_counts.PieceCounter(public)
+    texts = ["hello  world \n\n foo", " a b\tc ", "", None, "x" * 3_000]
+    assert not counter.cuts
+    assert counter.count(texts) == [len(counter.tokenizer.encode(t or "", add_special_tokens=False)) for t in texts]
