@@ -55,26 +55,31 @@ def value_groups(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.filter("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Relative standard error of the distinct counts that decide which columns are counted exactly.
+ESTIMATE_ERROR = 0.02
+
+
 def _column_summary(df: DataFrame) -> tuple[int, dict]:
-    """One aggregate: row count and, per column, non-missing count, min and max."""
+    """One aggregate: row count and, per column, non-missing count, min, max and estimated distinct count."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(df.columns):
         v = clean_value(df, c)
-        aggs += [F.count(v).alias(f"_c{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
+        aggs += [F.count(v).alias(f"_c{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
+                 F.approx_count_distinct(v, ESTIMATE_ERROR).alias(f"_d{i}")]
     row = df.agg(*aggs).first()  # one row, a few values per column: schema-bounded
-    return row["_n"], {c: (row[f"_c{i}"], row[f"_lo{i}"], row[f"_hi{i}"]) for i, c in enumerate(df.columns)}
+    return row["_n"], {c: (row[f"_c{i}"], row[f"_lo{i}"], row[f"_hi{i}"], row[f"_d{i}"]) for i, c in enumerate(df.columns)}
 
 
 def _constant(summary: dict) -> list[str]:
-    return [c for c, (cnt, lo, hi) in summary.items() if cnt > 0 and lo == hi]
+    return [c for c, (cnt, lo, hi, _) in summary.items() if cnt > 0 and lo == hi]
 
 
 def _unique(df: DataFrame, n: int, summary: dict, cols: list[str]) -> list[str]:
-    """Columns without a missing value whose exact distinct count is the row count; only a column with a single
-    value in more than one row is known without counting."""
+    """Columns without a missing value whose exact distinct count is the row count. A column whose estimate lies ten
+    standard errors below the row count isn't one; only the others' values are expanded and counted."""
     if n == 0:
         return list(cols)
-    cands = [c for c in cols if summary[c][0] == n and not (n > 1 and summary[c][1] == summary[c][2])]
+    cands = [c for c in cols if summary[c][0] == n and summary[c][3] >= n * (1 - 10 * ESTIMATE_ERROR)]
     if not cands:
         return []
     exact = value_groups(df, cands).groupBy("column").agg(F.count(F.lit(1)).alias("_d")).collect()  # row per column

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.columns import clean_value, is_missing, numeric_columns, quote, safe_div
+from tablesmith.functions.cumulative import running_totals
 from tablesmith.operators.clean import column_quantiles, distinct_counts, value_groups  # noqa: F401  (A1 lives in clean)
 
 
@@ -236,6 +237,65 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
     return wide.select(F.inline(rows))
 
 
+def rank_correlation(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A12 correlations of ranks: Spearman's rho per column pair, long form (col_a, col_b, rho).
+
+    Taken over the rows that have all of ``cols``; equal values share their mean rank. Ranks come from running totals
+    over distinct values (two-level, no window over a column) and are joined to the distinct rows, which carry their
+    counts, so a value that many rows share is one row of its column's ranks. NULL where a column is constant; an
+    empty table gives NULLs."""
+    cols = cols or numeric_columns(df)
+    names = [f"_v{i}" for i in range(len(cols))]
+    value = [(clean_value(df, c).cast("double") + F.lit(0.0)).alias(n) for c, n in zip(cols, names)]  # -0.0 is 0.0
+    whole = df.select(*value).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    long = whole.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("value"), F.col("_n").alias("n"))
+                                           for n in names])))
+    counts = long.groupBy("column", "value").agg(F.sum("n").alias("n"))
+    ranks = (running_totals(counts, ["column"], "value", ["n"])
+             .select("column", "value", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias("rank")))
+    rows = whole
+    for i, n in enumerate(names):
+        own = ranks.filter(F.col("column") == n).select(F.col("value").alias(n), F.col("rank").alias(f"_r{i}"))
+        rows = rows.join(own, n).drop(n)
+    middle = (whole.agg(F.sum("_n").alias("_t")).scalar() + 1) / 2.0  # the mean of any column's ranks
+    rows = rows.select("_n", *[(F.col(f"_r{i}") - middle).alias(f"_r{i}") for i in range(len(cols))])
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    wide = rows.agg(*[F.sum(F.col("_n") * F.col(f"_r{i}") * F.col(f"_r{j}")).alias(f"_s{i}_{j}") for i, j in upper])
+
+    def rho(i: int, j: int) -> Column:
+        i, j = min(i, j), max(i, j)
+        return safe_div(F.col(f"_s{i}_{j}"), F.sqrt(F.col(f"_s{i}_{i}")) * F.sqrt(F.col(f"_s{j}_{j}")))
+
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), rho(i, j).alias("rho"))
+        for i, a in enumerate(cols) for j, b in enumerate(cols)])))
+
+
+def category_association(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A12 association of categories: (col_a, col_b, n_rows, chi2, cramers_v) per pair of columns, each pair once.
+
+    One pass counts the cells of all pairs' contingency tables, combined map-side; a row counts for the pairs of which
+    it has both values. Chi-square comes from the cells that occur: N (sum n_ij^2 / (n_i n_j) - 1). Cramer's V is
+    sqrt(chi2 / (N (min(rows, columns) - 1))), NULL where a column of the pair is constant. A pair without a row that
+    has both gives none."""
+    text = {c: clean_value(df, c).cast("string") for c in cols}
+    pairs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), text[a].alias("a"), text[b].alias("b"))
+             for i, a in enumerate(cols) for b in cols[i + 1:]]
+    cells = (df.select(F.inline(F.array(*pairs))).filter("a is not null and b is not null")
+             .groupBy("col_a", "col_b", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    side = lambda v: cells.groupBy("col_a", "col_b", v).agg(F.sum("n").alias(f"n_{v}"))
+    of_a, of_b = side("a"), side("b")
+    kinds = lambda m, v: m.groupBy("col_a", "col_b").agg(F.count(F.lit(1)).alias(f"k_{v}"))
+    share = F.col("n").cast("double") / F.col("n_a") * F.col("n") / F.col("n_b")
+    sums = (cells.join(of_a, ["col_a", "col_b", "a"]).join(of_b, ["col_a", "col_b", "b"]).groupBy("col_a", "col_b")
+            .agg(F.sum("n").alias("n_rows"), F.sum(share).alias("_s")))
+    chi2 = F.greatest(F.col("n_rows") * (F.col("_s") - 1), F.lit(0.0))
+    free = F.least("k_a", "k_b") - 1
+    return (sums.join(kinds(of_a, "a"), ["col_a", "col_b"]).join(kinds(of_b, "b"), ["col_a", "col_b"])
+            .select("col_a", "col_b", "n_rows", chi2.alias("chi2"),
+                    F.sqrt(safe_div(chi2, F.col("n_rows") * free)).alias("cramers_v")))
+
+
 def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:
     """Most frequent values (a top-k report: the limit is the feature)."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))

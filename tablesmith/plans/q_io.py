@@ -12,7 +12,7 @@ from tablesmith.plans import tables as TB
 from tablesmith.plans.catalog import register
 from tablesmith.plans.catalog import REGISTRY
 from tablesmith.plans.q_profile import BOOKINGS_SCHEMA
-from tablesmith.sources import io
+from tablesmith.sources import documents, io
 from tablesmith.sources.ingest import ingest
 from tablesmith.streaming.ingest import run_ingest
 
@@ -27,6 +27,14 @@ def scan_documents(spark, sf_dir):
     return io.read_documents(spark, path)  # schema inferred, as from schemaless documents
 
 
+@register("document_store_scan", DOC_SQL)
+def document_store_scan(spark, sf_dir):
+    """The whole collection through the data source ``documents``, in batches of 1,000."""
+    path = TB.scratch(spark, "documents-store")
+    io.export_documents(TB.table(spark, sf_dir, "documents"), path, "doc_id")
+    return documents.scan_documents(spark, path, DOC_SCHEMA)
+
+
 @register("union_by_name", """
 SELECT o_orderkey, o_totalprice, o_orderstatus, NULL::VARCHAR AS o_orderpriority FROM orders WHERE o_orderstatus = 'F'
 UNION ALL

@@ -304,6 +304,36 @@ def correlation_matrix(spark, sf_dir):
     return round_doubles(PR.correlation_matrix(TB.table(spark, sf_dir, "lineitem"), CCOLS))
 
 
+RANKED = "WITH r AS (SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in CCOLS) + " FROM lineitem)"
+
+
+@register("rank_correlation", RANKED + " UNION ALL ".join(
+    f" SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS rho FROM r" for a in CCOLS for b in CCOLS))
+def rank_correlation(spark, sf_dir):
+    return round_doubles(PR.rank_correlation(TB.table(spark, sf_dir, "lineitem"), CCOLS))
+
+
+ACOLS = ["o_orderpriority", "c_mktsegment", "o_orderstatus", "o_year"]
+
+
+def _association_sql(a, b):
+    return f"""SELECT '{a}' AS col_a, '{b}' AS col_b, CAST(sum(n) AS BIGINT) AS n_rows, round(any_value(chi2), 6) AS chi2,
+  round(sqrt(any_value(chi2) / (sum(n) * (least(count(DISTINCT x), count(DISTINCT y)) - 1))), 6) AS cramers_v
+FROM (SELECT *, sum((n - e) * (n - e) / e) OVER () AS chi2 FROM (
+  SELECT x, y, coalesce(n, 0) AS n, nx * ny / t AS e
+  FROM (SELECT {a} AS x, count(*)::DOUBLE AS nx FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1)
+  CROSS JOIN (SELECT {b} AS y, count(*) AS ny FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1)
+  CROSS JOIN (SELECT count(*) AS t FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL)
+  LEFT JOIN (SELECT {a} AS x, {b} AS y, count(*) AS n FROM g GROUP BY 1, 2) USING (x, y)))"""
+
+
+@register("category_association", GAPPY + "SELECT * FROM (" + " UNION ALL ".join(
+    _association_sql(a, b).replace(" g ", " gappy ") for i, a in enumerate(ACOLS) for b in ACOLS[i + 1:]) + ")")
+def category_association(spark, sf_dir):
+    return round_doubles(PR.category_association(TB.bookings_gappy(spark, sf_dir), ACOLS))
+
+
 @register("top_values", """
 SELECT l_partkey, count(*) AS n_rows FROM lineitem GROUP BY l_partkey ORDER BY n_rows DESC, l_partkey LIMIT 10""")
 def top_values(spark, sf_dir):
