@@ -129,10 +129,19 @@ class PreprocessorModel:
             cols += [F.col(quote(c)) for c in df.columns if c not in used]
         return df.select(*cols)
 
+    def with_vector(self, df: DataFrame, out: str = "features") -> DataFrame:
+        """``df`` with the features as an MLlib vector; a column of that name is replaced. The feature columns pass
+        under numbered names, so category values may hold any character; a missing feature is NaN."""
+        start = "_f"
+        while any(c.startswith(start) for c in df.columns):
+            start = "_" + start
+        values = [c.alias(f"{start}{i}") for i, c in enumerate(self.feature_columns(df))]
+        names = [f"{start}{i}" for i in range(len(values))]
+        wide = df.select(*[F.col(quote(c)) for c in df.columns if c != out], *values)
+        return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="keep").transform(wide).drop(*names)
+
     def assemble(self, df: DataFrame, keep: list[str] | None = None, out: str = "features") -> DataFrame:
-        t = self.transform(df, keep)
-        va = VectorAssembler(inputCols=self.feature_names(), outputCol=out, handleInvalid="keep")
-        return va.transform(t).select(*(keep or []), out)
+        return self.with_vector(df, out).select(*(keep or []), out)
 
     def to_json(self) -> str:
         return json.dumps(self.__dict__)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.operators import evaluate as EV
 from tablesmith.operators import models as M
+from tablesmith.operators import pipeline as PL
 from tablesmith.operators import prep as P
 from tablesmith.operators import split as SP
 from tablesmith.plans import sqlparts as Q
@@ -177,3 +178,23 @@ def model_roundtrip(spark, sf_dir):
     return before.join(after, "doc_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("p") - F.col("q"))).alias("largest_difference"),
         F.lit(len(again.trees) == 150).alias("newest"))
+
+
+@register("pipeline_model_roundtrip", S + "SELECT count(*) AS n_rows, 0.0 AS from_loaded, 0.0 AS from_parts FROM split")
+def pipeline_model_roundtrip(spark, sf_dir):
+    """One saved model scores unprepared rows: the largest differences of its probabilities to those before saving,
+    and to those of preprocessing and classifier fitted one by one."""
+    from pyspark.ml import PipelineModel
+    s = TB.documents_split(spark, sf_dir)
+    train = TB.train_part(s)
+    model = PL.fit_pipeline("forest", train, NUM, CAT)
+    path = M.model_path(TB.scratch(spark, "pipelines"), "forest")
+    model.write().save(path)
+    again = PipelineModel.load(path)
+    pre = P.fit_preprocessor(train, NUM, CAT)
+    parts = M.fit("forest", pre.assemble(train, keep=["doc_id", "label"]))
+    score = lambda m, df, p: M.score_probability(m, df, ["doc_id"], p).select("doc_id", p)
+    all_three = (score(model, s, "p").join(score(again, s, "q"), "doc_id")
+                 .join(score(parts, pre.assemble(s, keep=["doc_id"]), "r"), "doc_id"))
+    far = lambda c: F.round(F.max(F.abs(F.col("p") - F.col(c))), 9)
+    return all_three.agg(F.count(F.lit(1)).alias("n_rows"), far("q").alias("from_loaded"), far("r").alias("from_parts"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions.columns import round_doubles
 from tablesmith.operators import prep as P
+from tablesmith.operators import split as SP
 from tablesmith.plans import sqlparts as Q
 from tablesmith.plans import tables as TB
 from tablesmith.plans.catalog import register
@@ -121,15 +122,19 @@ def transform_passthrough(spark, sf_dir):
     return round_doubles(model.transform(s, keep=["o_orderkey", "split"]))
 
 
-# part keys as categories, learned from the first three lines of an order: some of the others' are unseen
-PARTS = """WITH tr AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS v FROM lineitem WHERE l_linenumber <= 3 AND l_orderkey % 4 <> 0),
-voc AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS i FROM tr)
-"""
+# part and supplier keys as categories, learned from the train part of the lines' exact split
+PARTS = Q.with_("""lines AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id, l_returnflag, l_partkey, l_suppkey
+  FROM lineitem)""", Q.split_cte(src="lines", key="line_id", target="l_returnflag"), """tr AS (
+  SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS v FROM split WHERE split = 'train')""", """voc AS (
+  SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS i FROM tr)""").rstrip()
 
 
 def _parts(spark, sf_dir):
-    li = TB.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return li, li.filter((F.col("l_linenumber") <= 3) & (F.col("l_orderkey") % 4 != 0))
+    li = TB.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    keyed = li.withColumn("line_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    split = SP.stratified_split(keyed, "line_id", "l_returnflag", (0.7, 0.15, 0.15), TB.SEED).checkpoint(eager=True)
+    return li.drop("l_returnflag"), TB.train_part(split).select("l_partkey", "l_suppkey")
 
 
 @register("label_encode_parts", PARTS + """
@@ -139,8 +144,8 @@ def label_encode_parts(spark, sf_dir):
     return P.label_encode(train, li.drop("l_suppkey"), ["l_partkey"])
 
 
-@register("one_hot_sparse", PARTS[:-1] + """,
-trs AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS v FROM lineitem WHERE l_linenumber <= 3 AND l_orderkey % 4 <> 0),
+@register("one_hot_sparse", PARTS + """,
+trs AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS v FROM split WHERE split = 'train'),
 vocs AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS i FROM trs),
 n AS (SELECT (SELECT count(*) FROM voc) AS np, (SELECT count(*) FROM vocs) AS ns)
 SELECT l_orderkey, l_linenumber, CAST(np + ns AS INTEGER) AS size, voc.i AS first_one, CAST(np + vocs.i AS INTEGER) AS last_one
