@@ -62,3 +62,12 @@ def test_only_columns_near_the_row_count_are_counted(spark, monkeypatch):
     assert C.unique_columns(df) == ["k", "s"]
     assert counted == [["k", "nearly", "s"]]
     assert C.unique_columns(df.limit(1)) == ["k", "nearly", "few", "s", "gap", "one"]
+
+
+def test_duplicates_with_signed_zeros_and_missing_values(spark):
+    nan = float("nan")
+    rows = [(0.0, "a"), (-0.0, "a"), (None, "a"), (None, "a"), (nan, None), (nan, None), (nan, None), (1.0, "a"), (1.0, "b")]
+    df = spark.createDataFrame(rows, "`x.y` double, s string")
+    assert PR.duplicate_count(df).first()[0] == 4
+    assert PR.duplicate_count(df.selectExpr("CAST(`x.y` AS float) AS f", "s")).first()[0] == 4
+    assert PR.duplicate_count(df.limit(0)).first()[0] == 0
