@@ -126,3 +126,21 @@ def test_curves_refuse_rows_without_a_label(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.2), (None, 0.5)], "label int, score double")
     with pytest.raises(ValueError):
         EV.roc_auc(df)
+
+
+def test_a_split_does_not_gather_a_class_in_one_task(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    rows = [(i, "a" if i % 10 else None) for i in range(20_000)] + [(None, "a")] * 3 + [(7, "b")] * 5
+    df = spark.createDataFrame(rows, "key long, t string")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = SP.stratified_split(df, "key", "t").withColumn("task", F.spark_partition_id()).toPandas()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert out.groupby("task").size().max() < len(rows) / 8
+    assert out.groupby(["t", "split"], dropna=False).size().sum() == len(rows)
+    assert (out[out["t"] == "a"]["split"] == "train").sum() == int(np.floor(0.7 * 18_003 + 0.5))
