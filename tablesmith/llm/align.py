@@ -6,7 +6,7 @@ import functools
 import json
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +23,13 @@ RUN_BYTES, REMEMBERED_BYTES = 512 * 1024, 64 * 1024 * 1024
 #: Ranges that are encoded together.
 SPANS = 8
 #: Pieces that go through a tokenizer as one text.
-JOINED = 64
-#: What a remembered piece takes besides its characters and tokens, about.
+JOINED = 256
+#: What a remembered piece takes besides its characters, groups and links, about.
 PIECE_BYTES = 200
+#: Longer pieces (in characters) are kept for their run of texts alone.
+LONGEST_REMEMBERED = 64
+#: So many characters behind a range's least length a place is sought where both tokenizers' next range may begin.
+NEAR = 1024
 
 ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups string, links array<int>"
 RANGES = ("key bigint, doc_id bigint, idx bigint, span string, a_from bigint, a_to bigint, b_from bigint, b_to bigint, "
@@ -39,6 +43,10 @@ PAIRS = "pair int, a int, b int, n bigint, best boolean"
 _PIECES = re.compile(r"(?<=[^\s▁])(?=[ \n][^\s▁])")
 #: A piece of a blank or line end and what neither begins nor ends with white space.
 _WORDS = re.compile(r"[ \n][^\s▁](?:[^▁]*[^\s▁])?")
+#: White space (and B's blank) that keeps a text from being cut by ``str.split``: other than blanks and line ends, or
+#: more than one together.
+_OTHER_SPACE = re.compile(r"[^\S \n]|▁")
+_ASCII_SPACE, _RUNS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f", ("  ", " \n", "\n ", "\n\n")
 #: Further places where a run of A ends: before white space, and between a letter or digit and a mark.
 _CUT_A = re.compile(r"(?<=\S)(?=[ \t\n\r])|(?<=[0-9A-Za-z一-龥])(?=[!-/:-@\[-`{-~、。，])")
 
@@ -52,16 +60,13 @@ class Tokenizer:
 
 
 class Encoded:
-    """Token ids of many pieces one behind the other, and whether their bytes are the piece's."""
+    """Token ids of many pieces one behind the other, and whether their bytes are the piece's.
 
-    def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
-        self.flat, self.first, self.right = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+    Of the pieces the first ``joinable`` may stand behind each other in one text.
+    """
 
-    def add(self, pieces: list[str], joinable: int) -> None:
-        """Encode pieces of which the first ``joinable`` may stand behind each other in one text."""
-        t = self.tokenizer
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+    def __init__(self, tokenizer: Tokenizer, pieces: list[str], raw: list[bytes], joinable: int):
+        t = tokenizer
         runs = ["".join(pieces[at:min(at + JOINED, joinable)]) for at in range(0, joinable, JOINED)] + pieces[joinable:]
         flat = self._flat(t.encode(runs))
         ends = np.concatenate(([0], np.cumsum(t.lengths[flat])))
@@ -71,9 +76,8 @@ class Encoded:
         if b"".join(map(t.bytes.__getitem__, flat.tolist())) != b"".join(raw) or (ends[first] != piece_ends).any():
             found = t.encode(pieces)  # some don't come back: see which
             flat, first = self._flat(found), np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-            right = np.array([b"".join(map(t.bytes.__getitem__, ids)) == r for ids, r in zip(found, raw)])
-        self.first = np.concatenate((self.first, self.first[-1] + first))
-        self.flat, self.right = np.concatenate((self.flat, flat)), np.concatenate((self.right, right))
+            right = np.array([b"".join(map(t.bytes.__getitem__, ids)) == r for ids, r in zip(found, raw)], dtype=bool)
+        self.flat, self.first, self.right = flat, np.concatenate(([0], first)), right
 
     @staticmethod
     def _flat(found: list[list[int]]) -> np.ndarray:
@@ -83,7 +87,7 @@ class Encoded:
         """Ids and rightness of texts that have ``counts`` of the pieces ``which``."""
         sizes = self.first[which + 1] - self.first[which]
         ends = np.cumsum(sizes)
-        flat = self.flat[np.arange(int(sizes.sum())) + np.repeat(self.first[which] - (ends - sizes), sizes)]
+        flat = _gathered(self.flat, self.first[which], sizes)
         right = self.right[which]
         ends, out, at = np.concatenate(([0], ends)), [], 0
         for n in counts:
@@ -92,48 +96,150 @@ class Encoded:
         return out
 
 
-class Memory:
-    """Both tokenizers' encodings of the pieces seen before, as many as fit into REMEMBERED_BYTES, about."""
+def _gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The parts of ``flat`` that begin at ``first`` and have ``sizes``, one behind the other."""
+    return flat[np.arange(int(sizes.sum())) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)]
+
+
+class Pieces:
+    """Aligned pieces by key: groups spelled out and links, and how many tokens of A, of B, groups and faults.
 
-    def __init__(self, a: Tokenizer, b: Tokenizer):
-        self.tokenizers, self.cuttable = (a, b), a.cuttable and b.cuttable
-        self.forget()
+    Both tokenizers end a token where a piece ends, so its groups are whole. A piece whose bytes don't come back from
+    the tokens of both has a fault and nothing else.
+    """
 
-    def forget(self) -> None:
+    def __init__(self):
         self.known: dict[str, int] = {}
-        self.encoded, self.held = [Encoded(t) for t in self.tokenizers], 0
+        self.groups: list[bytes] = []
+        self.counts, self.links, self.first = np.zeros((0, 4), np.int32), np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.held = 0
+
+    def add(self, keys: list[str], groups: list[bytes], counts: np.ndarray, links: np.ndarray) -> None:
+        self.known.update(zip(keys, range(len(self.groups), len(self.groups) + len(keys))))
+        self.groups += groups
+        self.counts = np.concatenate((self.counts, counts))
+        self.links = np.concatenate((self.links, links))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(counts[:, 2])))
+
+    def remember(self, keys: list[str], groups: list[bytes], counts: np.ndarray, links: np.ndarray) -> None:
+        self.add(keys, groups, counts, links)
+        self.held += PIECE_BYTES * len(keys) + sum(map(len, groups)) + 4 * (sum(map(len, keys)) + len(links))
+
+    def cut(self, n: int) -> None:
+        """Keep the first ``n`` pieces."""
+        if n < len(self.groups):
+            for key in list(islice(reversed(self.known), len(self.groups) - n)):
+                del self.known[key]
+            del self.groups[n:]
+            self.counts, self.links, self.first = self.counts[:n], self.links[:self.first[n]], self.first[:n + 1]
+
+    def links_of(self, which: np.ndarray) -> np.ndarray:
+        return _gathered(self.links, self.first[which], self.counts[which, 2].astype(np.int64))
+
+
+class Memory:
+    """The alignments of the pieces seen before, as many as fit into REMEMBERED_BYTES, about: when half of it is full,
+    pieces that aren't met again until the next time are forgotten."""
+
+    def __init__(self, pair: Pairing):
+        self.pair, self.tokenizers = pair, (pair.a, pair.b)
+        self.cuttable = pair.a.cuttable and pair.b.cuttable
+        self.now, self.old, self.kept = Pieces(), Pieces(), 0
+
+    @property
+    def known(self) -> dict[str, int]:
+        return self.now.known
+
+    @property
+    def held(self) -> int:
+        return self.now.held + self.old.held
+
+    def keys(self, text: str) -> list[str]:
+        """The keys of a text's pieces: one that begins with a single blank goes without it, one that begins with a
+        line end is its own key, any other has a tab in front."""
+        if not self.cuttable:
+            return ["\t" + text]
+        if (text[0] in " \n" and text[-1] not in " \n" and not any(r in text for r in _RUNS)
+                and not (any(c in text for c in _ASCII_SPACE) if text.isascii() else _OTHER_SPACE.search(text))):
+            return text.replace("\n", " \n")[1:].split(" ")
+        return [p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else p if p[0] == "\n" else "\t" + p
+                for p in _PIECES.split(text)]
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
-        """The numbers of the texts' pieces, and how many each text has."""
-        cut = [_PIECES.split(t) if self.cuttable else [t] for t in texts]
-        every = list(chain.from_iterable(cut))
-        if self.held > REMEMBERED_BYTES:
-            self.forget()
-        new = [p for p in set(every) if p not in self.known]
-        if new:
-            before = sum(len(e.flat) for e in self.encoded)
-            alone = [p for p in new if not self._joinable(p)]
-            new = [p for p in new if self._joinable(p)] + alone
-            for e in self.encoded:
-                e.add(new, len(new) - len(alone))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.held += PIECE_BYTES * len(new) + 4 * (sum(map(len, new)) + sum(len(e.flat) for e in self.encoded) - before)
-        return np.fromiter(map(self.known.__getitem__, every), np.int64, len(every)), [len(c) for c in cut]
+        """The numbers of the texts' pieces in ``now``, valid until the next call, and how many each text has."""
+        self.now.cut(self.kept)
+        if self.now.held > REMEMBERED_BYTES // 2:
+            self.old, self.now = self.now, Pieces()
+        keys = [self.keys(t) for t in texts]
+        every = list(chain.from_iterable(keys))
+        known, before = self.now.known, self.old.known
+        new = [k for k in dict.fromkeys(every) if k not in known]
+        again = [k for k in new if k in before]
+        if again:
+            which = np.fromiter(map(before.__getitem__, again), np.int64, len(again))
+            self.now.remember(again, list(map(self.old.groups.__getitem__, which.tolist())), self.old.counts[which],
+                              self.old.links_of(which))
+            new = [k for k in new if k not in before]
+        short = [k for k in new if len(k) <= LONGEST_REMEMBERED]
+        if short:
+            self.now.remember(short, *self.aligned(short))
+        self.kept = len(self.now.groups)
+        if len(short) < len(new):
+            long = [k for k in new if len(k) > LONGEST_REMEMBERED]
+            self.now.add(long, *self.aligned(long))
+        return np.fromiter(map(known.__getitem__, every), np.int64, len(every)), [len(k) for k in keys]
+
+    def aligned(self, keys: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Groups, counts and links of the pieces of these keys, in their order."""
+        pieces = [k if k[0] == "\n" else k[1:] if k[0] == "\t" else " " + k for k in keys]
+        fit = [k.isalpha() or self._joinable(p) for k, p in zip(keys, pieces)]
+        order = [i for i, x in enumerate(fit) if x] + [i for i, x in enumerate(fit) if not x]
+        if fit.count(True) < len(fit):
+            pieces = [pieces[i] for i in order]
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        a, b = (Encoded(t, pieces, raw, fit.count(True)) for t in self.tokenizers)
+        right = a.right & b.right
+        n_a, n_b = (np.where(right, np.diff(e.first), 0) for e in (a, b))
+        ids_a, ids_b = (_gathered(e.flat, e.first[:-1], n) for e, n in ((a, n_a), (b, n_b)))
+        groups, sizes, links = self.pair.closed(ids_a, ids_b, n_a, n_b)
+        counts = np.stack((n_a, n_b, sizes, ~right), axis=1).astype(np.int32)
+        if fit.count(True) < len(fit):  # back to the order of the keys
+            back = np.argsort(np.array(order))
+            links = _gathered(links, (np.cumsum(sizes) - sizes)[back], sizes[back])
+            groups, counts = [groups[i] for i in back.tolist()], counts[back]
+        return groups, counts, links
 
     def _joinable(self, piece: str) -> bool:
         """Whether a text may be cut where this piece begins and ends, whatever stands there."""
         return self.cuttable and _WORDS.fullmatch(piece) is not None
 
+    def fragments(self, texts: list[str]) -> list[Fragment]:
+        """For texts (not empty) that begin and end where both tokenizers begin and end a token: all groups closed."""
+        if not texts:
+            return []
+        which, counts = self.pieces(texts)
+        groups = list(map(self.now.groups.__getitem__, which.tolist()))
+        last = np.cumsum(counts)
+        sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(self.now.counts[which], axis=0, dtype=np.int64)))
+        n = sums[last] - sums[last - counts]
+        links, ends, out = self.now.links_of(which), sums[last, 2].tolist(), []
+        for (n_a, n_b, n_groups, faults), to, k, m in zip(n.tolist(), ends, last.tolist(), counts):
+            out.append(Fragment(self.pair, ok=False) if faults else
+                       Fragment(self.pair, True, True, n_a, n_b, n_groups, b"".join(groups[k - m:k]), links[to - n_groups:to]))
+        return out
+
     def ids(self, a_texts: list[str], b_texts: list[str]) -> zip:
-        """For each pair of texts A's ids of the first and B's of the second, each with its rightness."""
-        a, b = self.encoded_of(0, a_texts), None
-        if a_texts is b_texts:
-            b = self.encoded[1].of(*self.last)
-        return zip(a, b if b is not None else self.encoded_of(1, b_texts))
+        """For each pair of texts A's ids of the first and B's of the second, each with its rightness; nothing of it
+        is remembered."""
+        return zip(*(self._ids(t, texts) for t, texts in zip(self.tokenizers, (a_texts, b_texts))))
 
-    def encoded_of(self, which: int, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
-        self.last = self.pieces(texts)
-        return self.encoded[which].of(*self.last)
+    def _ids(self, tokenizer: Tokenizer, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
+        cut = [_PIECES.split(t) if self.cuttable else [t] for t in texts]
+        pieces = sorted(set(chain.from_iterable(cut)), key=self._joinable, reverse=True)
+        number = {p: i for i, p in enumerate(pieces)}
+        encoded = Encoded(tokenizer, pieces, [p.encode("utf-8", "surrogatepass") for p in pieces],
+                          sum(map(self._joinable, pieces)))
+        return encoded.of(np.array([number[p] for c in cut for p in c], dtype=np.int64), [len(c) for c in cut])
 
 
 def byte_level_tokenizer(file: str) -> Tokenizer:
@@ -167,8 +273,8 @@ def byte_level_tokenizer(file: str) -> Tokenizer:
 def piece_tokenizer(file: str) -> tuple[Tokenizer, set[tuple[str, str]]]:
     """Tokenizer B from a sentencepiece model that adds a blank in front, and the pairs of neighbours in its pieces.
 
-    A text that begins with a blank is encoded without it, since the model adds one; another one behind a line end,
-    of which the added blank and the line end are taken off again.
+    A text that begins with a blank is encoded without it, since the model adds one (to a text, not to nothing);
+    another one behind a line end, of which the added blank and the line end are taken off again.
     """
     from sentencepiece import SentencePieceProcessor
 
@@ -181,7 +287,7 @@ def piece_tokenizer(file: str) -> tuple[Tokenizer, set[tuple[str, str]]]:
                   for p in (n.replace("▁", " "),) for k in range(len(p) - 1)}
 
     def encode(texts: list[str]) -> list[list[int]]:
-        lead = [t[:1] != " " for t in texts]
+        lead = [t[:1] != " " or t == " " for t in texts]
         found = own.encode(["\n" + t if x else t[1:] for t, x in zip(texts, lead)], num_threads=1)
         return [ids[2:] if x else ids for ids, x in zip(found, lead)]
 
@@ -201,7 +307,7 @@ class Pairing:
     def __init__(self, file_a: str, file_b: str):
         self.a = byte_level_tokenizer(file_a)
         self.b, self.neighbours = piece_tokenizer(file_b)
-        self.memory = Memory(self.a, self.b)
+        self.memory = Memory(self)
         of_a, of_b = {}, {}
         for tokens, spelled in ((of_a, self.a.bytes), (of_b, self.b.bytes)):
             for i, s in enumerate(spelled):
@@ -212,6 +318,7 @@ class Pairing:
         self.pairs = np.array(sorted(keys), dtype=np.int64)
         self.width = len(str(max(len(self.a.bytes), n))) + 1
         self.digits = np.concatenate([self._spelled(len(t.bytes), mark) for t, mark in ((self.a, b"|"), (self.b, b";"))])
+        self.widths = np.count_nonzero(self.digits[::2], axis=1)
 
     def _spelled(self, n: int, mark: bytes) -> np.ndarray:
         """Rows 2 i and 2 i + 1: the decimal i with a comma, and with ``mark``; zeros behind."""
@@ -233,6 +340,18 @@ class Pairing:
         out = self.digits[order].reshape(-1)
         return out[out != 0].tobytes()
 
+    def closed(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """For pieces of ``n_a`` tokens of A and ``n_b`` of B with the same bytes: each one's groups spelled out, how
+        many these are, and the links of all."""
+        a_ends, b_ends = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        last_a, last_b = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
+        text = self.text(a, last_a, b, last_b)
+        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+        sums = [np.concatenate(([0], np.cumsum(x))) for x in (self.widths[a], self.widths[len(self.a.bytes) + b], last_a)]
+        ends = (sums[0][to_a] + sums[1][to_b]).tolist()
+        groups = [text[x:y] for x, y in zip([0, *ends], ends)]
+        return groups, sums[2][to_a] - sums[2][to_a - n_a], self.numbers(a[last_a], b[last_b])
+
 
 @functools.lru_cache(maxsize=2)
 def pairing(file_a: str, file_b: str) -> Pairing:
@@ -319,6 +438,8 @@ class Fragment:
     def closed_head(self) -> Fragment:
         """The same with the first group closed: nothing of it lies before."""
         h = self.head
+        if not len(h.a):
+            return self
         last_a, last_b = np.zeros(len(h.a), dtype=bool), np.zeros(len(h.b), dtype=bool)
         last_a[-1] = last_b[-1] = True
         return Fragment(self.pair, self.ok, True, self.n_a, self.n_b, self.n_groups + 1,
@@ -344,8 +465,16 @@ class Fragment:
 
 def fragments(pair: Pairing, a_texts: list[str], a_starts: list[int], b_texts: list[str], b_starts: list[int]) -> list[Fragment]:
     """A fragment per range: the tokens of A of one text, those of B of another, and the bytes where these begin."""
+    same = [bool(x) and m == n and x == y for x, y, m, n in zip(a_texts, b_texts, a_starts, b_starts)]
+    whole = iter(pair.memory.fragments([x for x, alike in zip(a_texts, same) if alike]))
+    apart = [k for k, alike in enumerate(same) if not alike]
+    ids = pair.memory.ids([a_texts[k] for k in apart], [b_texts[k] for k in apart]) if apart else iter(())
     out = []
-    for ((a, a_ok), (b, b_ok)), a0, b0 in zip(pair.memory.ids(a_texts, b_texts), a_starts, b_starts):
+    for a0, b0, alike in zip(a_starts, b_starts, same):
+        if alike:
+            out.append(next(whole))
+            continue
+        (a, a_ok), (b, b_ok) = next(ids)
         out.append(Fragment.of(pair, Tokens(a, a0 + np.cumsum(pair.a.lengths[a]), b, b0 + np.cumsum(pair.b.lengths[b])))
                    if a_ok and b_ok else Fragment(pair, ok=False))
     return out
@@ -354,8 +483,9 @@ def fragments(pair: Pairing, a_texts: list[str], a_starts: list[int], b_texts: l
 def ranges(pair: Pairing, text: str, most: int) -> list[tuple[int, int]]:
     """Character offsets ``(for A, for B)`` where the ranges of a text of more than ``most`` bytes begin.
 
-    After each ``most`` characters either tokenizer's range begins at its next safe place, each its own: where a
-    run of A ends; where no piece of B holds both neighbours. Without such a place the last range reaches the end.
+    After each ``most`` characters both tokenizers' range begins at the next place that is safe for both, if one is
+    near. Else either begins at its next safe place, each its own: where a run of A ends; where no piece of B holds
+    both neighbours. Without such a place the last range reaches the end.
     """
     if not (pair.a.cuttable and pair.b.cuttable):
         return [(0, 0)]
@@ -365,6 +495,10 @@ def ranges(pair: Pairing, text: str, most: int) -> list[tuple[int, int]]:
         target = max(out[-1][0] + most, out[-1][1] + most)
         if target >= n:
             break
+        both = _PIECES.search(text, target, min(n, target + NEAR))
+        if both:
+            out.append((both.start(), both.start()))
+            continue
         found = _CUT_A.search(text, target)
         to_a = found.start() if found else n
         to_b = target
@@ -416,7 +550,7 @@ def _short(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
             ids = batch.column("doc_id").to_pylist()
             for run in byte_balanced(texts, RUN_BYTES):
                 some = [" " + t for t in run if t]
-                found = iter(fragments(pair, some, [0] * len(some), some, [0] * len(some)))
+                found = iter(pair.memory.fragments(some))
                 none = Fragment(pair)
                 yield _batch([{"doc_id": ids[at + k], **(next(found) if t else none).finished()}
                               for k, t in enumerate(run)], schema)

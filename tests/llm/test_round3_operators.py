@@ -115,6 +115,34 @@ def test_pieces_and_ranges_encode_as_the_whole():
         assert [i for _, (y, _) in found for i in y.tolist()] == b
 
 
+def test_remembered_pieces_align_as_whole_texts():
+    pair = align.Pairing(FILE_A, FILE_B)
+    rng = random.Random(7)
+    texts = [t for t in AWKWARD if t] + ["a  b\tc", "\nx y", "x ", " ", "▁x y", "d\x1cd", "a\nb c", "x\u00a0y z", "z" * 200 + " z"]
+    texts += ["".join(rng.choices("ab \n\té日▁.\u0085", k=rng.randrange(1, 60))) for _ in range(300)]
+    for some in (texts, texts[::-1]):  # the second time most pieces are known
+        found = [f.finished() for f in pair.memory.fragments([" " + t for t in some])]
+        for text, got in zip(some, found):
+            want = plain_alignment(text)
+            assert (got["n_a"], got["n_b"], got["groups"]) == ((want[0], want[1], ";".join(want[2])) if want else (0, 0, ""))
+            assert [tuple(divmod(int(pair.pairs[x]), len(pair.b.bytes))) for x in got["links"]] == (want[3] if want else [])
+
+
+def test_pieces_met_again_outlast_a_full_memory(monkeypatch):
+    pair = align.Pairing(FILE_A, FILE_B)
+    monkeypatch.setattr(align, "REMEMBERED_BYTES", 60_000)
+    made = []
+    encode = pair.b.encode
+    monkeypatch.setattr(pair.b, "encode", lambda texts: made.append("".join(texts)) or encode(texts))
+    for k in range(40):
+        pair.memory.fragments([" " + " ".join(["often", "met", *(f"w{k}x{j}" for j in range(50))])])
+    assert sum(" often" in t or t.startswith("often") for t in made) == 1
+
+
+def test_a_range_that_is_a_blank_has_its_token():
+    assert align.pairing(FILE_A, FILE_B).b.encode([" "]) == [libraries()[1].encode("x ")[-1:]]
+
+
 def test_memory_of_pieces_is_bounded(monkeypatch):
     pair = align.Pairing(FILE_A, FILE_B)
     monkeypatch.setattr(align, "REMEMBERED_BYTES", 20_000)
