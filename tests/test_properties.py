@@ -17,6 +17,7 @@ from tablesmith.operators import drift as D
 from tablesmith.operators import evaluate as EV
 from tablesmith.operators import profile as PR
 from tablesmith.operators import split as SP
+from tablesmith.plans import q_prep
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -144,3 +145,25 @@ def test_a_split_does_not_gather_a_class_in_one_task(spark):
     assert out.groupby("task").size().max() < len(rows) / 8
     assert out.groupby(["t", "split"], dropna=False).size().sum() == len(rows)
     assert (out[out["t"] == "a"]["split"] == "train").sum() == int(np.floor(0.7 * 18_003 + 0.5))
+
+
+def test_sparse_parts_of_one_class_spread_over_the_tasks(spark, tmp_path):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in conf}
+    n = 4_000
+    spark.createDataFrame([(i, 1, i % 50, i % 7, "N") for i in range(n)], "l_orderkey long, l_linenumber int, "
+                          "l_partkey long, l_suppkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        _, train = q_prep._parts(spark, str(tmp_path))
+        tasks = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+        got = q_prep.one_hot_sparse(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == round(0.7 * n) and max(tasks) < n / 8
+    want = {str(v): k for k, v in enumerate(sorted(map(str, range(50))))}
+    assert len(got) == n and all((r["size"], r.first_one, r.last_one) == (57, want[str(r.l_orderkey % 50)], 50 + r.l_orderkey % 7)
+                                 for r in got)
